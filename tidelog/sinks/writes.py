@@ -43,8 +43,11 @@ def write_topic(df: DataFrame, topic: str, key: str | Column, value: str | Colum
     cols = LOG_COLUMNS + [c for c in (keep or []) if c not in LOG_COLUMNS]
     written = written.select(*cols)
     if path is not None:
-        (written.select(*LOG_COLUMNS).repartition(*TP)
-         .sortWithinPartitions("offset")
+        # The rows are already spread by (partition, offset bucket) from the
+        # offset window, so no extra shuffle: each task writes its offset
+        # ranges, sorted, into the topic/partition folders (offset min/max
+        # statistics then let position reads skip files).
+        (written.select(*LOG_COLUMNS).sortWithinPartitions(*TP, "offset")
          .write.mode("append").partitionBy(*TP).parquet(path))
     return written
 
