@@ -1,7 +1,7 @@
 """Column functions."""
 
-from .text import (encode_utf8, md5_pick, md5_uuid, message_key, title_case,
-                   utf8_or_null)
+from .text import (encode_utf8, md5_pick, md5_uuid, message_key, record_id,
+                   title_case, utf8_or_null)
 
-__all__ = ["encode_utf8", "md5_pick", "md5_uuid", "message_key", "title_case",
+__all__ = ["encode_utf8", "md5_pick", "md5_uuid", "message_key", "record_id", "title_case",
            "utf8_or_null"]

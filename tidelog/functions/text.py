@@ -81,3 +81,18 @@ def md5_uuid(seed: str, id_col: str | Column) -> Column:
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4),
                        F.substring(h, 13, 4), F.substring(h, 17, 4),
                        F.substring(h, 21, 12))
+
+
+def record_id(method: str = "uuid", seed: str = "id",
+              id_col: str | Column | None = None) -> Column:
+    """A unique string id per record. ``uuid`` is random (Spark's
+    ``uuid()``; a recomputed task draws new ones, so persist or write the
+    result before reusing it); ``md5`` is the repeatable test form built
+    from ``id_col``."""
+    if method == "uuid":
+        return F.expr("uuid()")
+    if method == "md5":
+        if id_col is None:
+            raise ValueError("the md5 form needs id_col")
+        return md5_uuid(seed, id_col)
+    raise ValueError(f"unknown id method: {method}")

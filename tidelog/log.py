@@ -149,12 +149,13 @@ def with_offsets(df: DataFrame, order: list[str], base: DataFrame | None = None,
                  rows_per_bucket: int | None = None) -> DataFrame:
     """Assign dense offsets per (topic, partition) in ``order``.
 
-    ``base`` (topic, partition, end_offset) continues an existing log; it is
-    one row per partition, so it is broadcast."""
+    ``base`` (topic, partition, end_offset) continues an existing log."""
     out = dense_position(df, TP, order, "offset", rows_per_bucket)
     if base is None:
         return out
+    # One row per partition: small, and adaptive execution broadcasts it
+    # once its real size is known (no unchecked hint).
     b = base.select(*TP, F.col("end_offset").alias("_base_end"))
-    return (out.join(F.broadcast(b), TP, "left")
+    return (out.join(b, TP, "left")
             .withColumn("offset", F.col("offset") + F.coalesce("_base_end", F.lit(0)))
             .drop("_base_end"))

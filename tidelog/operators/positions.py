@@ -3,9 +3,10 @@
 Commits are a small DataFrame ``group, topic, partition, offset`` (offset =
 next record to read). Start positions are one row per topic partition, so
 they are bounded by the partition count, never by the data: up to
-``MAX_LITERAL_STARTS`` partitions they become a literal predicate that the
-Parquet scan pushes down (row groups before the start are skipped), beyond
-that a broadcast join.
+``MAX_LITERAL_STARTS`` partitions (checked with a bounded ``limit``) they
+become a literal predicate that the Parquet scan pushes down (row groups
+before the start are skipped), beyond that a join whose strategy Spark picks
+from the measured size.
 """
 
 from __future__ import annotations
@@ -41,7 +42,9 @@ def from_positions(log: DataFrame, starts: DataFrame,
         if default == "earliest":
             keep = keep | ~listed
         return log.filter(keep)
-    j = log.join(F.broadcast(spec), TP, "left")
+    # Beyond the literal limit the planner (and adaptive execution, from
+    # the measured size) picks broadcast or shuffle join.
+    j = log.join(spec, TP, "left")
     cond = F.col("offset") >= F.col("start_offset")
     if default == "earliest":
         cond = cond | F.col("start_offset").isNull()
@@ -96,9 +99,10 @@ def resume(log: DataFrame, commits: DataFrame, group: str,
 
 def consumed(log: DataFrame, commits: DataFrame, group: str) -> DataFrame:
     """Records before the group's committed positions (what it has read).
-    Commits are one row per partition, so they are broadcast."""
+    Commits are one row per partition; the join strategy follows their
+    measured size."""
     c = commits.filter(F.col("group") == group).select(*TP, F.col("offset").alias("_upto"))
-    return log.join(F.broadcast(c), TP).filter(F.col("offset") < F.col("_upto")).drop("_upto")
+    return log.join(c, TP).filter(F.col("offset") < F.col("_upto")).drop("_upto")
 
 
 # --- O3 ---------------------------------------------------------------------

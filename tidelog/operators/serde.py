@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import utf8_or_null
+from ..functions.text import record_id, utf8_or_null
 
 ERROR = "error"
 
@@ -131,6 +131,14 @@ def decode_json(df: DataFrame, schema: RecordSchema | T.StructType,
     return out
 
 
+# --- P3 ---------------------------------------------------------------------
+
+def with_id(df: DataFrame, out: str = "id", method: str = "uuid", seed: str = "id",
+            id_col: str | None = None) -> DataFrame:
+    """Add a unique string id per record (see ``functions.record_id``)."""
+    return df.withColumn(out, record_id(method, seed, id_col))
+
+
 # --- P4 ---------------------------------------------------------------------
 
 def items(log: DataFrame, schema: RecordSchema | T.StructType) -> DataFrame:

@@ -304,6 +304,10 @@ FROM lines"""
         _with(GREETINGS_LOG)
         + "SELECT topic, \"partition\", \"offset\", 'Greeting is ''' || message || ''' from ''' "
           "|| key || '''' AS line FROM greetings_log")
+    sql["raw_greeting_lines"] = (
+        _with(GREETINGS_LOG)
+        + "SELECT topic, \"partition\", \"offset\", 'Greeting is ''' || text || '''' AS line "
+          "FROM raw_greetings_log")
     sql["table_snapshot"] = (
         _with(GREETINGS_LOG) + f'SELECT greeter, count(*) AS "count" FROM greetings_log '
                                f'WHERE "timestamp" <= {_ts(Q.SNAPSHOT_AS_OF)} GROUP BY greeter')
@@ -381,7 +385,11 @@ FROM m"""
         + 'SELECT topic, "partition", count(*) AS records, min("offset") AS start_offset, '
           'max("offset") + 1 AS end_offset, min("timestamp") AS first_timestamp, '
           'max("timestamp") AS last_timestamp FROM u GROUP BY topic, "partition"')
-    sql["dedupe"] = _with(EVENTS_LOG) + f"SELECT {VIEW} FROM events_log"
+    sql["list_topics"] = (
+        _with(EVENTS_LOG, GREETINGS_LOG, PEOPLE_LOG, PEOPLE_MIXED_LOG, f"u AS ({stats_src})")
+        + 'SELECT topic, count(DISTINCT "partition") AS partitions, '
+          'CAST(count(*) AS BIGINT) AS records FROM u GROUP BY topic')
+    sql["dedupe"] =_with(EVENTS_LOG) + f"SELECT {VIEW} FROM events_log"
     sql["dedupe_by_id"] = _with(PEOPLE_LOG) + 'SELECT id, topic, "partition", "offset" FROM people_log'
     sql["commit"] = (
         _with(EVENTS_LOG) + f'SELECT \'g0\' AS "group", topic, "partition", '
@@ -398,6 +406,8 @@ FROM m"""
         + '\nSELECT c."group", c.topic, c."partition", c."offset" AS current_offset, '
           'b.e AS log_end_offset, b.e - c."offset" AS lag FROM commits c '
           'LEFT JOIN bnd b ON b.topic = c.topic AND b."partition" = c."partition"')
+    sql["list_groups"] = ("WITH " + GROUPS + '\nSELECT "group", count(*) AS partitions '
+                          'FROM commits GROUP BY "group"')
     sql["plan_reset"] = _reset_sql()
     sql["apply_reset"] = (
         "WITH " + GROUPS + ",\n"

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import md5_uuid, message_key, title_case
+from ..functions.text import message_key, title_case
 from ..log import TP, record_view, wall_clock
 from ..operators import maintenance as M
 from ..operators import positions as O
@@ -35,6 +35,7 @@ RESET_DATETIME = "2024-01-20T00:00:00Z"
 REPUBLISH_EPOCH_S = 1706745600              # 2024-02-01T00:00:00Z
 OFFSETS_SPEC = {"events": {0: 1000, 1: S.LATEST}, "greetings": {0: S.EARLIEST, 2: 100}}
 GREETING_LINE = "Greeting is '%s' from '%s'"
+RAW_GREETING_LINE = "Greeting is '%s'"
 PERSON_LINE = "Consumed person %s %s (%s) with key '%s' from partition %d at offset %d"
 
 
@@ -166,6 +167,11 @@ def message_lines(spark, d):
     return K.message_lines(_greeting_items(spark, d), GREETING_LINE, "message", "key")
 
 
+def raw_greeting_lines(spark, d):
+    raw = K.accepted(S.read_raw_strings(fx.raw_greetings_log(spark, d)))
+    return K.message_lines(raw, RAW_GREETING_LINE, "text")
+
+
 def table_snapshot(spark, d):
     return K.table_snapshot(_greeting_items(spark, d), "greeter", SNAPSHOT_AS_OF)
 
@@ -222,8 +228,14 @@ def title_case_q(spark, d):
 
 
 def with_id(spark, d):
-    cu = fx.table(spark, d, "customer")
-    return cu.select("c_custkey", md5_uuid("person", "c_custkey").alias("id"))
+    cu = fx.table(spark, d, "customer").select("c_custkey")
+    return C.with_id(cu, "id", "md5", "person", "c_custkey")
+
+
+def with_uuid(spark, d):
+    """P3 production form: random ids (no SQL oracle: not repeatable)."""
+    cu = fx.table(spark, d, "customer").select("c_custkey")
+    return C.with_id(cu, "id", "uuid")
 
 
 def items(spark, d):
@@ -280,10 +292,17 @@ def assign_partition(spark, d):
     return M.assign_partition(cu, "key", 3, "md5")
 
 
+def _all_logs(spark, d):
+    return (_events_and_greetings(spark, d).unionByName(fx.people_log(spark, d))
+            .unionByName(fx.people_mixed_log(spark, d)))
+
+
 def topic_stats(spark, d):
-    log = (_events_and_greetings(spark, d).unionByName(fx.people_log(spark, d))
-           .unionByName(fx.people_mixed_log(spark, d)))
-    return M.topic_stats(log)
+    return M.topic_stats(_all_logs(spark, d))
+
+
+def list_topics(spark, d):
+    return M.list_topics(_all_logs(spark, d))
 
 
 def dedupe(spark, d):
@@ -333,6 +352,10 @@ def group_lag(spark, d):
     return O.group_lag(log, commits)
 
 
+def list_groups(spark, d):
+    return O.list_groups(_groups(spark, d)[1])
+
+
 def _plans(spark, d):
     log, commits = _groups(spark, d)
     modes = [("to-offset", 5, [0]), ("to-earliest", None, None), ("to-latest", None, None),
@@ -410,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "dead_letters": dead_letters,
     "keyed_lines": keyed_lines,
     "message_lines": message_lines,
+    "raw_greeting_lines": raw_greeting_lines,
     "table_snapshot": table_snapshot,
     "encode_json": encode_json,
     "decode_json": decode_json,
@@ -420,6 +444,7 @@ QUERIES: dict[str, Query] = {
     "message_key": message_key_q,
     "title_case": title_case_q,
     "with_id": with_id,
+    "with_uuid": with_uuid,
     "items": items,
     "rekey": rekey,
     "count_by_key": count_by_key,
@@ -429,11 +454,13 @@ QUERIES: dict[str, Query] = {
     "compact": compact,
     "assign_partition": assign_partition,
     "topic_stats": topic_stats,
+    "list_topics": list_topics,
     "dedupe": dedupe,
     "dedupe_by_id": dedupe_by_id,
     "commit": commit,
     "resume": resume,
     "group_lag": group_lag,
+    "list_groups": list_groups,
     "plan_reset": plan_reset,
     "apply_reset": apply_reset,
     "incremental_run": incremental_run,
@@ -441,3 +468,6 @@ QUERIES: dict[str, Query] = {
     "consume_people": consume_people,
     "consume_commits": consume_commits,
 }
+
+# Queries whose result is not repeatable (random ids): rows-only check.
+ROWS_ONLY = {"with_uuid"}

@@ -52,6 +52,13 @@ def write_topic(df: DataFrame, topic: str, key: str | Column, value: str | Colum
     return written
 
 
+def write_kafka(log: DataFrame, options: dict[str, str]) -> None:
+    """K1 to a broker: Spark's Kafka sink takes key, value and topic (and an
+    optional partition); needs the connector package on the classpath."""
+    cols = [c for c in ("key", "value", "topic", "partition") if c in log.columns]
+    log.select(*cols).write.format("kafka").options(**options).save()
+
+
 # --- K2 ---------------------------------------------------------------------
 
 def delivery_receipts(written: DataFrame, payload: list[str]) -> DataFrame:

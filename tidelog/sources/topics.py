@@ -46,6 +46,13 @@ def kafka_options(bootstrap: str, topics: list[str] | None = None,
     return opts
 
 
+def starting_offsets_json(spec: dict[str, dict[int, int]]) -> str:
+    """S3's spec as the Kafka source's ``startingOffsets`` JSON."""
+    import json
+    return json.dumps({t: {str(p): int(o) for p, o in parts.items()}
+                       for t, parts in spec.items()})
+
+
 def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return to_log(spark.read.format("kafka").options(**options).load())
 
