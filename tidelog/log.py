@@ -105,12 +105,16 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
 
     A plain ``row_number`` puts a whole group into one task, which is one task
     per topic partition or per hot key. Here, when the input is larger than
-    one bucket, the rows are cut into range buckets on the leading order
-    column (approximate quantiles, computed once and then fixed literals, so a
-    recomputed task after an executor loss sees the same buckets). Each
-    (group, bucket) is ranked by its own window task; a small count table,
-    running-summed per group, gives each bucket its base. A group that holds
-    a third of the rows is spread over a third of the buckets.
+    one bucket, the leading order column is cut into range buckets
+    (approximate quantiles, computed once and then fixed literals, so a
+    recomputed task after an executor loss sees the same buckets). Groups
+    larger than one bucket (at most n / rows_per_bucket of them) are ranked
+    per (group, bucket); all other groups are ranked whole, each within one
+    task. A small count table of the hot groups' buckets, running-summed per
+    group, gives each bucket its base. A group that holds a third of the rows
+    is spread over a third of the buckets. The rows are shuffled once (the
+    window's exchange); the two small tables are checkpointed to the shared
+    checkpoint folder and broadcast when their counted size allows.
     """
     rows = rows_per_bucket or _bucket_rows(df)
     n = df.count()
@@ -125,24 +129,66 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
     probs = [i / buckets for i in range(1, buckets)]
     cuts = keyed.approxQuantile("_pos_k", probs, 1.0 / (4 * buckets))
     splits = [-math.inf] + sorted(set(cuts)) + [math.inf]
-    bucketed = Bucketizer(splits=splits, inputCol="_pos_k", outputCol="_pos_b",
-                          handleInvalid="keep").transform(keyed)
-
-    counts = bucketed.groupBy(*by, "_pos_b").agg(F.count(F.lit(1)).alias("_pos_n"))
+    bucketed = (Bucketizer(splits=splits, inputCol="_pos_k", outputCol="_pos_bd",
+                           handleInvalid="keep").transform(keyed)
+                .withColumn("_pos_b", F.col("_pos_bd").cast("int")).drop("_pos_bd"))
+
+    g = [f"_pos_g{i}" for i in range(len(by))]
+    if by:
+        # Only groups larger than one bucket are cut (at most n / rows of
+        # them); every other group keeps bucket -1 and is ranked whole in one
+        # task. So the count table stays small even with millions of keys.
+        hot = _materialize(
+            df.groupBy(*by).agg(F.count(F.lit(1)).alias("_pos_size"))
+            .filter(F.col("_pos_size") > rows)
+            .select(*[F.col(c).alias(a) for c, a in zip(by, g)],
+                    F.lit(True).alias("_pos_hot")))
+        cond = [bucketed[c].eqNullSafe(hot[a]) for c, a in zip(by, g)]
+        bucketed = (bucketed.join(_small(hot), cond, "left").drop(*g)
+                    .withColumn("_pos_b", F.when(F.col("_pos_hot"), F.col("_pos_b"))
+                                .otherwise(F.lit(-1)))
+                    .drop("_pos_hot"))
+
+    counts = (bucketed.filter(F.col("_pos_b") >= 0)
+              .groupBy(*by, "_pos_b").agg(F.count(F.lit(1)).alias("_pos_n")))
     before = Window.partitionBy(*by).orderBy("_pos_b").rowsBetween(
         Window.unboundedPreceding, -1)
-    bases = counts.select(
-        *[F.col(c).alias(f"_pos_g{i}") for i, c in enumerate(by)], "_pos_b",
-        F.coalesce(F.sum("_pos_n").over(before), F.lit(0)).alias("_pos_base"))
-    bases = bases.withColumnRenamed("_pos_b", "_pos_bb")
-    cond = [bucketed[c].eqNullSafe(bases[f"_pos_g{i}"]) for i, c in enumerate(by)]
-    cond.append(bucketed["_pos_b"] == bases["_pos_bb"])
-    joined = bucketed.join(bases, cond, "inner")
+    bases = _materialize(counts.select(
+        *[F.col(c).alias(a) for c, a in zip(by, g)], F.col("_pos_b").alias("_pos_bb"),
+        F.coalesce(F.sum("_pos_n").over(before), F.lit(0)).alias("_pos_base")))
+    # One shuffle of the rows, the window's own (sized by the session's
+    # shuffle partitions like any large shuffle); the bases join afterwards,
+    # broadcast when their counted size allows.
     w = Window.partitionBy(*by, "_pos_b").orderBy(*order)
+    ranked = bucketed.withColumn("_pos_rn", F.row_number().over(w) - 1)
+    cond = [ranked[c].eqNullSafe(bases[a]) for c, a in zip(by, g)]
+    cond.append(ranked["_pos_b"] == bases["_pos_bb"])
+    joined = ranked.join(_small(bases), cond, "left")
     out = joined.withColumn(
-        name, (F.col("_pos_base") + F.row_number().over(w) - 1).cast("long"))
-    return out.drop("_pos_k", "_pos_b", "_pos_bb", "_pos_base",
-                    *[f"_pos_g{i}" for i in range(len(by))])
+        name, (F.coalesce(F.col("_pos_base"), F.lit(0)) + F.col("_pos_rn")).cast("long"))
+    return out.drop("_pos_k", "_pos_b", "_pos_bb", "_pos_base", "_pos_rn", *g)
+
+
+# Small side tables (hot groups, bucket bases) are broadcast only when their
+# counted size is at most this many rows; beyond it they are shuffle-joined.
+BROADCAST_ROWS = 1 << 20
+
+
+def _materialize(df: DataFrame) -> DataFrame:
+    """Compute a small derived table once and cut its lineage: a reliable
+    checkpoint in the shared ``spark.checkpoint.dir`` (so a lost executor
+    does not recompute it from the scan), its row count kept for the
+    broadcast check."""
+    from .session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    out = df.checkpoint(eager=True)
+    out._tidelog_rows = out.count()          # reads the checkpoint, not the scan
+    return out
+
+
+def _small(df: DataFrame) -> DataFrame:
+    rows = getattr(df, "_tidelog_rows", None)
+    return F.broadcast(df) if rows is not None and rows <= BROADCAST_ROWS else df
 
 
 def with_offsets(df: DataFrame, order: list[str], base: DataFrame | None = None,
