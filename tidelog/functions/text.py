@@ -40,20 +40,30 @@ def title_exceptions() -> dict[str, str]:
     return out
 
 
+def _multi_char_titles() -> dict[str, str]:
+    """The exceptions whose title case is more than one character; a
+    single-character title case is what ``initcap`` gives."""
+    return {c: t for c, t in title_exceptions().items() if len(t) > 1}
+
+
 def title_case(s: str | Column) -> Column:
     """The producer's ``str.title``: first character of every cased run
     in title case, the rest lower case.
 
-    ``initcap`` splits words on spaces only (``o-b`` stays ``O-b``) and maps
-    ``ß`` to itself; here runs are split by the regex above and the first
-    character goes through the title-case exceptions, else ``upper``."""
+    ``initcap`` splits words on spaces only (``o-b`` stays ``O-b``) and keeps
+    ``ß``; here runs are split by the regex above, the first character is
+    title-cased by ``initcap``, and only a character whose upper case is
+    longer than one character (``ß``, ligatures) is looked up in the
+    multi-character title table."""
     runs = F.regexp_extract_all(_c(s), F.lit(CASED_RUN), 1)
-    special = F.create_map(*[F.lit(x) for kv in title_exceptions().items() for x in kv])
+    special = F.create_map(*[F.lit(x) for kv in _multi_char_titles().items() for x in kv])
 
     def word(r: Column) -> Column:
         head = F.substring(r, 1, 1)
-        return F.concat(F.coalesce(F.try_element_at(special, head), F.upper(head)),
-                        F.lower(F.substring(r, 2, 1 << 30)))
+        titled = F.when(F.length(F.upper(head)) > 1,
+                        F.coalesce(F.try_element_at(special, head), F.initcap(head))
+                        ).otherwise(F.initcap(head))
+        return F.concat(titled, F.lower(F.substring(r, 2, 1 << 30)))
     return F.array_join(F.transform(runs, word), "")
 
 
