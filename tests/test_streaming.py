@@ -112,3 +112,68 @@ def test_greetings_stream_is_repeatable(spark, scratch):
              G.generate_greetings(12, fx.EPOCH_S, spark=spark).collect()}
     assert all(batch[r.id] == (r.message, r.greeter) for r in rows)
     assert [r.timestamp for r in rows][:4] == [rows[0].timestamp] * 4
+
+
+def test_update_mode_counts_end_at_batch_counts(spark, scratch):
+    log = fx.events_log(spark, SF_CHECK)
+    path = f"{scratch}/log"
+    _write_parts(log, path, [5000])
+    events = accepted(C.decode_json(L.log_stream(spark, path, 1), fx.EVENT))
+    name = _name(scratch, "upd")
+    q = L.start(L.live_counts(events, "event_type"), name, mode="update", available_now=True)
+    q.awaitTermination()
+    last = {r.event_type: r["m"] for r in
+            spark.table(name).groupBy("event_type").agg(F.max("count").alias("m")).collect()}
+    batch = {r.event_type: r["count"] for r in A.count_by_key(
+        accepted(C.decode_json(log, fx.EVENT)), "event_type").collect()}
+    assert last == batch
+
+
+def test_route_stream_keeps_rejects_apart(spark, scratch):
+    log = fx.people_mixed_log(spark, SF_CHECK)
+    path = f"{scratch}/log"
+    _write_parts(log, path, [500])
+    resolved = C.read_with_schema(C.unframe(L.log_stream(spark, path, 1)), "schema_id",
+                                  {1: C.PERSON_V1, 2: C.PERSON_V2}, C.PERSON_V1)
+    q = L.route_stream(resolved.select("partition", "offset", "name", "title", "error"),
+                       _name(scratch, "route"), f"{scratch}/good", f"{scratch}/bad",
+                       available_now=True)
+    q.awaitTermination()
+    good, bad = spark.read.parquet(f"{scratch}/good"), spark.read.parquet(f"{scratch}/bad")
+    assert good.count() + bad.count() == log.count()
+    assert bad.filter(F.col("error").isNull()).count() == 0
+    assert "error" not in good.columns
+
+
+def test_publish_stream_continues_offsets(spark, scratch):
+    src = f"{scratch}/src"
+    gen = spark.read.parquet(f"{SF_CHECK}/customer.parquet").select(
+        "c_custkey", F.col("c_name").alias("k"), F.col("c_mktsegment").alias("v"))
+    gen.filter("c_custkey < 700").coalesce(1).write.parquet(src)
+    time.sleep(0.05)
+    gen.filter("c_custkey >= 700").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(gen.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = f"{scratch}/log"
+    q = L.publish_stream(stream, _name(scratch, "pub"), "people", "k", "v", ["c_custkey"],
+                         out, method="md5", available_now=True)
+    q.awaitTermination()
+    from tidelog.sources.topics import open_log
+    got = open_log(spark, out)
+    b = got.groupBy("partition").agg(F.min("offset").alias("a"), F.max("offset").alias("z"),
+                                     F.count("*").alias("n")).collect()
+    assert sum(r.n for r in b) == gen.count()
+    assert all(r.a == 0 and r.z == r.n - 1 for r in b)
+
+
+def test_dedupe_stream_drops_replays(spark, scratch):
+    log = fx.events_log(spark, SF_CHECK)
+    path = f"{scratch}/log"
+    log.filter(F.col("offset") < 500).coalesce(1).write.parquet(path)
+    time.sleep(0.05)
+    log.filter(F.col("offset") < 500).coalesce(1).write.mode("append").parquet(path)   # replay
+    live = L.dedupe_stream(L.log_stream(spark, path, 1), ["topic", "partition", "offset"],
+                           delay="1 day")
+    name = _name(scratch, "dd")
+    q = L.start(live.select("partition", "offset"), name, available_now=True)
+    q.awaitTermination()
+    assert spark.table(name).count() == log.filter(F.col("offset") < 500).count()

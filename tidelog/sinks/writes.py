@@ -77,13 +77,15 @@ def accepted(df: DataFrame, reason: str = ERROR) -> DataFrame:
     return df.filter(F.col(reason).isNull()).drop(reason)
 
 
-def route(df: DataFrame, good_path: str, bad_path: str, reason: str = ERROR) -> None:
+def route(df: DataFrame, good_path: str, bad_path: str, reason: str = ERROR,
+          mode: str = "append") -> None:
     """Write good and bad records of one batch apart. The batch is persisted
-    once so both writes read it a single time."""
+    once so both writes read it a single time (a lost cached block is
+    recomputed from the batch's own lineage)."""
     cached = df.persist()
     try:
-        accepted(cached, reason).write.mode("append").parquet(good_path)
-        dead_letters(cached, reason).write.mode("append").parquet(bad_path)
+        accepted(cached, reason).write.mode(mode).parquet(good_path)
+        dead_letters(cached, reason).write.mode(mode).parquet(bad_path)
     finally:
         cached.unpersist()
 
