@@ -28,6 +28,11 @@ EVENT = T.StructType([
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. Its timestamps are zone-free wall clocks, and the
+    fixtures define them as UTC instants (as the SQL oracle does), so the
+    session zone is pinned to UTC here."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -115,7 +120,7 @@ def commits_at(log: DataFrame, group: str, tenths: int) -> DataFrame:
     (integer arithmetic, so every engine agrees)."""
     b = bounds(log)
     return b.select(F.lit(group).alias("group"), *TP,
-                    F.floor(F.col("end_offset") * tenths / 10).cast("long").alias("offset"))
+                    F.expr(f"(end_offset * {int(tenths)}) div 10").cast("long").alias("offset"))
 
 
 def commits_g0(log: DataFrame) -> DataFrame:
