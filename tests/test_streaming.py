@@ -177,3 +177,17 @@ def test_dedupe_stream_drops_replays(spark, scratch):
     q = L.start(live.select("partition", "offset"), name, available_now=True)
     q.awaitTermination()
     assert spark.table(name).count() == log.filter(F.col("offset") < 500).count()
+
+
+def test_records_stream_matches_batch_generator(spark, scratch):
+    from tidelog.sources import generators as G
+    name = _name(scratch, "recs")
+    q = L.start(L.records_stream(spark, per_batch=5), name, every="0 seconds")
+    deadline = time.time() + 60
+    while time.time() < deadline and spark.table(name).count() < 15:
+        time.sleep(0.5)
+    q.stop()
+    live = {r.id: (r.firstName, r.lastName, r.title, r.key) for r in spark.table(name).collect()}
+    batch = {r.id: (r.firstName, r.lastName, r.title, r.key)
+             for r in G.generate_records(max(live) + 1, spark=spark).collect()}
+    assert len(live) >= 15 and all(batch[i] == v for i, v in live.items())

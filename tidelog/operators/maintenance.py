@@ -22,9 +22,12 @@ def _instant(now: str | datetime | Column) -> Column:
 # --- M1 ---------------------------------------------------------------------
 
 def apply_retention(log: DataFrame, retention_ms: int,
-                    now: str | datetime | Column) -> DataFrame:
-    """Drop records older than ``retention_ms`` at ``now``. With a literal
-    ``now`` the bound folds to a constant, which Parquet scans push down."""
+                    now: str | datetime | Column | None = None) -> DataFrame:
+    """Drop records older than ``retention_ms`` at ``now`` (default: the
+    query's start time). The bound folds to a constant, which Parquet scans
+    push down."""
+    if now is None:
+        now = F.current_timestamp()
     cutoff = F.timestamp_micros(F.unix_micros(_instant(now)) - F.lit(int(retention_ms) * 1000))
     return log.filter(F.col("timestamp") >= cutoff)
 

@@ -19,6 +19,7 @@ from ..operators.serde import frame
 EPOCH_S = 1704067200          # 2024-01-01T00:00:00Z
 GREETING_EVERY_S = 5
 PARTITIONS = 3
+UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Etc/Universal", "Universal"}
 
 EVENT = T.StructType([
     T.StructField("event_type", T.StringType()),
@@ -31,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. Its timestamps are zone-free wall clocks, and the
     fixtures define them as UTC instants (as the SQL oracle does), so the
     session zone is pinned to UTC here."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+    if spark.conf.get("spark.sql.session.timeZone") not in UTC_NAMES:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -67,10 +67,15 @@ def generate_records(source: int | DataFrame, fields: dict[str, list[str]] | Non
                      seed: str = "technologists", key_field: str = TECHNOLOGIST_KEY,
                      id_col: str = "id", spark: SparkSession | None = None) -> DataFrame:
     """n records, each field picked from its option list; key = one field."""
-    fields = fields or TECHNOLOGIST_OPTIONS
     base = ids(source, id_col, spark)
-    cols = [pick(opts, f"{seed}.{name}").alias(name) for name, opts in fields.items()]
-    return base.select("id", *cols).withColumn("key", F.col(key_field))
+    return base.select("id", *record_columns(fields, seed)).withColumn("key", F.col(key_field))
+
+
+def record_columns(fields: dict[str, list[str]] | None = None,
+                   seed: str = "technologists") -> list[Column]:
+    """One picked column per field (from the ``id`` column)."""
+    fields = fields or TECHNOLOGIST_OPTIONS
+    return [pick(opts, f"{seed}.{name}").alias(name) for name, opts in fields.items()]
 
 
 # --- S10 --------------------------------------------------------------------

@@ -55,16 +55,37 @@ def stream_from_latest(spark: SparkSession, path: str, topic: str) -> DataFrame:
     return from_positions(live, starts, default="earliest")
 
 
-def greetings_stream(spark: SparkSession, start_epoch_s: int, per_batch: int = 1,
-                     every_s: int = G.GREETING_EVERY_S, seed: str = "greetings",
-                     form: str = "record") -> DataFrame:
-    """S11 live: ``per_batch`` greetings per micro-batch, event time advancing
-    ``every_s`` per batch (``rate-micro-batch`` source, deterministic)."""
+def rate_ids(spark: SparkSession, per_batch: int, start_epoch_s: int,
+             every_s: int) -> DataFrame:
+    """Ids for live generators: ``per_batch`` new ids per micro-batch, event
+    time advancing ``every_s`` per batch (``rate-micro-batch``: the rows of a
+    batch depend only on the batch number, so a replayed batch is identical).
+    Columns ``id`` and ``timestamp``."""
     rate = (spark.readStream.format("rate-micro-batch")
             .option("rowsPerBatch", int(per_batch))
             .option("startTimestamp", int(start_epoch_s) * 1000)
             .option("advanceMillisPerBatch", int(every_s) * 1000).load())
-    src = rate.select(F.col("value").alias("id"), F.col("timestamp").alias("_at"))
+    return rate.select(F.col("value").alias("id"), "timestamp")
+
+
+def records_stream(spark: SparkSession, per_batch: int = 1, start_epoch_s: int = 0,
+                   every_s: int = 1, fields: dict[str, list[str]] | None = None,
+                   seed: str = "technologists", key_field: str = G.TECHNOLOGIST_KEY
+                   ) -> DataFrame:
+    """S9 live: the record generator (technologists by default) fed by
+    ``rate_ids``; same picks as the batch form for the same ids."""
+    ids = rate_ids(spark, per_batch, start_epoch_s, every_s)
+    return ids.select("id", "timestamp", *G.record_columns(fields, seed)).withColumn(
+        "key", F.col(key_field))
+
+
+def greetings_stream(spark: SparkSession, start_epoch_s: int, per_batch: int = 1,
+                     every_s: int = G.GREETING_EVERY_S, seed: str = "greetings",
+                     form: str = "record") -> DataFrame:
+    """S11 live: ``per_batch`` greetings per micro-batch, event time advancing
+    ``every_s`` per batch."""
+    src = rate_ids(spark, per_batch, start_epoch_s, every_s).withColumnRenamed(
+        "timestamp", "_at")
     if form == "record":
         message = F.concat_ws(" ", G.pick(G.GREETING_PREFIXES, f"{seed}.prefix"),
                               G.pick(G.GREETING_RECIPIENTS, f"{seed}.recipient"))
