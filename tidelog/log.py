@@ -99,7 +99,8 @@ def _bucket_rows(df: DataFrame) -> int:
 
 def dense_position(df: DataFrame, by: list[str], order: list[str],
                    name: str = "position",
-                   rows_per_bucket: int | None = None) -> DataFrame:
+                   rows_per_bucket: int | None = None,
+                   known_count: int | None = None) -> DataFrame:
     """Add ``name`` = 0-based rank of each row inside its ``by`` group in
     ``order`` (the order must be total inside a group).
 
@@ -116,8 +117,8 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
     window's exchange); the two small tables are checkpointed to the shared
     checkpoint folder and broadcast when their counted size allows.
     """
+    n = df.count() if known_count is None else known_count
     rows = rows_per_bucket or _bucket_rows(df)
-    n = df.count()
     buckets = max(1, math.ceil(n / rows))
     if buckets == 1:
         w = Window.partitionBy(*by).orderBy(*order)

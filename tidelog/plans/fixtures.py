@@ -57,10 +57,11 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ranked_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     cv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    ranked = dense_position(cv, [], ["conv_id", "turn"], "seq")
+    n = cv.count()                           # both rankings cover the same rows
+    ranked = dense_position(cv, [], ["conv_id", "turn"], "seq", known_count=n)
     ranked = ranked.withColumn(
         "partition", F.pmod(F.col("conv_id"), F.lit(PARTITIONS)).cast("int"))
-    ranked = dense_position(ranked, ["partition"], ["seq"], "offset")
+    ranked = dense_position(ranked, ["partition"], ["seq"], "offset", known_count=n)
     return ranked.withColumn(
         "timestamp", F.timestamp_seconds(F.lit(EPOCH_S) + F.col("seq") * GREETING_EVERY_S))
 
