@@ -96,3 +96,16 @@ def test_fixture_logs_have_dense_offsets(spark):
         for r in b.collect():
             assert r.a == 0 and r.b == r.n - 1 and r.d == r.n
     assert record_view(fx.events_log(spark, SF_CHECK)).count() == 10000
+
+
+def test_kafka_option_mapping():
+    import json
+    opts = S.kafka_options("b:9092", ["people", "greetings"], starting="earliest",
+                           security={"security.protocol": "SASL_SSL",
+                                     "kafka.sasl.mechanism": "SCRAM-SHA-512"})
+    assert opts == {"kafka.bootstrap.servers": "b:9092", "subscribe": "people,greetings",
+                    "startingOffsets": "earliest", "kafka.security.protocol": "SASL_SSL",
+                    "kafka.sasl.mechanism": "SCRAM-SHA-512"}
+    spec = {"people": {0: 5, 1: S.EARLIEST}}
+    assert json.loads(S.starting_offsets_json(spec)) == {"people": {"0": 5, "1": -2}}
+    assert S.kafka_options("b", starting_ms=1713158400000)["startingTimestamp"] == "1713158400000"
