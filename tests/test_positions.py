@@ -86,3 +86,10 @@ def test_run_incremental_modes(spark):
     assert rows.count() == 12 and same.collect() == commits.collect()
     with pytest.raises(ValueError):
         O.run_incremental(log, commits, "job", "sometimes")
+
+
+def test_bookmark_option_names():
+    assert O.bookmark_mode("job-bookmark-pause") == "paused"
+    assert O.bookmark_mode(" Enabled ") == "enabled"
+    with pytest.raises(ValueError):
+        O.bookmark_mode("job-bookmark-sometimes")

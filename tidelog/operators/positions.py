@@ -173,6 +173,24 @@ def apply_reset(commits: DataFrame, plan: DataFrame) -> DataFrame:
 # --- J1 ---------------------------------------------------------------------
 
 BOOKMARK_MODES = ("enabled", "paused", "disabled")
+# The job option each bookmark mode maps to.
+BOOKMARK_OPTIONS = {
+    "enabled": "job-bookmark-enable",
+    "disabled": "job-bookmark-disable",
+    "paused": "job-bookmark-pause",
+}
+
+
+def bookmark_mode(mode: str) -> str:
+    """A mode name (``enabled``) or its job option (``job-bookmark-enable``),
+    in any case, as the mode name; anything else is an error."""
+    m = mode.strip().lower()
+    by_option = {v: k for k, v in BOOKMARK_OPTIONS.items()}
+    if m in BOOKMARK_OPTIONS:
+        return m
+    if m in by_option:
+        return by_option[m]
+    raise ValueError(f"unknown bookmark mode: {mode}")
 
 
 def run_incremental(log: DataFrame, commits: DataFrame, job: str,
@@ -183,9 +201,7 @@ def run_incremental(log: DataFrame, commits: DataFrame, job: str,
     ``paused``: only records after the bookmark, bookmark unchanged;
     ``disabled``: every record, no tracking. Returns (records, bookmarks).
     A partition never seen before is read from its start."""
-    mode = mode.lower()
-    if mode not in BOOKMARK_MODES:
-        raise ValueError(f"unknown bookmark mode: {mode}")
+    mode = bookmark_mode(mode)
     if mode == "disabled":
         return log, commits
     rows = resume(log, commits, job, policy="earliest")

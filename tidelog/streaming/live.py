@@ -167,7 +167,8 @@ def run_incremental_live(spark: SparkSession, path: str, out: str, job: str,
     ``disabled`` processes the whole log as a batch. ``paused`` needs the
     bookmark without moving it; use the batch form
     (``tidelog.operators.positions.run_incremental``) for it."""
-    mode = mode.lower()
+    from ..operators.positions import bookmark_mode
+    mode = bookmark_mode(mode)
     transform = transform or (lambda d: d)
     if mode == "disabled":
         rows = transform(to_log(spark.read.schema(LOG_SCHEMA).parquet(path)))
