@@ -46,13 +46,18 @@ def test_offsets_spec_earliest_latest_unlisted(spark):
     assert len(_offsets(S.read_from_offsets(log, {"t": {0: S.EARLIEST}}))) == 30
 
 
-def test_literal_and_join_start_paths_agree(spark, monkeypatch):
+def test_start_positions_match_brute_force(spark):
     log = _log(spark)
     starts = spark.createDataFrame([("t", 0, 3), ("t", 2, 11)], "topic string, partition int, start_offset long")
-    a = _offsets(O.from_positions(log, starts, "earliest"))
-    monkeypatch.setattr(O, "MAX_LITERAL_STARTS", 1)
-    b = _offsets(O.from_positions(log, starts, "earliest"))
-    assert a == b and ("t", 1, 0) in a and ("t", 0, 2) not in a and not any(p == 2 for _, p, _ in a)
+    rows = [(r.topic, r.partition, r.offset) for r in log.collect()]
+    st = {("t", 0): 3, ("t", 2): 11}
+    for policy in ("earliest", "latest"):
+        want = sorted(r for r in rows if ((r[0], r[1]) in st and r[2] >= st[(r[0], r[1])])
+                      or ((r[0], r[1]) not in st and policy == "earliest"))
+        assert _offsets(O.from_positions(log, starts, policy)) == want
+    none = spark.createDataFrame([], "topic string, partition int, start_offset long")
+    assert O.from_positions(log, none, "latest").count() == 0
+    assert O.from_positions(log, none, "earliest").count() == log.count()
 
 
 def test_from_timestamp_bounds(spark):

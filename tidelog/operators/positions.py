@@ -2,11 +2,8 @@
 
 Commits are a small DataFrame ``group, topic, partition, offset`` (offset =
 next record to read). Start positions are one row per topic partition, so
-they are bounded by the partition count, never by the data: up to
-``MAX_LITERAL_STARTS`` partitions (checked with a bounded ``limit``) they
-become a literal predicate that the Parquet scan pushes down (row groups
-before the start are skipped), beyond that a join whose strategy Spark picks
-from the measured size.
+they are bounded by the partition count, never by the data
+(``from_positions``).
 """
 
 from __future__ import annotations
@@ -16,9 +13,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..log import TP, bounds
+from ..log import TP, bounds, materialize, small
 
-MAX_LITERAL_STARTS = 1024
 POLICIES = ("earliest", "latest")
 
 
@@ -27,24 +23,27 @@ def from_positions(log: DataFrame, starts: DataFrame,
     """Records at or after ``starts.start_offset`` of their partition.
 
     Partitions without a start follow ``default``: ``earliest`` keeps all
-    their records, ``latest`` keeps none of the current ones."""
+    their records, ``latest`` keeps none of the current ones.
+
+    The start table (one row per partition) is computed once, checkpointed
+    and counted, then hash-joined: broadcast when its counted size allows,
+    else shuffled. With ``latest`` only listed partitions are read, so a
+    coarse bound (listed topics, smallest start) is also applied, which the
+    Parquet scan pushes down. (A per-partition literal predicate would push
+    down more but costs every row one comparison per partition, and past a
+    few dozen partitions defeats code generation.)"""
     if default not in POLICIES:
         raise ValueError(f"unknown start policy: {default}")
-    spec = starts.select(*TP, F.col("start_offset").cast("long"))
-    rows = spec.limit(MAX_LITERAL_STARTS + 1).collect()
-    if len(rows) <= MAX_LITERAL_STARTS:
-        keep = F.lit(False)
-        listed = F.lit(False)
-        for r in rows:
-            here = (F.col("topic") == F.lit(r["topic"])) & (F.col("partition") == F.lit(r["partition"]))
-            keep = keep | (here & (F.col("offset") >= F.lit(r["start_offset"])))
-            listed = listed | here
-        if default == "earliest":
-            keep = keep | ~listed
-        return log.filter(keep)
-    # Beyond the literal limit the planner (and adaptive execution, from
-    # the measured size) picks broadcast or shuffle join.
-    j = log.join(spec, TP, "left")
+    spec = materialize(starts.select(*TP, F.col("start_offset").cast("long")))
+    src = log
+    if default == "latest":
+        lo = spec.agg(F.min("start_offset").alias("lo"),
+                      F.collect_set("topic").alias("topics")).first()
+        if lo["lo"] is None:
+            return log.limit(0)
+        src = log.filter(F.col("topic").isin(list(lo["topics"]))
+                         & (F.col("offset") >= F.lit(lo["lo"])))
+    j = src.join(small(spec), TP, "left")
     cond = F.col("offset") >= F.col("start_offset")
     if default == "earliest":
         cond = cond | F.col("start_offset").isNull()
@@ -99,10 +98,11 @@ def resume(log: DataFrame, commits: DataFrame, group: str,
 
 def consumed(log: DataFrame, commits: DataFrame, group: str) -> DataFrame:
     """Records before the group's committed positions (what it has read).
-    Commits are one row per partition; the join strategy follows their
-    measured size."""
-    c = commits.filter(F.col("group") == group).select(*TP, F.col("offset").alias("_upto"))
-    return log.join(c, TP).filter(F.col("offset") < F.col("_upto")).drop("_upto")
+    Commits are one row per partition: checkpointed, counted and broadcast
+    when small (as in ``from_positions``)."""
+    c = materialize(commits.filter(F.col("group") == group)
+                    .select(*TP, F.col("offset").alias("_upto")))
+    return log.join(small(c), TP).filter(F.col("offset") < F.col("_upto")).drop("_upto")
 
 
 # --- O3 ---------------------------------------------------------------------
