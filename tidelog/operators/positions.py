@@ -18,6 +18,12 @@ from ..log import TP, bounds, materialize, small
 POLICIES = ("earliest", "latest")
 
 
+# Start tables up to this many rows (one per topic partition) are collected,
+# checked with a bounded ``limit``, and joined as a broadcast local table.
+LOCAL_STARTS = 100_000
+STARTS_SCHEMA = "topic string, partition int, start_offset long"
+
+
 def from_positions(log: DataFrame, starts: DataFrame,
                    default: str = "earliest") -> DataFrame:
     """Records at or after ``starts.start_offset`` of their partition.
@@ -25,25 +31,35 @@ def from_positions(log: DataFrame, starts: DataFrame,
     Partitions without a start follow ``default``: ``earliest`` keeps all
     their records, ``latest`` keeps none of the current ones.
 
-    The start table (one row per partition) is computed once, checkpointed
-    and counted, then hash-joined: broadcast when its counted size allows,
-    else shuffled. With ``latest`` only listed partitions are read, so a
-    coarse bound (listed topics, smallest start) is also applied, which the
+    The start table has one row per topic partition. Up to ``LOCAL_STARTS``
+    rows (checked with a bounded ``limit``) it is collected once and
+    broadcast-joined as a local table, so an expensive start computation (a
+    time lookup over the log) runs once; beyond that it is checkpointed and
+    shuffle-joined. With ``latest`` only listed partitions are read, so a
+    coarse bound (listed topics, smallest start) is applied too, which the
     Parquet scan pushes down. (A per-partition literal predicate would push
     down more but costs every row one comparison per partition, and past a
     few dozen partitions defeats code generation.)"""
     if default not in POLICIES:
         raise ValueError(f"unknown start policy: {default}")
-    spec = materialize(starts.select(*TP, F.col("start_offset").cast("long")))
+    spec = starts.select(*TP, F.col("start_offset").cast("long"))
+    rows = spec.limit(LOCAL_STARTS + 1).collect()
+    if len(rows) <= LOCAL_STARTS:
+        lo = min((r["start_offset"] for r in rows), default=None)
+        topics = sorted({r["topic"] for r in rows})
+        spec = F.broadcast(log.sparkSession.createDataFrame(rows, STARTS_SCHEMA))
+    else:
+        spec = materialize(spec)
+        agg = spec.agg(F.min("start_offset").alias("lo"),
+                       F.collect_set("topic").alias("topics")).first()
+        lo, topics = agg["lo"], list(agg["topics"])
+        spec = small(spec)
     src = log
     if default == "latest":
-        lo = spec.agg(F.min("start_offset").alias("lo"),
-                      F.collect_set("topic").alias("topics")).first()
-        if lo["lo"] is None:
+        if lo is None:
             return log.limit(0)
-        src = log.filter(F.col("topic").isin(list(lo["topics"]))
-                         & (F.col("offset") >= F.lit(lo["lo"])))
-    j = src.join(small(spec), TP, "left")
+        src = log.filter(F.col("topic").isin(topics) & (F.col("offset") >= F.lit(lo)))
+    j = src.join(spec, TP, "left")
     cond = F.col("offset") >= F.col("start_offset")
     if default == "earliest":
         cond = cond | F.col("start_offset").isNull()
