@@ -451,6 +451,9 @@ FROM rows""")
         _with(PEOPLE_MIXED_LOG)
         + 'SELECT \'people.grp\' AS "group", topic, "partition", max("offset") + 1 AS "offset" '
           'FROM people_mixed_log GROUP BY topic, "partition"')
+    # The live forms must give the batch results.
+    sql["live_count_greetings"] = sql["count_greetings"]
+    sql["live_running_count"] = sql["running_count"]
     return sql
 
 

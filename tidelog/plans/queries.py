@@ -469,5 +469,14 @@ QUERIES: dict[str, Query] = {
     "consume_commits": consume_commits,
 }
 
+
+def _live() -> dict[str, Query]:
+    from .live_queries import live_count_greetings, live_running_count
+    return {"live_count_greetings": live_count_greetings,
+            "live_running_count": live_running_count}
+
+
+QUERIES.update(_live())
+
 # Queries whose result is not repeatable (random ids): rows-only check.
 ROWS_ONLY = {"with_uuid"}
