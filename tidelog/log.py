@@ -116,6 +116,10 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
     is spread over a third of the buckets. The rows are shuffled once (the
     window's exchange); the two small tables are checkpointed to the shared
     checkpoint folder and broadcast when their counted size allows.
+
+    Buckets are cut on the leading order column only, so rows that tie on it
+    stay in one bucket: lead with a (near-)unique column (an id, a sequence
+    number, a fine timestamp), not with a value shared by many rows.
     """
     n = df.count() if known_count is None else known_count
     rows = rows_per_bucket or _bucket_rows(df)
