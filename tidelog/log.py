@@ -204,9 +204,25 @@ def with_offsets(df: DataFrame, order: list[str], base: DataFrame | None = None,
     out = dense_position(df, TP, order, "offset", rows_per_bucket)
     if base is None:
         return out
-    # One row per partition: small, and adaptive execution broadcasts it
-    # once its real size is known (no unchecked hint).
     b = base.select(*TP, F.col("end_offset").alias("_base_end"))
     return (out.join(b, TP, "left")
             .withColumn("offset", F.col("offset") + F.coalesce("_base_end", F.lit(0)))
             .drop("_base_end"))
+
+
+# Per-partition tables (start positions, end offsets) up to this many rows
+# are collected once, checked with a bounded ``limit``, and used as local
+# tables; larger ones are checkpointed.
+LOCAL_ROWS = 100_000
+
+
+def pin_small(df: DataFrame, schema: str | T.StructType) -> tuple[DataFrame, list | None]:
+    """Fix a small per-partition table: returns (table, rows). Up to
+    ``LOCAL_ROWS`` rows it becomes a broadcast local table built from the
+    collected rows (so it is computed once and never re-read from a source
+    that may change, e.g. a log about to be appended to); beyond that it is
+    checkpointed (rows = None)."""
+    rows = df.limit(LOCAL_ROWS + 1).collect()
+    if len(rows) <= LOCAL_ROWS:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, schema)), rows
+    return small(materialize(df)), None

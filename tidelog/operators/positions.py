@@ -13,14 +13,11 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..log import TP, bounds, materialize, small
+from ..log import TP, bounds, materialize, pin_small, small
 
 POLICIES = ("earliest", "latest")
 
 
-# Start tables up to this many rows (one per topic partition) are collected,
-# checked with a bounded ``limit``, and joined as a broadcast local table.
-LOCAL_STARTS = 100_000
 STARTS_SCHEMA = "topic string, partition int, start_offset long"
 
 
@@ -31,7 +28,7 @@ def from_positions(log: DataFrame, starts: DataFrame,
     Partitions without a start follow ``default``: ``earliest`` keeps all
     their records, ``latest`` keeps none of the current ones.
 
-    The start table has one row per topic partition. Up to ``LOCAL_STARTS``
+    The start table has one row per topic partition. Up to ``LOCAL_ROWS``
     rows (checked with a bounded ``limit``) it is collected once and
     broadcast-joined as a local table, so an expensive start computation (a
     time lookup over the log) runs once; beyond that it is checkpointed and
@@ -42,18 +39,15 @@ def from_positions(log: DataFrame, starts: DataFrame,
     few dozen partitions defeats code generation.)"""
     if default not in POLICIES:
         raise ValueError(f"unknown start policy: {default}")
-    spec = starts.select(*TP, F.col("start_offset").cast("long"))
-    rows = spec.limit(LOCAL_STARTS + 1).collect()
-    if len(rows) <= LOCAL_STARTS:
+    spec, rows = pin_small(starts.select(*TP, F.col("start_offset").cast("long")),
+                           STARTS_SCHEMA)
+    if rows is not None:
         lo = min((r["start_offset"] for r in rows), default=None)
         topics = sorted({r["topic"] for r in rows})
-        spec = F.broadcast(log.sparkSession.createDataFrame(rows, STARTS_SCHEMA))
     else:
-        spec = materialize(spec)
         agg = spec.agg(F.min("start_offset").alias("lo"),
                        F.collect_set("topic").alias("topics")).first()
         lo, topics = agg["lo"], list(agg["topics"])
-        spec = small(spec)
     src = log
     if default == "latest":
         if lo is None:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..log import LOG_COLUMNS, TP, bounds, with_offsets
+from ..log import LOG_COLUMNS, TP, bounds, pin_small, with_offsets
 from ..operators.maintenance import partition_for
 from ..operators.serde import ERROR
 
@@ -38,20 +38,31 @@ def write_topic(df: DataFrame, topic: str, key: str | Column, value: str | Colum
         F.lit(topic).alias("topic"), ts.alias("timestamp"))
     staged = staged.withColumn("partition", partition_for(F.col("key"), partitions, method,
                                                           F.col("value")))
-    base = bounds(existing.filter(F.col("topic") == topic)) if existing is not None else None
+    base = None
+    if existing is not None:
+        # The end offsets (one row per partition) are pinned before anything
+        # is written, so the offsets never depend on re-reading a log that
+        # this very write appends to: a recomputed task, or a second use of
+        # the returned frame, gets the same offsets.
+        ends = bounds(existing.filter(F.col("topic") == topic)).select(*TP, "end_offset")
+        base, _ = pin_small(ends, "topic string, partition int, end_offset long")
     written = with_offsets(staged, order, base)
     cols = LOG_COLUMNS + [c for c in (keep or []) if c not in LOG_COLUMNS]
     written = written.select(*cols)
     if path is not None:
-        # The rows are already spread by (partition, offset bucket) from the
-        # offset window, so no extra shuffle: each task writes its offset
-        # ranges, sorted, into the topic/partition folders (offset min/max
-        # statistics then let position reads skip files).
-        (written.select(*LOG_COLUMNS).sortWithinPartitions(*TP, "offset")
-         .write.mode("append").partitionBy(*TP).parquet(path))
+        append_log(written, path)
     return written
 
 
+def append_log(written: DataFrame, path: str) -> None:
+    """Append log records under ``path`` in topic/partition folders. The
+    rows are already spread by (partition, offset bucket) from the offset
+    window, so no extra shuffle: each task writes its offset ranges, sorted
+    (offset min/max statistics then let position reads skip files)."""
+    (written.select(*LOG_COLUMNS).sortWithinPartitions(*TP, "offset")
+     .write.mode("append").partitionBy(*TP).parquet(path))
+
+
 def write_kafka(log: DataFrame, options: dict[str, str]) -> None:
     """K1 to a broker: Spark's Kafka sink takes key, value and topic (and an
     optional partition); needs the connector package on the classpath."""

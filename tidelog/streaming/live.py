@@ -208,14 +208,18 @@ def route_stream(df: DataFrame, name: str, good_path: str, bad_path: str,
 
 def publish_stream(df: DataFrame, name: str, topic: str, key: str, value: str,
                    order: list[str], path: str, partitions: int = 3,
-                   method: str = "murmur3", available_now: bool = False) -> StreamingQuery:
+                   method: str = "murmur3", available_now: bool = False,
+                   receipts_path: str | None = None,
+                   receipt_cols: list[str] | None = None) -> StreamingQuery:
     """K1 live: each micro-batch is appended to the Parquet log at ``path``
     with offsets continuing the log's current end (read per batch).
     Delivery is at-least-once, like a producer with retries: a batch replayed
     after a failure between its write and the checkpoint commit is written
     again with new offsets; ``maintenance.dedupe`` by record id removes such
-    copies on read."""
-    from ..sinks.writes import write_topic
+    copies on read. With ``receipts_path`` each batch's delivery receipts
+    (K2: ``receipt_cols`` plus topic, partition, offset) go to a
+    ``batch=<id>`` folder, replaced if the batch is replayed."""
+    from ..sinks.writes import delivery_receipts, write_topic
     from ..sources.topics import open_log
 
     spark = df.sparkSession
@@ -226,8 +230,18 @@ def publish_stream(df: DataFrame, name: str, topic: str, key: str, value: str,
             existing.limit(1).count()
         except Exception:                      # noqa: BLE001 - no log written yet
             existing = None
-        write_topic(batch, topic, key, value, order, existing=existing,
-                    partitions=partitions, method=method, path=path)
+        keep = list(receipt_cols or [])
+        cached = batch.persist()
+        try:
+            # end offsets are pinned inside write_topic, so the receipts'
+            # second pass over the batch gives the offsets that were written
+            written = write_topic(cached, topic, key, value, order, existing=existing,
+                                  partitions=partitions, method=method, path=path, keep=keep)
+            if receipts_path is not None:
+                delivery_receipts(written, keep).write.mode("overwrite").parquet(
+                    f"{receipts_path}/batch={batch_id}")
+        finally:
+            cached.unpersist()
 
     w = (df.writeStream.queryName(name)
          .option("checkpointLocation", checkpoint_location(spark, name))
@@ -242,3 +256,14 @@ def dedupe_stream(df: DataFrame, ids: list[str], time_col: str = "timestamp",
     """M5 live: drop repeats of a record id that arrive within ``delay`` of
     each other (state is kept per id only as long as the watermark needs)."""
     return df.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(ids)
+
+
+def start_ticks(spark: SparkSession, name: str, start_epoch_s: int, path: str,
+                every_s: int = G.TICK_EVERY_S) -> StreamingQuery:
+    """S12 live: the run-once startup action (one batch job writing the
+    startup line), then one interval line per ``every_s`` seconds as a
+    processing-time stream into the text folder ``path``."""
+    G.ticks(spark, start_epoch_s, 0, every_s).select("line").write.mode("append").text(
+        f"{path}/startup")
+    stream = ticks_stream(spark, start_epoch_s, every_s).select("line")
+    return start(stream, name, sink="text", path=f"{path}/interval", every=f"{every_s} seconds")
