@@ -143,13 +143,13 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
         # Only groups larger than one bucket are cut (at most n / rows of
         # them); every other group keeps bucket -1 and is ranked whole in one
         # task. So the count table stays small even with millions of keys.
-        hot = materialize(
+        hot, n_hot = materialize(
             df.groupBy(*by).agg(F.count(F.lit(1)).alias("_pos_size"))
             .filter(F.col("_pos_size") > rows)
             .select(*[F.col(c).alias(a) for c, a in zip(by, g)],
                     F.lit(True).alias("_pos_hot")))
         cond = [bucketed[c].eqNullSafe(hot[a]) for c, a in zip(by, g)]
-        bucketed = (bucketed.join(small(hot), cond, "left").drop(*g)
+        bucketed = (bucketed.join(small(hot, n_hot), cond, "left").drop(*g)
                     .withColumn("_pos_b", F.when(F.col("_pos_hot"), F.col("_pos_b"))
                                 .otherwise(F.lit(-1)))
                     .drop("_pos_hot"))
@@ -158,7 +158,7 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
               .groupBy(*by, "_pos_b").agg(F.count(F.lit(1)).alias("_pos_n")))
     before = Window.partitionBy(*by).orderBy("_pos_b").rowsBetween(
         Window.unboundedPreceding, -1)
-    bases = materialize(counts.select(
+    bases, n_bases = materialize(counts.select(
         *[F.col(c).alias(a) for c, a in zip(by, g)], F.col("_pos_b").alias("_pos_bb"),
         F.coalesce(F.sum("_pos_n").over(before), F.lit(0)).alias("_pos_base")))
     # One shuffle of the rows, the window's own (sized by the session's
@@ -168,7 +168,7 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
     ranked = bucketed.withColumn("_pos_rn", F.row_number().over(w) - 1)
     cond = [ranked[c].eqNullSafe(bases[a]) for c, a in zip(by, g)]
     cond.append(ranked["_pos_b"] == bases["_pos_bb"])
-    joined = ranked.join(small(bases), cond, "left")
+    joined = ranked.join(small(bases, n_bases), cond, "left")
     out = joined.withColumn(
         name, (F.coalesce(F.col("_pos_base"), F.lit(0)) + F.col("_pos_rn")).cast("long"))
     return out.drop("_pos_k", "_pos_b", "_pos_bb", "_pos_base", "_pos_rn", *g)
@@ -179,21 +179,20 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
 BROADCAST_ROWS = 1 << 20
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame) -> tuple[DataFrame, int]:
     """Compute a small derived table once and cut its lineage: a reliable
     checkpoint in the shared ``spark.checkpoint.dir`` (so a lost executor
-    does not recompute it from the scan), its row count kept for the
-    broadcast check."""
+    does not recompute it from the scan). Returns it with its row count
+    (read from the checkpoint) for the broadcast check."""
     from .session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
     out = df.checkpoint(eager=True)
-    out._tidelog_rows = out.count()          # reads the checkpoint, not the scan
-    return out
+    return out, out.count()
 
 
-def small(df: DataFrame) -> DataFrame:
-    rows = getattr(df, "_tidelog_rows", None)
-    return F.broadcast(df) if rows is not None and rows <= BROADCAST_ROWS else df
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast hint for a table whose counted size allows it."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def with_offsets(df: DataFrame, order: list[str], base: DataFrame | None = None,
@@ -225,4 +224,5 @@ def pin_small(df: DataFrame, schema: str | T.StructType) -> tuple[DataFrame, lis
     rows = df.limit(LOCAL_ROWS + 1).collect()
     if len(rows) <= LOCAL_ROWS:
         return F.broadcast(df.sparkSession.createDataFrame(rows, schema)), rows
-    return small(materialize(df)), None
+    table, n = materialize(df)
+    return small(table, n), None

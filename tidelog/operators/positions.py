@@ -13,11 +13,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..log import TP, bounds, materialize, pin_small, small
+from ..log import TP, bounds, pin_small
 
 POLICIES = ("earliest", "latest")
-
-
 STARTS_SCHEMA = "topic string, partition int, start_offset long"
 
 
@@ -108,11 +106,12 @@ def resume(log: DataFrame, commits: DataFrame, group: str,
 
 def consumed(log: DataFrame, commits: DataFrame, group: str) -> DataFrame:
     """Records before the group's committed positions (what it has read).
-    Commits are one row per partition: checkpointed, counted and broadcast
-    when small (as in ``from_positions``)."""
-    c = materialize(commits.filter(F.col("group") == group)
-                    .select(*TP, F.col("offset").alias("_upto")))
-    return log.join(small(c), TP).filter(F.col("offset") < F.col("_upto")).drop("_upto")
+    Commits are one row per partition, pinned like start positions
+    (``from_positions``)."""
+    c, _ = pin_small(commits.filter(F.col("group") == group)
+                     .select(*TP, F.col("offset").cast("long").alias("_upto")),
+                     "topic string, partition int, _upto long")
+    return log.join(c, TP).filter(F.col("offset") < F.col("_upto")).drop("_upto")
 
 
 # --- O3 ---------------------------------------------------------------------
