@@ -40,7 +40,8 @@ def test_rows_only_queries_run(spark):
         df = E.queries()[name](spark, SF_SMALL)
         rows = df.collect()
         assert len(rows) > 0
-        assert len({r.id for r in rows}) == len(rows)
+        if "id" in df.columns:
+            assert len({r.id for r in rows}) == len(rows)
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.murmur2 import murmur2_partition
 from ..log import LOG_COLUMNS, TP, bounds
 
 
@@ -53,15 +54,24 @@ def compact(log: DataFrame) -> DataFrame:
 
 # --- M3 ---------------------------------------------------------------------
 
-def partition_for(key: Column, n: int = 3, method: str = "murmur3",
+PLACEMENTS = ("murmur2", "murmur3", "md5")
+
+
+def partition_for(key: Column, n: int = 3, method: str = "murmur2",
                   spread: Column | None = None) -> Column:
     """Partition of a key: the same key always gets the same partition.
 
-    ``murmur3`` is Spark's ``hash`` (fast, JVM-side); ``md5`` is portable to
-    other engines (used by the SQL oracle). A null key is spread by
-    ``spread`` (default: the hash of the value-side column given) so keyless
-    records do not pile onto one partition."""
-    if method == "murmur3":
+    ``murmur2`` is the producer's default placement of keyed records
+    (``positive(murmur2(key)) % n``, a vectorized Pandas UDF), so records land
+    where a producer would put them; ``murmur3`` is Spark's ``hash`` (fastest,
+    JVM-side); ``md5`` is portable to SQL engines (used by the oracle). A
+    null key is spread by ``spread`` (the value, in ``write_topic``) so
+    keyless records do not pile onto one partition; unlike the producer's
+    random choice this is repeatable."""
+    if method == "murmur2":
+        placed = murmur2_partition(key, n)
+        other = murmur2_partition(spread, n) if spread is not None else F.lit(0)
+    elif method == "murmur3":
         placed = F.pmod(F.hash(key), F.lit(n))
         other = F.pmod(F.hash(spread), F.lit(n)) if spread is not None else F.lit(0)
     elif method == "md5":
@@ -75,7 +85,7 @@ def partition_for(key: Column, n: int = 3, method: str = "murmur3",
 
 
 def assign_partition(df: DataFrame, key: str = "key", n: int = 3,
-                     method: str = "murmur3", spread: str | None = None,
+                     method: str = "murmur2", spread: str | None = None,
                      out: str = "partition") -> DataFrame:
     return df.withColumn(out, partition_for(
         F.col(key), n, method, F.col(spread) if spread else None))

@@ -10,7 +10,7 @@ from ..log import dense_position
 from .maintenance import partition_for
 
 
-def rekey(df: DataFrame, field: str, n: int = 3, method: str = "murmur3") -> DataFrame:
+def rekey(df: DataFrame, field: str, n: int = 3, method: str = "murmur2") -> DataFrame:
     """A1: re-publish records keyed by ``field`` so every record of one key
     lands in one partition of the re-keyed topic. Within Spark a later
     ``groupBy(field)`` shuffles by itself; an explicit

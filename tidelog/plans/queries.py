@@ -297,6 +297,13 @@ def _all_logs(spark, d):
             .unionByName(fx.people_mixed_log(spark, d)))
 
 
+def assign_partition_producer(spark, d):
+    """M3 with the producer's placement (murmur2): no SQL oracle, checked
+    against a plain-Python murmur2 in the tests."""
+    cu = fx.table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("key"))
+    return M.assign_partition(cu, "key", 3, "murmur2")
+
+
 def topic_stats(spark, d):
     return M.topic_stats(_all_logs(spark, d))
 
@@ -453,6 +460,7 @@ QUERIES: dict[str, Query] = {
     "apply_retention": apply_retention,
     "compact": compact,
     "assign_partition": assign_partition,
+    "assign_partition_producer": assign_partition_producer,
     "topic_stats": topic_stats,
     "list_topics": list_topics,
     "dedupe": dedupe,
@@ -479,4 +487,4 @@ def _live() -> dict[str, Query]:
 QUERIES.update(_live())
 
 # Queries whose result is not repeatable (random ids): rows-only check.
-ROWS_ONLY = {"with_uuid"}
+ROWS_ONLY = {"with_uuid", "assign_partition_producer"}

@@ -19,7 +19,7 @@ def _c(c: str | Column) -> Column:
 
 def write_topic(df: DataFrame, topic: str, key: str | Column, value: str | Column,
                 order: list[str], existing: DataFrame | None = None,
-                partitions: int = 3, method: str = "murmur3",
+                partitions: int = 3, method: str = "murmur2",
                 timestamp: str | Column | None = None,
                 path: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """Publish keyed records: place each by key, give it the next dense

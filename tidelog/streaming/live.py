@@ -208,7 +208,7 @@ def route_stream(df: DataFrame, name: str, good_path: str, bad_path: str,
 
 def publish_stream(df: DataFrame, name: str, topic: str, key: str, value: str,
                    order: list[str], path: str, partitions: int = 3,
-                   method: str = "murmur3", available_now: bool = False,
+                   method: str = "murmur2", available_now: bool = False,
                    receipts_path: str | None = None,
                    receipt_cols: list[str] | None = None) -> StreamingQuery:
     """K1 live: each micro-batch is appended to the Parquet log at ``path``
