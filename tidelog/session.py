@@ -40,13 +40,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Read from the session; only when the setting is absent (local tests) a
     fresh folder is created and registered."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:                      # noqa: BLE001 - e.g. a Connect session
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf and sc is not None:
+        conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="tidelog-ckpt-", dir="/tmp")
+    if sc is None:
+        return conf
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

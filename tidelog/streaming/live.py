@@ -1,6 +1,8 @@
-"""Live forms with Structured Streaming: reading a topic as it grows, keyed
-counts in update/complete mode, per-event running counts with state,
-incremental runs with ``availableNow``, and rate-driven generators.
+"""Live forms with Structured Streaming: reading a topic as it grows (from
+the end at start), keyed counts in update/complete mode, per-event running
+counts with state, publishing with receipts and dead-letter routing per
+micro-batch, de-duplication within a watermark, incremental runs with
+``availableNow``, and rate-driven generators and ticks.
 
 Checkpoints go under the shared folder named by ``spark.checkpoint.dir``
 (``tidelog.session.checkpoint_dir``), never a machine-local folder.
