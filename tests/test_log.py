@@ -54,3 +54,25 @@ def test_offsets_continue_existing_end(spark):
     for r in c:
         assert r.start_offset == b[(r.topic, r.partition)]
         assert r.end_offset - r.start_offset == r.records
+
+
+def test_ties_on_the_leading_column_are_split_and_exact(spark):
+    ev = spark.read.parquet(f"{SF_CHECK}/events.parquet").withColumn("p", F.col("user_id") % 3)
+    # every leading value heavily tied: one value per day (about 333 rows each)
+    daily = ev.withColumn("day", F.date_trunc("day", "ts"))
+    got = dense_position(daily, ["p"], ["day", "event_id"], "pos", rows_per_bucket=100)
+    _same(got, _plain(daily, ["p"], ["day", "event_id"], "pos"), ["event_id", "pos"])
+    # one leading value held by a third of all rows
+    third = ev.withColumn("lead", F.when(F.col("event_id") % 3 == 0, F.lit(0))
+                          .otherwise(F.col("event_id")))
+    got = dense_position(third, [], ["lead", "event_id"], "pos", rows_per_bucket=200)
+    _same(got, _plain(third, [], ["lead", "event_id"], "pos"), ["event_id", "pos"])
+
+
+def test_tie_rows_spread_over_several_buckets(spark):
+    from tidelog.log import _split_ties
+    ev = spark.read.parquet(f"{SF_CHECK}/events.parquet")
+    df = ev.select("event_id", F.lit(5.0).alias("_pos_k"), F.lit(1).cast("long").alias("_pos_b"))
+    out = _split_ties(df.withColumn("lead", F.lit(5)), ["lead", "event_id"],
+                      [float("-inf"), 5.0, float("inf")], 500)
+    assert out.select("_pos_b").distinct().count() >= 15
