@@ -139,40 +139,41 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
                 .withColumn("_pos_b", F.col("_pos_bd").cast("long")).drop("_pos_bd"))
     bucketed = _split_ties(bucketed, order, splits, rows)
 
-    g = [f"_pos_g{i}" for i in range(len(by))]
+    # The groups as one struct: never null (struct equality treats null
+    # fields as equal), so every join below is a plain equi-join on exactly
+    # the keys of the window's shuffle and can reuse its partitioning.
+    keys = ["_pos_b"]
     if by:
+        bucketed = bucketed.withColumn("_pos_grp", F.struct(*by))
+        keys = ["_pos_grp", "_pos_b"]
         # Only groups larger than one bucket are cut (at most n / rows of
         # them); every other group keeps bucket -1 and is ranked whole in one
         # task. So the count table stays small even with millions of keys.
         hot, n_hot = materialize(
-            df.groupBy(*by).agg(F.count(F.lit(1)).alias("_pos_size"))
+            bucketed.groupBy("_pos_grp").agg(F.count(F.lit(1)).alias("_pos_size"))
             .filter(F.col("_pos_size") > rows)
-            .select(*[F.col(c).alias(a) for c, a in zip(by, g)],
-                    F.lit(True).alias("_pos_hot")))
-        cond = [bucketed[c].eqNullSafe(hot[a]) for c, a in zip(by, g)]
-        bucketed = (bucketed.join(small(hot, n_hot), cond, "left").drop(*g)
+            .select("_pos_grp", F.lit(True).alias("_pos_hot")))
+        bucketed = (bucketed.join(small(hot, n_hot), "_pos_grp", "left")
                     .withColumn("_pos_b", F.when(F.col("_pos_hot"), F.col("_pos_b"))
-                                .otherwise(F.lit(-1)))
+                                .otherwise(F.lit(-1).cast("long")))
                     .drop("_pos_hot"))
 
     counts = (bucketed.filter(F.col("_pos_b") >= 0)
-              .groupBy(*by, "_pos_b").agg(F.count(F.lit(1)).alias("_pos_n")))
-    before = Window.partitionBy(*by).orderBy("_pos_b").rowsBetween(
+              .groupBy(*keys).agg(F.count(F.lit(1)).alias("_pos_n")))
+    before = Window.partitionBy(*keys[:-1]).orderBy("_pos_b").rowsBetween(
         Window.unboundedPreceding, -1)
     bases, n_bases = materialize(counts.select(
-        *[F.col(c).alias(a) for c, a in zip(by, g)], F.col("_pos_b").alias("_pos_bb"),
-        F.coalesce(F.sum("_pos_n").over(before), F.lit(0)).alias("_pos_base")))
+        *keys, F.coalesce(F.sum("_pos_n").over(before), F.lit(0)).alias("_pos_base")))
     # One shuffle of the rows, the window's own (sized by the session's
-    # shuffle partitions like any large shuffle); the bases join afterwards,
-    # broadcast when their counted size allows.
-    w = Window.partitionBy(*by, "_pos_b").orderBy(*order)
+    # shuffle partitions like any large shuffle); the bases join afterwards on
+    # the same keys: broadcast when their counted size allows, else a shuffle
+    # of the small side only.
+    w = Window.partitionBy(*keys).orderBy(*order)
     ranked = bucketed.withColumn("_pos_rn", F.row_number().over(w) - 1)
-    cond = [ranked[c].eqNullSafe(bases[a]) for c, a in zip(by, g)]
-    cond.append(ranked["_pos_b"] == bases["_pos_bb"])
-    joined = ranked.join(small(bases, n_bases), cond, "left")
+    joined = ranked.join(small(bases, n_bases), keys, "left")
     out = joined.withColumn(
         name, (F.coalesce(F.col("_pos_base"), F.lit(0)) + F.col("_pos_rn")).cast("long"))
-    return out.drop("_pos_k", "_pos_b", "_pos_bb", "_pos_base", "_pos_rn", *g)
+    return out.drop("_pos_k", "_pos_b", "_pos_grp", "_pos_base", "_pos_rn")
 
 
 def _split_ties(bucketed: DataFrame, order: list[str], splits: list[float],
