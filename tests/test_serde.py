@@ -91,3 +91,42 @@ def test_decode_utf8(spark):
     out = {r.offset: r for r in C.decode_utf8(log).collect()}
     assert out[0].error == "invalid utf-8 in key" and out[0].value_text == "ok"
     assert out[1].error is None and out[1].key_text is None
+
+
+# The record definitions the producers register and the two
+# compatibility candidates (one must fail, one must pass).
+PERSON_V1_TEXT = ('{"name": "Person", "type": "record", "fields": [{"name": "name", "type": "string"}, '
+                  '{"name": "title", "type": "string"}]}')
+PERSON_V2_TEXT = ('{"name": "Person", "type": "record", "fields": ['
+                  '{"name": "first_name", "type": ["null", "string"], "default": null}, '
+                  '{"name": "last_name", "type": ["null", "string"], "default": null}, '
+                  '{"name": "title", "type": "string"}]}')
+CANDIDATE_FAIL = ('{"type":"record","name":"Person",'
+                  '"fields":[{"name":"fullName","type":"string"},{"name":"title","type":"string"}]}')
+CANDIDATE_PASS = ('{"type":"record","name":"Person",'
+                  '"fields":[{"name":"fullName","type":["null","string"],"default":null},'
+                  '{"name":"title","type":"string"}]}')
+TECHNOLOGIST_TEXT = ('{"type": "record","name": "technologist","fields":[{"name": "firstName",'
+                     '"type":{"type": "string","arg.properties":{"options":["Bill","Sue","Pat","Jo"]}}},'
+                     '{"name":"lastName","type":{"type":"string","arg.properties":{"options":'
+                     '["Smitch","Adams","Murphy","Patel","Brown"]}}},{"name":"title","type":{"type":'
+                     '"string","arg.properties":{"options":["Jr Engineer","Sr Engineer","Prin Engineer"]}}}]}')
+
+
+def test_schema_from_avro_matches_builtin_records():
+    v1, v2 = C.schema_from_avro(PERSON_V1_TEXT), C.schema_from_avro(PERSON_V2_TEXT)
+    assert (v1.fields, v1.required) == (C.PERSON_V1.fields, C.PERSON_V1.required)
+    assert (v2.fields, v2.required) == (C.PERSON_V2.fields, C.PERSON_V2.required)
+    tech = C.schema_from_avro(TECHNOLOGIST_TEXT)
+    assert tech.names == ["firstName", "lastName", "title"] and tech.required == tuple(tech.names)
+
+
+def test_compat_audit_with_registered_candidates(spark):
+    df = C.unframe(_framed(spark, [(0, 2, '{"first_name": "A", "last_name": "B", "title": "t"}'),
+                                   (1, 1, '{"name": "A B", "title": "t"}')]))
+    cands = [C.schema_from_avro(CANDIDATE_FAIL, "fail"), C.schema_from_avro(CANDIDATE_PASS, "pass")]
+    out = {(r.candidate, r.shape): r.compatible for r in C.compat_audit(df, cands).collect()}
+    assert out[("fail", "first_name,last_name,title")] is False
+    assert out[("fail", "name,title")] is False
+    assert out[("pass", "first_name,last_name,title")] is True
+    assert out[("pass", "name,title")] is True

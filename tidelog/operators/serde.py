@@ -57,6 +57,38 @@ FULLNAME_OPTIONAL = _str("fullName", "title", required=("title",),
                          name="PersonFullNameOptional")
 
 
+AVRO_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(),
+              "float": T.FloatType(), "double": T.DoubleType(),
+              "boolean": T.BooleanType(), "bytes": T.BinaryType()}
+
+
+def schema_from_avro(text: str, name: str | None = None) -> RecordSchema:
+    """A record schema from an Avro record definition (JSON text), as the
+    schema registry stores it: a field without a ``default`` is required; a
+    ``["null", T]`` union is a nullable T. Only flat records of primitive
+    fields (what the topics here carry) are accepted."""
+    import json
+    spec = json.loads(text)
+    if spec.get("type") != "record":
+        raise ValueError("not a record schema")
+    fields, required = [], []
+    for f in spec["fields"]:
+        t = f["type"]
+        if isinstance(t, dict):                      # annotated primitive
+            t = t.get("type")
+        if isinstance(t, list):
+            rest = [x for x in t if x != "null"]
+            if len(rest) != 1:
+                raise ValueError(f"unsupported union for {f['name']}: {t}")
+            t = rest[0]
+        if t not in AVRO_TYPES:
+            raise ValueError(f"unsupported type for {f['name']}: {t}")
+        fields.append((f["name"], AVRO_TYPES[t]))
+        if "default" not in f:
+            required.append(f["name"])
+    return RecordSchema(name or spec.get("name", "record"), tuple(fields), tuple(required))
+
+
 def _first_error(*checks: tuple[Column, str]) -> Column:
     """The message of the first failing check, else null."""
     out = F.lit(None).cast("string")
