@@ -113,16 +113,28 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
     per (group, bucket); all other groups are ranked whole, each within one
     task. A small count table of the hot groups' buckets, running-summed per
     group, gives each bucket its base. A group that holds a third of the rows
-    is spread over a third of the buckets. The rows are shuffled once (the
-    window's exchange); the two small tables are checkpointed to the shared
-    checkpoint folder and broadcast when their counted size allows.
+    is spread over a third of the buckets. The row count and the hot groups
+    come from one aggregate (the hot list is bounded by n / rows_per_bucket);
+    the rows are shuffled once (the window's exchange); the bucket bases are
+    checkpointed to the shared checkpoint folder and broadcast when their
+    counted size allows.
 
     Rows that tie on the leading column (many records with one timestamp)
     are split further by the second order column (``_split_ties``); ties on
     both leading columns together stay in one bucket.
     """
-    n = df.count() if known_count is None else known_count
     rows = rows_per_bucket or _bucket_rows(df)
+    hot_groups = None
+    if by and (known_count is None or known_count > rows):
+        # One aggregate gives the row count and the groups larger than one
+        # bucket (at most n / rows of them, so the list is bounded).
+        sizes = df.groupBy(F.struct(*by).alias("_pos_grp")).agg(
+            F.count(F.lit(1)).alias("_pos_size"))
+        agg = sizes.agg(F.sum("_pos_size").alias("n"), F.collect_list(
+            F.when(F.col("_pos_size") > rows, F.col("_pos_grp"))).alias("hot")).first()
+        n, hot_groups = int(agg["n"] or 0), agg["hot"]
+    else:
+        n = df.count() if known_count is None else known_count
     buckets = max(1, math.ceil(n / rows))
     if buckets == 1:
         w = Window.partitionBy(*by).orderBy(*order)
@@ -149,11 +161,10 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
         # Only groups larger than one bucket are cut (at most n / rows of
         # them); every other group keeps bucket -1 and is ranked whole in one
         # task. So the count table stays small even with millions of keys.
-        hot, n_hot = materialize(
-            bucketed.groupBy("_pos_grp").agg(F.count(F.lit(1)).alias("_pos_size"))
-            .filter(F.col("_pos_size") > rows)
-            .select("_pos_grp", F.lit(True).alias("_pos_hot")))
-        bucketed = (bucketed.join(small(hot, n_hot), "_pos_grp", "left")
+        grp_type = T.StructType([T.StructField("_pos_grp", T.StructType(
+            [df.schema[c] for c in by])), T.StructField("_pos_hot", T.BooleanType())])
+        hot = df.sparkSession.createDataFrame([(g, True) for g in hot_groups], grp_type)
+        bucketed = (bucketed.join(small(hot, len(hot_groups)), "_pos_grp", "left")
                     .withColumn("_pos_b", F.when(F.col("_pos_hot"), F.col("_pos_b"))
                                 .otherwise(F.lit(-1).cast("long")))
                     .drop("_pos_hot"))
