@@ -215,3 +215,25 @@ def test_start_ticks_runs_startup_once_then_intervals(spark, scratch):
     lines = [r.value for r in spark.read.text(f"{out}/interval").collect()]
     assert len(lines) >= 2 and all(x.startswith("A task executing on interval at 2024-01-01 ")
                                    for x in lines)
+
+
+def test_running_count_batches_splits_hot_keys(spark, scratch):
+    log = fx.greetings_log(spark, SF_CHECK)
+    path = f"{scratch}/log"
+    seq = log.withColumn("_t", F.unix_seconds("timestamp"))
+    _write_parts(seq, path, [fx.EPOCH_S + 5 * 150, fx.EPOCH_S + 5 * 400], order="_t")
+    spark.conf.set("spark.tidelog.positionBucketRows", "40")     # 'user' is a hot key
+    try:
+        items = accepted(C.items(L.log_stream(spark, path, 1), C.GREETING)).select(
+            "partition", "offset", "timestamp", "greeter")
+        q = L.running_count_batches(items, _name(scratch, "rcb"), "greeter",
+                                    ["timestamp", "partition", "offset"],
+                                    f"{scratch}/out", f"{scratch}/totals", available_now=True)
+        q.awaitTermination()
+    finally:
+        spark.conf.unset("spark.tidelog.positionBucketRows")
+    got = {(r.partition, r.offset): r["count"] for r in spark.read.parquet(f"{scratch}/out").collect()}
+    batch = A.running_count(accepted(C.items(log, C.GREETING)), "greeter",
+                            ["timestamp", "partition", "offset"])
+    want = {(r.partition, r.offset): r["count"] for r in batch.collect()}
+    assert got == want and len(got) == log.count()
