@@ -454,6 +454,7 @@ FROM rows""")
     # The live forms must give the batch results.
     sql["live_count_greetings"] = sql["count_greetings"]
     sql["live_running_count"] = sql["running_count"]
+    sql["live_running_count_split"] = sql["running_count"]
     return sql
 
 

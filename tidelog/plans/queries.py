@@ -479,9 +479,11 @@ QUERIES: dict[str, Query] = {
 
 
 def _live() -> dict[str, Query]:
-    from .live_queries import live_count_greetings, live_running_count
+    from .live_queries import (live_count_greetings, live_running_count,
+                               live_running_count_split)
     return {"live_count_greetings": live_count_greetings,
-            "live_running_count": live_running_count}
+            "live_running_count": live_running_count,
+            "live_running_count_split": live_running_count_split}
 
 
 QUERIES.update(_live())
