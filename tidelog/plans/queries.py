@@ -385,6 +385,19 @@ def apply_reset(spark, d):
     return O.apply_reset(commits, plan)
 
 
+def replay_after_reset(spark, d):
+    """O5 then O2 then M5: g0 has consumed 60 %; its positions are reset to a
+    datetime, the replay is read, and the union with what was consumed is
+    de-duplicated: the whole log again, each record once."""
+    log = _events(spark, d)
+    commits = fx.commits_g0(log)
+    plan = O.plan_reset(log, commits, "g0", "to-datetime", RESET_DATETIME, "events")
+    replay = O.resume(log, O.apply_reset(commits, plan), "g0", "earliest")
+    seen = O.consumed(log, commits, "g0")
+    rest = O.resume(log, commits, "g0", "earliest")
+    return record_view(M.dedupe(seen.unionByName(replay).unionByName(rest)))
+
+
 def incremental_run(spark, d):
     log, commits = _groups(spark, d)
     rows, _ = O.run_incremental(log, commits, "g1", "enabled")
@@ -471,6 +484,7 @@ QUERIES: dict[str, Query] = {
     "list_groups": list_groups,
     "plan_reset": plan_reset,
     "apply_reset": apply_reset,
+    "replay_after_reset": replay_after_reset,
     "incremental_run": incremental_run,
     "incremental_bookmarks": incremental_bookmarks,
     "consume_people": consume_people,
