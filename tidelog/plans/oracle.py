@@ -389,7 +389,8 @@ FROM m"""
         _with(EVENTS_LOG, GREETINGS_LOG, PEOPLE_LOG, PEOPLE_MIXED_LOG, f"u AS ({stats_src})")
         + 'SELECT topic, count(DISTINCT "partition") AS partitions, '
           'CAST(count(*) AS BIGINT) AS records FROM u GROUP BY topic')
-    sql["dedupe"] =_with(EVENTS_LOG) + f"SELECT {VIEW} FROM events_log"
+    sql["dedupe"] = _with(EVENTS_LOG) + f"SELECT {VIEW} FROM events_log"
+    sql["replay_after_reset"] = sql["dedupe"]
     sql["dedupe_by_id"] = _with(PEOPLE_LOG) + 'SELECT id, topic, "partition", "offset" FROM people_log'
     sql["commit"] = (
         _with(EVENTS_LOG) + f'SELECT \'g0\' AS "group", topic, "partition", '
