@@ -1,5 +1,4 @@
 import duckdb
-from pyspark.sql import functions as F
 
 from tidelog.functions import md5_pick, md5_uuid, message_key, title_case, utf8_or_null
 

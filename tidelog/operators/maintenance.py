@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.murmur2 import murmur2_partition
-from ..log import LOG_COLUMNS, TP, bounds
+from ..log import TP, bounds
 
 
 def _instant(now: str | datetime | Column) -> Column:
@@ -134,4 +134,4 @@ def dedupe(df: DataFrame, ids: list[str] | None = None,
 
 
 __all__ = ["apply_retention", "compact", "partition_for", "assign_partition",
-           "topic_stats", "list_topics", "dedupe", "LOG_COLUMNS"]
+           "topic_stats", "list_topics", "dedupe"]

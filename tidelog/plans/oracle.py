@@ -11,7 +11,7 @@ from ..operators import serde as C
 from ..operators.positions import epoch_ms_of
 from ..sources import generators as G
 from . import queries as Q
-from .fixtures import EPOCH_S, GREETING_EVERY_S
+from .fixtures import GREETING_EVERY_S
 
 EPOCH = "TIMESTAMP '2024-01-01 00:00:00'"
 
@@ -461,4 +461,4 @@ FROM rows""")
 
 ORACLE_SQL = build()
 
-__all__ = ["ORACLE_SQL", "EPOCH_S"]
+__all__ = ["ORACLE_SQL"]

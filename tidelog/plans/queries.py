@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import message_key, title_case
-from ..log import TP, record_view, wall_clock
+from ..log import record_view, wall_clock
 from ..operators import maintenance as M
 from ..operators import positions as O
 from ..operators import serde as C
