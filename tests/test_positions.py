@@ -93,3 +93,20 @@ def test_bookmark_option_names():
     assert O.bookmark_mode(" Enabled ") == "enabled"
     with pytest.raises(ValueError):
         O.bookmark_mode("job-bookmark-sometimes")
+
+
+def test_reset_creates_commits_for_a_new_group(spark):
+    log = _log(spark)
+    commits = _commits(spark, [("other", "t", 0, 3)])
+    plan = O.plan_reset(log, commits, "fresh", "to-latest", topic="t")
+    assert {r.partition: r.current_offset for r in plan.collect()} == {0: None, 1: None}
+    new = {(r.group, r.partition): r.offset for r in O.apply_reset(commits, plan).collect()}
+    assert new == {("other", 0): 3, ("fresh", 0): 6, ("fresh", 1): 11}
+
+
+def test_commit_beyond_the_end_reads_nothing(spark):
+    log = _log(spark)
+    commits = _commits(spark, [("g", "t", 0, 99), ("g", "t", 1, 11)])
+    assert O.resume(log, commits, "g", "earliest").count() == 0
+    lag = {r.partition: r.lag for r in O.group_lag(log, commits).collect()}
+    assert lag == {0: 6 - 99, 1: 0}
