@@ -114,3 +114,13 @@ def test_kafka_option_mapping():
     spec = {"people": {0: 5, 1: S.EARLIEST}}
     assert json.loads(S.starting_offsets_json(spec)) == {"people": {"0": 5, "1": -2}}
     assert S.kafka_options("b", starting_ms=1713158400000)["startingTimestamp"] == "1713158400000"
+
+
+def test_large_start_tables_take_the_checkpoint_path(spark, monkeypatch):
+    import tidelog.log as Lg
+    log = _log(spark)
+    starts = spark.createDataFrame([("t", 0, 3), ("t", 2, 11)], "topic string, partition int, start_offset long")
+    want = {p: _offsets(O.from_positions(log, starts, p)) for p in ("earliest", "latest")}
+    monkeypatch.setattr(Lg, "LOCAL_ROWS", 1)           # two rows exceed it
+    for policy, rows in want.items():
+        assert _offsets(O.from_positions(log, starts, policy)) == rows
