@@ -24,3 +24,29 @@ def test_title_case_and_key_match_python(spark, texts):
     for r in out:
         assert r.t == r.s.title(), (r.s, r.t, r.s.title())
         assert r.k == r.s.lower().replace("s+", "-"), (r.s, r.k)
+
+
+from tidelog.log import dense_position  # noqa: E402
+
+ROW = st.tuples(st.sampled_from([None, "a", "b", "c"]),      # group, nullable
+                st.integers(0, 6),                            # leading order value, many ties
+                st.integers(0, 10**6))                        # second order value
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(ROW, min_size=1, max_size=400), st.integers(2, 60))
+def test_dense_position_matches_brute_force(spark, rows, per_bucket):
+    # make (lead, second, id) a total order inside each group
+    data = [(g, lead, sec, i) for i, (g, lead, sec) in enumerate(rows)]
+    df = spark.createDataFrame(data, "g string, lead long, sec long, id long")
+    got = {r.id: r.pos for r in dense_position(df, ["g"], ["lead", "sec", "id"], "pos",
+                                                rows_per_bucket=per_bucket).collect()}
+    want = {}
+    for g in {d[0] for d in data}:
+        mine = sorted((d for d in data if d[0] == g), key=lambda d: (d[1], d[2], d[3]))
+        want.update({d[3]: k for k, d in enumerate(mine)})
+    assert got == want
+    glob = {r.id: r.pos for r in dense_position(df, [], ["lead", "sec", "id"], "pos",
+                                                 rows_per_bucket=per_bucket).collect()}
+    order = sorted(data, key=lambda d: (d[1], d[2], d[3]))
+    assert glob == {d[3]: k for k, d in enumerate(order)}
