@@ -209,13 +209,17 @@ def _ticks_sql() -> str:
     return f"""WITH span AS (SELECT date_trunc('minute', min(ts)) AS s, max(ts) AS e FROM events),
 n AS (SELECT s, (CAST(floor(epoch(e)) AS BIGINT) - CAST(epoch(s) AS BIGINT)) // {every} AS n
       FROM span),
-t AS (SELECT s, unnest(generate_series(0, n)) AS i FROM n)
+t AS (SELECT s, unnest(generate_series(0, n)) AS i FROM n),
+c AS (SELECT (epoch_us(e.ts) - epoch_us(n.s)) // {every * 1000000} + 1 AS tick,
+             count(*) AS events
+      FROM events e, n GROUP BY 1)
 SELECT i AS tick, CASE WHEN i = 0 THEN 'startup' ELSE 'interval' END AS kind,
+       coalesce(c.events, 0) AS events,
        s + to_seconds(i * {every}) AS at,
        CASE WHEN i = 0 THEN 'A task executing on startup'
             ELSE 'A task executing on interval at '
                  || strftime(s + to_seconds(i * {every}), '%Y-%m-%d %H:%M:%S') END AS line
-FROM t"""
+FROM t LEFT JOIN c ON c.tick = t.i"""
 
 
 def _technologists() -> str:

@@ -123,7 +123,9 @@ def generate_greeting_words(spark, d):
 
 
 def ticks(spark, d):
-    out = G.ticks_over(fx.table(spark, d, "events"), "ts")
+    """The startup row and the interval ticks over the events' time
+    span, each with the events that arrived in its interval."""
+    out = G.tick_report(fx.table(spark, d, "events"), "ts")
     return out.withColumn("at", wall_clock("at"))
 
 
