@@ -1,0 +1,2 @@
+"""DataFrame operators: serde and schemas, keyed state, topic maintenance,
+positions and incremental runs."""

@@ -1,0 +1 @@
+"""Publishing, receipts, dead letters, printed lines and table snapshots."""

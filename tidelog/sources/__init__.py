@@ -1,0 +1 @@
+"""Reading topic logs (by position, time, topic) and repeatable generators."""
