@@ -7,6 +7,7 @@ must equal the batch queries' (same SQL oracle)."""
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,21 @@ from . import fixtures as fx
 PARTS = 3
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession):
+    """A stateful query fixes its state partitions (the session's shuffle
+    partitions) at its first start; size them to the cores the cluster has
+    for this harness, only while the query starts (streaming clones the
+    session conf at start)."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _scratch(spark: SparkSession, what: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tidelog-live/{what}-{uuid.uuid4().hex}"
 
@@ -49,10 +65,11 @@ def live_count_greetings(spark: SparkSession, d: str) -> DataFrame:
 
     for _ in _publish_in_parts(spark, d, path):
         items = accepted(C.items(L.log_stream(spark, path), C.GREETING))
-        q = (L.live_counts(items, "greeter").writeStream.queryName(name)
-             .outputMode("complete")
-             .option("checkpointLocation", f"{root}/checkpoint")
-             .foreachBatch(replace_table).trigger(availableNow=True).start())
+        with _state_partitions(spark):
+            q = (L.live_counts(items, "greeter").writeStream.queryName(name)
+                 .outputMode("complete")
+                 .option("checkpointLocation", f"{root}/checkpoint")
+                 .foreachBatch(replace_table).trigger(availableNow=True).start())
         q.awaitTermination()
     return spark.read.parquet(out)
 
@@ -67,9 +84,10 @@ def live_running_count(spark: SparkSession, d: str) -> DataFrame:
         items = accepted(C.items(L.log_stream(spark, path), C.GREETING))
         live = L.running_count_stream(items.select("partition", "offset", "timestamp", "greeter"),
                                       "greeter", ["timestamp", "partition", "offset"])
-        q = (live.writeStream.queryName(name).outputMode("append").format("parquet")
-             .option("path", out).option("checkpointLocation", f"{root}/checkpoint")
-             .trigger(availableNow=True).start())
+        with _state_partitions(spark):
+            q = (live.writeStream.queryName(name).outputMode("append").format("parquet")
+                 .option("path", out).option("checkpointLocation", f"{root}/checkpoint")
+                 .trigger(availableNow=True).start())
         q.awaitTermination()
     return spark.read.parquet(out).select("partition", "offset", "greeter", "count")
 
