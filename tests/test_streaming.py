@@ -237,3 +237,22 @@ def test_running_count_batches_splits_hot_keys(spark, scratch):
                             ["timestamp", "partition", "offset"])
     want = {(r.partition, r.offset): r["count"] for r in batch.collect()}
     assert got == want and len(got) == log.count()
+
+
+def test_replayed_publish_batch_is_skipped(spark, scratch):
+    from tidelog.sources.topics import open_log
+    batch = spark.read.parquet(f"{SF_CHECK}/customer.parquet").select(
+        "c_custkey", F.col("c_name").alias("k"), F.col("c_mktsegment").alias("v"))
+    out, receipts = f"{scratch}/log", f"{scratch}/receipts"
+    assert L.publish_batch(batch, 0, "people", "k", "v", ["c_custkey"], out, method="md5",
+                           receipts_path=receipts, receipt_cols=["c_custkey"])
+    first = sorted(map(tuple, spark.read.parquet(receipts).collect()))
+    assert not L.publish_batch(batch, 0, "people", "k", "v", ["c_custkey"], out, method="md5",
+                               receipts_path=receipts, receipt_cols=["c_custkey"])
+    assert open_log(spark, out).count() == batch.count()
+    assert sorted(map(tuple, spark.read.parquet(receipts).collect())) == first
+    assert L.publish_batch(batch, 1, "people", "k", "v", ["c_custkey"], out, method="md5")
+    log = open_log(spark, out)
+    assert log.count() == 2 * batch.count()
+    assert log.groupBy("partition").agg(F.countDistinct("offset").alias("d"),
+                                        F.count("*").alias("n")).filter("d != n").count() == 0

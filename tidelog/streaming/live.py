@@ -208,45 +208,69 @@ def route_stream(df: DataFrame, name: str, good_path: str, bad_path: str,
     return w.start()
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        return spark.read.text(path).limit(1).count() > 0
+    except Exception:                          # noqa: BLE001 - path not there
+        return False
+
+
+def publish_batch(batch: DataFrame, batch_id: int, topic: str, key: str, value: str,
+                  order: list[str], path: str, partitions: int = 3,
+                  method: str = "murmur2", receipts_path: str | None = None,
+                  receipt_cols: list[str] | None = None) -> bool:
+    """Append one micro-batch to the Parquet log at ``path`` (offsets
+    continue its current end) and write its receipts; returns False when the
+    batch was already published.
+
+    A batch finished once leaves a marker (``_published/batch=<id>``; folders
+    starting with ``_`` are not read as data), so a batch replayed after a
+    failure is skipped instead of appended again. Only a failure between
+    the append and the marker still re-appends it (new offsets, same
+    records): delivery is at-least-once like a producer with retries, and
+    ``maintenance.dedupe`` by record id removes such copies on read."""
+    from ..sinks.writes import delivery_receipts, write_topic
+    from ..sources.topics import open_log
+
+    spark = batch.sparkSession
+    marker = f"{path}/_published/batch={batch_id}"
+    if _exists(spark, marker):
+        return False
+    try:
+        existing = open_log(spark, path)
+        existing.limit(1).count()
+    except Exception:                          # noqa: BLE001 - no log written yet
+        existing = None
+    keep = list(receipt_cols or [])
+    cached = batch.persist()
+    try:
+        # end offsets are pinned inside write_topic, so the receipts' second
+        # pass over the batch gives the offsets that were written
+        written = write_topic(cached, topic, key, value, order, existing=existing,
+                              partitions=partitions, method=method, path=path, keep=keep)
+        if receipts_path is not None:
+            delivery_receipts(written, keep).write.mode("overwrite").parquet(
+                f"{receipts_path}/batch={batch_id}")
+    finally:
+        cached.unpersist()
+    spark.createDataFrame([(str(batch_id),)], "v string").write.mode("overwrite").text(marker)
+    return True
+
+
 def publish_stream(df: DataFrame, name: str, topic: str, key: str, value: str,
                    order: list[str], path: str, partitions: int = 3,
                    method: str = "murmur2", available_now: bool = False,
                    receipts_path: str | None = None,
                    receipt_cols: list[str] | None = None) -> StreamingQuery:
-    """K1 live: each micro-batch is appended to the Parquet log at ``path``
-    with offsets continuing the log's current end (read per batch).
-    Delivery is at-least-once, like a producer with retries: a batch replayed
-    after a failure between its write and the checkpoint commit is written
-    again with new offsets; ``maintenance.dedupe`` by record id removes such
-    copies on read. With ``receipts_path`` each batch's delivery receipts
-    (K2: ``receipt_cols`` plus topic, partition, offset) go to a
-    ``batch=<id>`` folder, replaced if the batch is replayed."""
-    from ..sinks.writes import delivery_receipts, write_topic
-    from ..sources.topics import open_log
-
-    spark = df.sparkSession
-
+    """K1 live: each micro-batch goes through ``publish_batch`` (appended
+    with offsets continuing the log, receipts per ``batch=<id>`` folder,
+    replays skipped)."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        try:
-            existing = open_log(spark, path)
-            existing.limit(1).count()
-        except Exception:                      # noqa: BLE001 - no log written yet
-            existing = None
-        keep = list(receipt_cols or [])
-        cached = batch.persist()
-        try:
-            # end offsets are pinned inside write_topic, so the receipts'
-            # second pass over the batch gives the offsets that were written
-            written = write_topic(cached, topic, key, value, order, existing=existing,
-                                  partitions=partitions, method=method, path=path, keep=keep)
-            if receipts_path is not None:
-                delivery_receipts(written, keep).write.mode("overwrite").parquet(
-                    f"{receipts_path}/batch={batch_id}")
-        finally:
-            cached.unpersist()
+        publish_batch(batch, batch_id, topic, key, value, order, path, partitions, method,
+                      receipts_path, receipt_cols)
 
     w = (df.writeStream.queryName(name)
-         .option("checkpointLocation", checkpoint_location(spark, name))
+         .option("checkpointLocation", checkpoint_location(df.sparkSession, name))
          .foreachBatch(each))
     if available_now:
         w = w.trigger(availableNow=True)
