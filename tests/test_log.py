@@ -73,6 +73,19 @@ def test_tie_rows_spread_over_several_buckets(spark):
     from tidelog.log import _split_ties
     ev = spark.read.parquet(f"{SF_CHECK}/events.parquet")
     df = ev.select("event_id", F.lit(5.0).alias("_pos_k"), F.lit(1).cast("long").alias("_pos_b"))
-    out = _split_ties(df.withColumn("lead", F.lit(5)), ["lead", "event_id"],
-                      [float("-inf"), 5.0, float("inf")], 500)
+    out = _split_ties(df.withColumn("lead", F.lit(5)), ["lead", "event_id"], 500)
     assert out.select("_pos_b").distinct().count() >= 15
+
+
+def test_ties_on_two_order_columns_are_split(spark):
+    ev = spark.read.parquet(f"{SF_CHECK}/events.parquet")
+    # a third of the rows share both the first and the second order value
+    df = (ev.withColumn("a", F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("event_id")))
+            .withColumn("b", F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.lit(0))))
+    got = dense_position(df, [], ["a", "b", "event_id"], "pos", rows_per_bucket=200)
+    _same(got, _plain(df, [], ["a", "b", "event_id"], "pos"), ["event_id", "pos"])
+    from tidelog.log import _split_ties
+    tied = df.filter("event_id % 3 = 0").select(
+        "event_id", "a", "b", F.lit(7.0).alias("_pos_k"), F.lit(1).cast("long").alias("_pos_b"))
+    out = _split_ties(tied, ["a", "b", "event_id"], 200)
+    assert out.select("_pos_b").distinct().count() >= 10

@@ -30,7 +30,7 @@ from tidelog.log import dense_position  # noqa: E402
 
 ROW = st.tuples(st.sampled_from([None, "a", "b", "c"]),      # group, nullable
                 st.integers(0, 6),                            # leading order value, many ties
-                st.integers(0, 10**6))                        # second order value
+                st.integers(0, 3))                            # second order value, ties too
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))

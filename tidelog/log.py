@@ -120,8 +120,8 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
     counted size allows.
 
     Rows that tie on the leading column (many records with one timestamp)
-    are split further by the second order column (``_split_ties``); ties on
-    both leading columns together stay in one bucket.
+    are split further by the next order columns (``_split_ties``, up to the
+    first ``TIE_LEVELS`` columns).
     """
     rows = rows_per_bucket or _bucket_rows(df)
     hot_groups = None
@@ -149,7 +149,7 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
     bucketed = (Bucketizer(splits=splits, inputCol="_pos_k", outputCol="_pos_bd",
                            handleInvalid="keep").transform(keyed)
                 .withColumn("_pos_b", F.col("_pos_bd").cast("long")).drop("_pos_bd"))
-    bucketed = _split_ties(bucketed, order, splits, rows)
+    bucketed = _split_ties(bucketed, order, rows)
 
     # The groups as one struct: never null (struct equality treats null
     # fields as equal), so every join below is a plain equi-join on exactly
@@ -187,49 +187,56 @@ def dense_position(df: DataFrame, by: list[str], order: list[str],
     return out.drop("_pos_k", "_pos_b", "_pos_grp", "_pos_base", "_pos_rn")
 
 
-def _split_ties(bucketed: DataFrame, order: list[str], splits: list[float],
-                rows: int) -> DataFrame:
-    """Split buckets made fat by a tie on the leading order column.
+# Order columns used to split ties (level ids stay within a long).
+TIE_LEVELS = 3
+
+
+def _split_ties(bucketed: DataFrame, order: list[str], rows: int) -> DataFrame:
+    """Split buckets made fat by ties, one order column at a time.
 
     A value held by more than a bucket's worth of rows is hit by several
-    quantile probes, so it is the lower cut of its own bucket; the other
-    values of that bucket are at most about 1.5 buckets' worth (the quantile
-    error is a quarter bucket). So a bucket with more than two buckets' worth
-    of rows is (tie rows) + (rest): the tie rows are cut again by quantiles of
-    the second order column, the rest keep one sub-bucket after them. The
-    bucket id becomes ((b * 2 + part) * width + sub), which is ordered like
-    the rows. The fat buckets (at most n / (2 * rows)) and the second-level
-    cuts are small and fixed before the main job."""
-    width = 1
-    if len(order) < 2:
-        return bucketed
-    second = order[1]
-    dtype = bucketed.schema[second].dataType
-    if not isinstance(dtype, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return bucketed
-    fat = (bucketed.groupBy("_pos_b").agg(F.count(F.lit(1)).alias("_pos_n"))
-           .filter(F.col("_pos_n") > 2 * rows).collect())
-    if not fat:
-        return bucketed
+    quantile probes, so it is the lower cut — the smallest value — of its own
+    bucket; the other values of that bucket are at most about 1.5 buckets'
+    worth (the quantile error is a quarter bucket). So a bucket with more than
+    two buckets' worth of rows is (tie rows) + (rest): the tie rows are cut
+    again by quantiles of the next order column, the rest keep one
+    sub-bucket after them. The bucket id becomes ((b * 2 + part) * width +
+    sub), which is ordered like the rows, and the next level repeats this on
+    the new ids (up to ``TIE_LEVELS`` order columns). The fat buckets (at most
+    n / (2 * rows) per level) and the cuts are small and fixed before the
+    main job."""
+    out = bucketed.withColumn("_pos_lk", F.col("_pos_k"))
     spark = bucketed.sparkSession
-    ties = spark.createDataFrame([(int(r["_pos_b"]), float(splits[int(r["_pos_b"])]))
-                                  for r in fat], "_pos_fb long, _pos_tv double")
-    marked = (bucketed.join(F.broadcast(ties), F.col("_pos_b") == F.col("_pos_fb"), "left")
-              .withColumn("_pos_tie", F.col("_pos_tv").isNotNull()
-                          & (F.col("_pos_k") == F.col("_pos_tv")))
-              .withColumn("_pos_k2", _order_value(F.col(second), dtype)))
-    tied = sum(int(r["_pos_n"]) for r in fat)
-    subs = max(1, math.ceil(tied / rows))
-    cuts2 = marked.filter("_pos_tie").approxQuantile(
-        "_pos_k2", [i / subs for i in range(1, subs)], 1.0 / (4 * subs))
-    splits2 = [-math.inf] + sorted(set(cuts2)) + [math.inf]
-    width = len(splits2)
-    sub = (Bucketizer(splits=splits2, inputCol="_pos_k2", outputCol="_pos_sd",
-                      handleInvalid="keep").transform(marked))
-    part = F.when(F.col("_pos_fb").isNotNull() & ~F.col("_pos_tie"), F.lit(1)).otherwise(F.lit(0))
-    inner = F.when(F.col("_pos_tie"), F.col("_pos_sd").cast("long")).otherwise(F.lit(0))
-    return (sub.withColumn("_pos_b", (F.col("_pos_b") * 2 + part) * F.lit(width) + inner)
-            .drop("_pos_fb", "_pos_tv", "_pos_tie", "_pos_k2", "_pos_sd"))
+    for col in order[1:TIE_LEVELS]:
+        dtype = out.schema[col].dataType
+        if not isinstance(dtype, (T.NumericType, T.TimestampType, T.TimestampNTZType,
+                                  T.DateType)):
+            break
+        fat = (out.groupBy("_pos_b").agg(F.count(F.lit(1)).alias("_pos_n"),
+                                         F.min("_pos_lk").alias("_pos_tv"))
+               .filter(F.col("_pos_n") > 2 * rows).collect())
+        if not fat:
+            break
+        ties = spark.createDataFrame([(int(r["_pos_b"]), float(r["_pos_tv"])) for r in fat],
+                                     "_pos_fb long, _pos_tv double")
+        marked = (out.join(F.broadcast(ties), F.col("_pos_b") == F.col("_pos_fb"), "left")
+                  .withColumn("_pos_tie", F.col("_pos_tv").isNotNull()
+                              & (F.col("_pos_lk") == F.col("_pos_tv")))
+                  .withColumn("_pos_k2", _order_value(F.col(col), dtype)))
+        subs = max(1, math.ceil(sum(int(r["_pos_n"]) for r in fat) / rows))
+        cuts = marked.filter("_pos_tie").approxQuantile(
+            "_pos_k2", [i / subs for i in range(1, subs)], 1.0 / (4 * subs))
+        splits = [-math.inf] + sorted(set(cuts)) + [math.inf]
+        width = len(splits)
+        sub = Bucketizer(splits=splits, inputCol="_pos_k2", outputCol="_pos_sd",
+                         handleInvalid="keep").transform(marked)
+        part = F.when(F.col("_pos_fb").isNotNull() & ~F.col("_pos_tie"), F.lit(1)).otherwise(
+            F.lit(0))
+        inner = F.when(F.col("_pos_tie"), F.col("_pos_sd").cast("long")).otherwise(F.lit(0))
+        out = (sub.withColumn("_pos_b", (F.col("_pos_b") * 2 + part) * F.lit(width) + inner)
+               .withColumn("_pos_lk", F.col("_pos_k2"))
+               .drop("_pos_fb", "_pos_tv", "_pos_tie", "_pos_k2", "_pos_sd"))
+    return out.drop("_pos_lk")
 
 
 # Small side tables (hot groups, bucket bases) are broadcast only when their
