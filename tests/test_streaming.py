@@ -256,3 +256,30 @@ def test_replayed_publish_batch_is_skipped(spark, scratch):
     assert log.count() == 2 * batch.count()
     assert log.groupBy("partition").agg(F.countDistinct("offset").alias("d"),
                                         F.count("*").alias("n")).filter("d != n").count() == 0
+
+
+def test_live_reads_from_offsets_and_time(spark, scratch):
+    from tidelog.operators.positions import epoch_ms_of
+    from tidelog.sources import topics as S
+    log = fx.events_log(spark, SF_CHECK)
+    path = f"{scratch}/log"
+    log.filter(F.col("offset") < 2000).coalesce(1).write.parquet(path)
+    spec = {"events": {0: 500, 1: S.LATEST}}
+    by_offset = L.stream_from_offsets(spark, path, spec)
+    since = epoch_ms_of("2024-01-15T06:30:00Z")
+    by_time = L.stream_from_timestamp(spark, path, "events", since)
+    log.filter(F.col("offset") >= 2000).coalesce(1).write.mode("append").parquet(path)
+    for name, stream in ((_name(scratch, "s3"), by_offset), (_name(scratch, "s4"), by_time)):
+        L.start(stream.select("partition", "offset"), name, available_now=True).awaitTermination()
+    got3 = sorted(map(tuple, spark.table(_name(scratch, "s3")).collect()))
+    ends1 = log.filter("partition = 1 AND offset < 2000").count()
+    want3 = sorted(map(tuple, log.filter(
+        "(partition = 0 AND offset >= 500) OR (partition = 1 AND offset >= %d) OR partition = 2"
+        % ends1).select("partition", "offset").collect()))
+    assert got3 == want3
+    got4 = sorted(map(tuple, spark.table(_name(scratch, "s4")).collect()))
+    first = log.filter("offset < 2000").filter(F.col("timestamp") >= F.timestamp_millis(F.lit(since)))
+    starts = {r.partition: r.s for r in first.groupBy("partition").agg(F.min("offset").alias("s")).collect()}
+    want4 = sorted((r.partition, r.offset) for r in log.select("partition", "offset").collect()
+                   if r.offset >= starts.get(r.partition, 2000))
+    assert got4 == want4

@@ -57,6 +57,36 @@ def stream_from_latest(spark: SparkSession, path: str, topic: str) -> DataFrame:
     return from_positions(live, starts, default="earliest")
 
 
+def stream_from_offsets(spark: SparkSession, path: str,
+                        spec: dict[str, dict[int, int]]) -> DataFrame:
+    """S3 live: records at or after the given offset per partition
+    (``{topic: {partition: offset}}``, -2 earliest, -1 latest at start);
+    unlisted partitions of a listed topic from their start."""
+    from ..sources.topics import EARLIEST, LATEST
+    ends = {(r["topic"], r["partition"]): r["end_offset"] for r in
+            bounds(spark.read.schema(LOG_SCHEMA).parquet(path)
+                   .filter(F.col("topic").isin(list(spec)))).collect()}
+    rows = [(t, int(p), 0 if o == EARLIEST else (ends.get((t, int(p)), 0) if o == LATEST else int(o)))
+            for t, parts in spec.items() for p, o in parts.items()]
+    starts = spark.createDataFrame(rows, "topic string, partition int, start_offset long")
+    live = log_stream(spark, path).filter(F.col("topic").isin(list(spec)))
+    return from_positions(live, starts, default="earliest")
+
+
+def stream_from_timestamp(spark: SparkSession, path: str, topic: str,
+                          epoch_ms: int) -> DataFrame:
+    """S4/S5 live: per partition from the first offset whose timestamp is at
+    or after the instant, looked up once at start; a partition with no such
+    record yet starts at its end then."""
+    from ..operators.positions import first_at_or_after
+    log = spark.read.schema(LOG_SCHEMA).parquet(path).filter(F.col("topic") == topic)
+    firsts = first_at_or_after(log, epoch_ms).withColumnRenamed("start_offset", "_first")
+    starts = (bounds(log).join(firsts, TP, "left")
+              .select(*TP, F.coalesce("_first", "end_offset").alias("start_offset")))
+    live = log_stream(spark, path).filter(F.col("topic") == topic)
+    return from_positions(live, starts, default="earliest")
+
+
 def rate_ids(spark: SparkSession, per_batch: int, start_epoch_s: int,
              every_s: int) -> DataFrame:
     """Ids for live generators: ``per_batch`` new ids per micro-batch, event
