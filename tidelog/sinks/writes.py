@@ -26,10 +26,13 @@ def write_topic(df: DataFrame, topic: str, key: str | Column, value: str | Colum
     offset of its partition (continuing ``existing``'s end) and, with
     ``path``, append it to the Parquet log laid out by topic/partition.
 
-    Offsets are assigned by ``tidelog.log.with_offsets`` (range buckets, no
-    single task per partition); ``order`` fixes the order inside a
-    partition. Returns the written records (plus ``keep`` columns), which
-    ``delivery_receipts`` projects."""
+    Placement defaults to the producer's murmur2 of the key (``method``:
+    ``murmur2``, ``murmur3`` or ``md5``; keyless records are spread by the
+    value). Offsets are assigned by ``tidelog.log.with_offsets`` (range
+    buckets, no single task per partition); ``order`` must be a total order
+    of the records (lead with a near-unique column). Without ``timestamp``
+    the records get the query's start time. Returns the written records
+    (plus ``keep`` columns), which ``delivery_receipts`` projects."""
     k = _c(key).cast("binary")
     ts = _c(timestamp).cast("timestamp") if timestamp is not None else F.current_timestamp()
     staged = df.select(
