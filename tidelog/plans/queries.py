@@ -57,10 +57,12 @@ def count_greetings(spark: SparkSession, d: str) -> DataFrame:
 # --- sources ----------------------------------------------------------------
 
 def read_from_earliest(spark, d):
+    """Every record of the events topic from the beginning."""
     return record_view(S.read_from_earliest(_events(spark, d), "events"))
 
 
 def read_from_latest(spark, d):
+    """Records that arrived after a reader started (end offsets at start)."""
     log = _events(spark, d)
     ends = M.topic_stats(log.filter(F.col("timestamp") < F.to_timestamp(F.lit(STARTED_AT))))
     return record_view(S.read_from_latest(log, "events", ends))
@@ -71,18 +73,22 @@ def _events_and_greetings(spark, d):
 
 
 def read_from_offsets(spark, d):
+    """S3: from given offsets per partition (-2 earliest, -1 latest)."""
     return record_view(S.read_from_offsets(_events_and_greetings(spark, d), OFFSETS_SPEC))
 
 
 def read_from_timestamp(spark, d):
+    """From the first offset at or after an epoch-ms instant."""
     return record_view(S.read_from_timestamp(_events(spark, d), SINCE_MS, "events"))
 
 
 def read_from_datetime(spark, d):
+    """S4 with an ISO-8601 instant."""
     return record_view(S.read_from_datetime(_events(spark, d), SINCE_ISO, "events"))
 
 
 def read_topics(spark, d):
+    """Subscribe to a list of topics."""
     log = _events_and_greetings(spark, d).unionByName(fx.people_log(spark, d))
     return record_view(S.read_topics(log, ["events", "people"]))
 
@@ -95,28 +101,34 @@ def _event_lines(spark, d):
 
 
 def read_keyed_lines(spark, d):
+    """key|value lines split at the first separator; others rejected."""
     return S.read_keyed_lines(_event_lines(spark, d)).select("line", "key", "value", C.ERROR)
 
 
 def read_raw_strings(spark, d):
+    """Values as plain strings, no parsing."""
     raw = S.read_raw_strings(fx.raw_greetings_log(spark, d))
     return raw.select("partition", "offset", "text", C.ERROR)
 
 
 def generate_records(spark, d):
+    """One technologist record per event id, key = last name."""
     return G.generate_records(fx.table(spark, d, "events"), id_col="event_id")
 
 
 def generate_people(spark, d):
+    """One generated person per customer (title case, message key)."""
     return G.generate_people(fx.table(spark, d, "customer"), id_col="c_custkey")
 
 
 def generate_greetings(spark, d):
+    """One greeting record per event id, 5 s apart."""
     out = G.generate_greetings(fx.table(spark, d, "events"), fx.EPOCH_S, id_col="event_id")
     return out.withColumn("timestamp", wall_clock("timestamp"))
 
 
 def generate_greeting_words(spark, d):
+    """The fourteen-word greeting form."""
     out = G.generate_greetings(fx.table(spark, d, "events"), fx.EPOCH_S, form="word",
                                id_col="event_id")
     return out.withColumn("timestamp", wall_clock("timestamp"))
@@ -143,10 +155,12 @@ def _published_people(spark, d):
 
 
 def write_topic(spark, d):
+    """K1: publish generated people after the people topic's end."""
     return record_view(_published_people(spark, d), "id")
 
 
 def delivery_receipts(spark, d):
+    """K2: what each published record is and where it landed."""
     return K.delivery_receipts(_published_people(spark, d), ["id", "name", "title"])
 
 
@@ -156,31 +170,37 @@ def _people_mixed_resolved(spark, d, reader):
 
 
 def dead_letters(spark, d):
+    """K3: records a reader schema cannot take, with the reason."""
     bad = K.dead_letters(_people_mixed_resolved(spark, d, C.PERSON_V1))
     return bad.select("partition", "offset", C.ERROR)
 
 
 def keyed_lines(spark, d):
+    """K4: key<TAB>value lines, null keys printed as null."""
     log = fx.people_log(spark, d).unionByName(fx.raw_greetings_log(spark, d))
     return K.keyed_lines(log)
 
 
 def message_lines(spark, d):
+    """K5: one formatted line per greeting."""
     return K.message_lines(_greeting_items(spark, d), GREETING_LINE, "message", "key")
 
 
 def raw_greeting_lines(spark, d):
+    """K5: one formatted line per raw greeting string."""
     raw = K.accepted(S.read_raw_strings(fx.raw_greetings_log(spark, d)))
     return K.message_lines(raw, RAW_GREETING_LINE, "text")
 
 
 def table_snapshot(spark, d):
+    """K6: the whole count table as of an instant."""
     return K.table_snapshot(_greeting_items(spark, d), "greeter", SNAPSHOT_AS_OF)
 
 
 # --- serde, schemas ------------------------------------------------------------
 
 def encode_json(spark, d):
+    """Records as JSON text."""
     cu = fx.table(spark, d, "customer").select(
         F.col("c_custkey").cast("string").alias("id"),
         F.col("c_name").alias("name"), F.col("c_mktsegment").alias("title"))
@@ -189,16 +209,19 @@ def encode_json(spark, d):
 
 
 def decode_json(spark, d):
+    """JSON values decoded to fields, bad records flagged."""
     dec = C.decode_json(_events(spark, d), EVENT)
     return dec.select("topic", "partition", "offset", "event_type", "value", "props", C.ERROR)
 
 
 def decode_utf8(spark, d):
+    """Strict UTF-8 decode of keys and values."""
     dec = C.decode_utf8(fx.people_log(spark, d))
     return dec.select("partition", "offset", "key_text", "value_text", C.ERROR)
 
 
 def validate_record(spark, d):
+    """C4: required fields present, else rejected."""
     log = C.unframe(fx.people_mixed_log(spark, d))
     dec = C.decode_json(log, C.PERSON_V1, col="payload")
     out = C.validate_record(dec, C.PERSON_V1)
@@ -206,12 +229,14 @@ def validate_record(spark, d):
 
 
 def read_with_schema(spark, d):
+    """A mixed-version topic resolved to the v2 reader schema."""
     out = _people_mixed_resolved(spark, d, C.PERSON_V2)
     return out.select("partition", "offset", "schema_id", "first_name", "last_name",
                       "title", C.ERROR)
 
 
 def compat_audit(spark, d):
+    """Which stored record shapes each candidate schema can read."""
     log = C.unframe(fx.people_mixed_log(spark, d))
     return C.compat_audit(log, [C.FULLNAME_REQUIRED, C.FULLNAME_OPTIONAL, C.PERSON_V2])
 
@@ -219,17 +244,20 @@ def compat_audit(spark, d):
 # --- projections and scalars ---------------------------------------------------
 
 def message_key_q(spark, d):
+    """Message keys (lower case, literal 's+' -> '-')."""
     cu = fx.table(spark, d, "customer")
     return cu.select("c_custkey", message_key("c_mktsegment").alias("segment_key"),
                      message_key("c_name").alias("name_key"))
 
 
 def title_case_q(spark, d):
+    """Title case of whole conversation texts."""
     cv = fx.table(spark, d, "conversations")
     return cv.select("conv_id", "turn", title_case("text").alias("title"))
 
 
 def with_id(spark, d):
+    """Repeatable UUID-shaped ids (md5 form)."""
     cu = fx.table(spark, d, "customer").select("c_custkey")
     return C.with_id(cu, "id", "md5", "person", "c_custkey")
 
@@ -241,6 +269,7 @@ def with_uuid(spark, d):
 
 
 def items(spark, d):
+    """(key, decoded fields) pairs."""
     return C.items(fx.greetings_log(spark, d), C.GREETING).select(
         "partition", "offset", "key", "message", "greeter", C.ERROR)
 
@@ -248,6 +277,7 @@ def items(spark, d):
 # --- keyed state -------------------------------------------------------------
 
 def rekey(spark, d):
+    """A1: greetings re-keyed by greeter onto the re-keyed topic's partitions."""
     it = _greeting_items(spark, d).select(
         F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset"),
         "message", "greeter")
@@ -257,11 +287,13 @@ def rekey(spark, d):
 
 
 def count_by_key(spark, d):
+    """A2: events counted per type."""
     dec = K.accepted(C.decode_json(_events(spark, d), EVENT))
     return A.count_by_key(dec, "event_type")
 
 
 def running_count(spark, d):
+    """A3: per greeting, the greeter's count after it."""
     out = A.running_count(_greeting_items(spark, d), "greeter",
                           ["timestamp", "partition", "offset"])
     return out.select("partition", "offset", "greeter", "count")
@@ -280,16 +312,19 @@ def lookup_count(spark, d):
 # --- maintenance ---------------------------------------------------------------
 
 def apply_retention(spark, d):
+    """M1: records within the retention window at a given now."""
     return record_view(M.apply_retention(_events(spark, d), RETENTION_MS, RETENTION_NOW))
 
 
 def compact(spark, d):
+    """M2: latest record per key and partition."""
     out = C.decode_json(M.compact(_events(spark, d)), EVENT)
     return out.select("partition", F.decode("key", "UTF-8").alias("key"), "offset",
                       "event_type")
 
 
 def assign_partition(spark, d):
+    """M3: md5 placement of customer keys (portable form)."""
     cu = fx.table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("key"))
     return M.assign_partition(cu, "key", 3, "md5")
 
@@ -307,20 +342,24 @@ def assign_partition_producer(spark, d):
 
 
 def topic_stats(spark, d):
+    """M4: records, offset bounds and time span per topic partition."""
     return M.topic_stats(_all_logs(spark, d))
 
 
 def list_topics(spark, d):
+    """M4: topics with partition and record counts."""
     return M.list_topics(_all_logs(spark, d))
 
 
 def dedupe(spark, d):
+    """M5: a log with its replay, one row per position."""
     log = _events(spark, d)
     replay = O.resume(log, fx.commits_g0(log), "g0", "earliest")
     return record_view(M.dedupe(log.unionByName(replay)))
 
 
 def dedupe_by_id(spark, d):
+    """M5: a topic with retried copies, first written copy per id."""
     first = fx.people_log(spark, d)
     it = C.items(first, C.PERSON_JSON)
     again = C.encode_json(K.accepted(it), ["id", "name", "title"])
@@ -336,12 +375,14 @@ def dedupe_by_id(spark, d):
 # --- positions -----------------------------------------------------------------
 
 def commit(spark, d):
+    """O1: next positions after consuming records before an instant."""
     log = _events(spark, d)
     consumed = log.filter(F.col("timestamp") < F.to_timestamp(F.lit(CONSUMED_BEFORE)))
     return O.commit(consumed, "g0")
 
 
 def resume(spark, d):
+    """O2: records after the committed positions; no commit -> earliest."""
     log = _events(spark, d)
     commits = fx.commits_g0(log).filter(F.col("partition") != 2)
     return record_view(O.resume(log, commits, "g0", "earliest"))
@@ -357,11 +398,13 @@ def _groups(spark, d):
 
 
 def group_lag(spark, d):
+    """O3: committed position, log end and lag per group and partition."""
     log, commits = _groups(spark, d)
     return O.group_lag(log, commits)
 
 
 def list_groups(spark, d):
+    """O3: groups with their partition counts."""
     return O.list_groups(_groups(spark, d)[1])
 
 
@@ -378,10 +421,12 @@ def _plans(spark, d):
 
 
 def plan_reset(spark, d):
+    """Dry-run reset targets for all five modes."""
     return _plans(spark, d)[2]
 
 
 def apply_reset(spark, d):
+    """Commits after executing a to-datetime reset."""
     log, commits = _groups(spark, d)
     plan = O.plan_reset(log, commits, "g0", "to-datetime", RESET_DATETIME, "events")
     return O.apply_reset(commits, plan)
@@ -401,12 +446,14 @@ def replay_after_reset(spark, d):
 
 
 def incremental_run(spark, d):
+    """An enabled run reads only records after the bookmark."""
     log, commits = _groups(spark, d)
     rows, _ = O.run_incremental(log, commits, "g1", "enabled")
     return record_view(rows)
 
 
 def incremental_bookmarks(spark, d):
+    """Bookmarks after a run in each mode."""
     log, commits = _groups(spark, d)
     out = None
     for mode in O.BOOKMARK_MODES:
@@ -429,6 +476,7 @@ def consume_people(spark, d):
 
 
 def consume_commits(spark, d):
+    """O1 in the consume flow: positions after processing."""
     log = fx.people_mixed_log(spark, d)
     commits = fx.commits_at(log, "people.grp", 5)
     rows = O.resume(log, commits, "people.grp", "earliest")
