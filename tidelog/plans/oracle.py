@@ -40,6 +40,34 @@ def _md5_part(sql: str, n: int = 3) -> str:
     return f"CAST(CAST(('0x' || substr(md5({sql}), 1, 8)) AS BIGINT) % {n} AS INTEGER)"
 
 
+def _murmur2() -> tuple[str, str]:
+    """The producer's murmur2 in DuckDB SQL over columns ``hx`` (hex of the
+    key's UTF-8 bytes) and ``n`` (byte count): (fold over the 4-byte words
+    giving ``h0``, final expression over ``h0``). 32-bit products go through
+    HUGEINT; the fold is a ``list_reduce`` whose first element is the seed."""
+    m, mask = 0x5BD1E995, 4294967296
+
+    def mul(a: str) -> str:
+        return f"CAST((CAST({a} AS HUGEINT) * {m}) % {mask} AS BIGINT)"
+
+    def byte(i: str) -> str:
+        return f"CAST(('0x' || substr(hx, 2 * ({i}) + 1, 2)) AS BIGINT)"
+
+    word = (f"({byte('4*i')} | ({byte('4*i+1')} << 8) | ({byte('4*i+2')} << 16) "
+            f"| ({byte('4*i+3')} << 24))")
+    k1 = mul(word)
+    k3 = mul(f"xor({k1}, {k1} >> 24)")
+    fold = (f"list_reduce(list_prepend(xor(CAST(2538058380 AS BIGINT), n), range(0, n // 4)), "
+            f"lambda h, i: xor({mul('h')}, {k3}))")
+    tail = "(n // 4) * 4"
+    t = (f"xor(xor(CASE WHEN n % 4 >= 3 THEN {byte(tail + ' + 2')} << 16 ELSE 0 END, "
+         f"CASE WHEN n % 4 >= 2 THEN {byte(tail + ' + 1')} << 8 ELSE 0 END), "
+         f"CASE WHEN n % 4 >= 1 THEN {byte(tail)} ELSE 0 END)")
+    h1 = f"(CASE WHEN n % 4 >= 1 THEN {mul(f'xor(h0, {t})')} ELSE h0 END)"
+    f1 = mul(f"xor({h1}, {h1} >> 13)")
+    return fold, f"xor({f1}, {f1} >> 15)"
+
+
 def _title(sql: str) -> str:
     # RE2 has no Lowercase/Uppercase properties; the general categories agree
     # with them on the test texts.
@@ -379,6 +407,12 @@ FROM m"""
         _with(EVENTS_LOG) + 'SELECT "partition", key, "offset", event_type FROM ('
                             'SELECT *, row_number() OVER (PARTITION BY topic, "partition", key '
                             'ORDER BY "offset" DESC) AS rn FROM events_log) WHERE rn = 1')
+    fold, final = _murmur2()
+    sql["assign_partition_producer"] = f"""WITH t AS (
+  SELECT c_custkey, c_name AS key, hex(encode(c_name)) AS hx,
+         octet_length(encode(c_name)) AS n FROM customer),
+w AS (SELECT c_custkey, key, hx, n, {fold} AS h0 FROM t)
+SELECT c_custkey, key, CAST(({final} & 2147483647) % 3 AS INTEGER) AS "partition" FROM w"""
     sql["assign_partition"] = (f'SELECT c_custkey, c_name AS key, {_md5_part("c_name")} '
                                f'AS "partition" FROM customer')
     stats_src = " UNION ALL ".join(
