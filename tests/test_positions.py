@@ -110,3 +110,27 @@ def test_commit_beyond_the_end_reads_nothing(spark):
     assert O.resume(log, commits, "g", "earliest").count() == 0
     lag = {r.partition: r.lag for r in O.group_lag(log, commits).collect()}
     assert lag == {0: 6 - 99, 1: 0}
+
+
+def test_bookmarks_persist_between_runs(spark):
+    import tempfile
+    from pyspark.sql import functions as F
+    path = tempfile.mkdtemp(prefix="tidelog-bm-", dir="/tmp") + "/bookmarks"
+    log = _log(spark)
+    # the first three records of each partition (offsets 0-5 and 5-10)
+    part1 = log.filter(((F.col("partition") == 0) & (F.col("offset") < 3))
+                       | ((F.col("partition") == 1) & (F.col("offset") < 8)))
+    assert O.load_bookmarks(spark, path).count() == 0
+    rows, marks = O.run_incremental(part1, O.load_bookmarks(spark, path), "job", "enabled")
+    assert rows.count() == part1.count()
+    O.save_bookmarks(marks, path, 1)
+    rows, marks = O.run_incremental(log, O.load_bookmarks(spark, path), "job", "paused")
+    assert rows.count() == log.count() - part1.count()
+    O.save_bookmarks(marks, path, 2)                       # paused: unchanged
+    rows, marks = O.run_incremental(log, O.load_bookmarks(spark, path), "job", "enabled")
+    assert rows.count() == log.count() - part1.count()
+    O.save_bookmarks(marks, path, 3)
+    rows, _ = O.run_incremental(log, O.load_bookmarks(spark, path), "job", "enabled")
+    assert rows.count() == 0
+    rows, _ = O.run_incremental(log, O.load_bookmarks(spark, path), "job", "disabled")
+    assert rows.count() == log.count()

@@ -217,3 +217,24 @@ def run_incremental(log: DataFrame, commits: DataFrame, job: str,
     if mode == "paused":
         return rows, commits
     return rows, advance(commits, rows, job)
+
+
+def save_bookmarks(commits: DataFrame, path: str, run_id: int) -> None:
+    """Persist a run's bookmarks as version ``run=<id>`` (rewritten if the
+    run is repeated). Write them after the run's output: a crash in between
+    replays the run, never skips records (at-least-once)."""
+    commits.select("group", *TP, F.col("offset").cast("long")).write.mode(
+        "overwrite").parquet(f"{path.rstrip('/')}/run={int(run_id)}")
+
+
+def load_bookmarks(spark, path: str) -> DataFrame:
+    """The latest saved bookmarks (empty when none were saved yet)."""
+    from ..log import COMMITS_SCHEMA
+    try:
+        all_runs = spark.read.parquet(path)
+        last = all_runs.agg(F.max("run")).first()[0]
+    except Exception:                         # noqa: BLE001 - nothing saved yet
+        last = None
+    if last is None:
+        return spark.createDataFrame([], COMMITS_SCHEMA)
+    return all_runs.filter(F.col("run") == last).select("group", *TP, "offset")
