@@ -4,9 +4,11 @@ checkpoint folder every lineage cut goes to."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, app: str = "tidelog",
@@ -36,22 +38,26 @@ def get_session(master: str | None = None, app: str = "tidelog",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Read from the session; only when the setting is absent (local tests) a
-    fresh folder is created and registered."""
-    try:
-        sc = spark.sparkContext
-    except Exception:                      # noqa: BLE001 - e.g. a Connect session
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
+    """The shared folder named by ``spark.checkpoint.dir`` (or set on the
+    context). Without the setting, a session whose executors are threads of the
+    driver (``local[n]``) gets a new local folder, which is shared by all of
+    them; any other session raises, since its executors would not share it."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
         return sc.getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf and sc is not None:
-        conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="tidelog-ckpt-", dir="/tmp")
-    if sc is None:
-        return conf
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The table written to the shared checkpoint folder and read again: later
+    steps start from files that outlive any executor, and a plan used twice
+    is computed once."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
