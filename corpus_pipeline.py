@@ -31,9 +31,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
-    kept = F.when(F.col("text").isNotNull(), F.col("kept_text"))
-    return _measured(out.withColumn("text", kept).select(*docs.columns))
+    return _measured(line_dedup.cleaned(docs))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -86,27 +86,37 @@ def keep_bitmaps(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             "dropped_runs"))
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id",
-                  text: str = "text") -> DataFrame:
-    """The documents with ``kept_text``, n_lines (before dropping), n_dropped
-    and dropped_runs."""
+def _applied(docs: DataFrame, bitmaps: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The documents with _ld_kept, _ld_lines, _ld_n and _ld_runs."""
     keys = ["_ld_doc", "_ld_a", "_ld_b"]
-    d, b = _with_keys(docs, doc_id, text), bitmaps
-    for k in keys:
-        b = b.withColumnRenamed(k, f"{k}_r")
+    d = _with_keys(docs, doc_id, text)
+    b = bitmaps.select(*[F.col(k).alias(f"{k}_r") for k in keys],
+                       F.col("n_dropped").alias("_ld_n"), F.col("dropped_runs").alias("_ld_runs"))
     on = [F.col(k).eqNullSafe(F.col(f"{k}_r")) for k in keys]
     out = d.join(b, on[0] & on[1] & on[2], "left")
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    out = out.withColumn("_ld_lines", lines)
-    drop_at = F.flatten(F.transform("dropped_runs", lambda r: F.sequence(r["from"], r["to"])))
-    out = out.withColumn("_ld_gone", drop_at)
-    # A text loses few of its lines or most of them: both forms are one pass.
-    kept = F.when(F.col("_ld_gone").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(
-        F.array_join(F.transform(F.array_except(
-            F.sequence(F.lit(0), F.size("_ld_lines") - 1), "_ld_gone"),
-            lambda i: F.get("_ld_lines", i)), "\n"))
-    kept = F.when(F.size("_ld_gone") == F.size("_ld_lines"), F.lit("")).otherwise(kept)
-    return out.withColumns({
-        "kept_text": kept, "n_lines": F.size("_ld_lines").cast("long"),
-        "n_dropped": F.coalesce("n_dropped", F.lit(0).cast("long"))}).drop(
-            *keys, *[f"{k}_r" for k in keys], "_ld_lines", "_ld_gone")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    out = out.withColumns({"_ld_lines": F.split(whole, "\n"), "_ld_gone": F.flatten(
+        F.transform("_ld_runs", lambda r: F.sequence(r["from"], r["to"])))})
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_ld_lines") - 1), "_ld_gone")
+    kept = F.when(F.col("_ld_gone").isNull(), whole).otherwise(F.array_join(
+        F.transform(stay, lambda i: F.get("_ld_lines", i)), "\n"))
+    return out.withColumn("_ld_kept", kept)
+
+
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id",
+                  text: str = "text") -> DataFrame:
+    """The documents with ``kept_text``, n_lines (before dropping), n_dropped
+    and dropped_runs (columns of these names are replaced)."""
+    out = _applied(docs, bitmaps, doc_id, text).withColumns({
+        "kept_text": F.col("_ld_kept"), "n_lines": F.size("_ld_lines").cast("long"),
+        "n_dropped": F.coalesce("_ld_n", F.lit(0).cast("long")), "dropped_runs": F.col("_ld_runs")})
+    return out.drop(*[c for c in out.columns if c.startswith("_ld_") and c not in docs.columns])
+
+
+def cleaned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """The documents without their repeated lines, in the columns they came with
+    (a null text stays null)."""
+    out = _applied(docs, keep_bitmaps(docs, doc_id, text, **settings), doc_id, text)
+    return out.select(*[
+        F.when(F.col(text).isNotNull(), F.col("_ld_kept")).alias(c) if c == text else F.col(c)
+        for c in docs.columns])

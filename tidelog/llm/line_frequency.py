@@ -74,8 +74,13 @@ def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_symbols": F.regexp_count("_lf_t", F.lit(SYMBOLS)).cast("long"),
         "n_dup_lines": (F.size("_lf_l") - F.size(F.array_distinct("_lf_l"))).cast("long")})
     out = repeated_words(out.drop("_lf_l", "_lf_t"), "_lf_w", "n_repeat_words").drop("_lf_w")
-    return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (
+    out = out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
+    # A later filter on a feature would be pushed below the steps above and repeat
+    # them inside one another; behind a generator (of one row) it stays where it is.
+    features = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    return out.withColumn("_lf_x", F.explode(F.array(F.struct(*features)))).withColumns(
+        {c: F.col(f"_lf_x.{c}") for c in features}).drop("_lf_x")
 
 
 def normalised(text: Column) -> Column:
