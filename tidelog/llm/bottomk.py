@@ -37,6 +37,8 @@ from .common import partitions
 K = 128
 SHINGLE = 5
 _SEED = 6
+#: Parts of the ids for each shuffle partition, so that partitions come out even.
+PARTS = 8
 #: Bytes hashed in one go; texts are gathered up to this (a longer one is alone).
 BLOCK_BYTES = 1 << 21
 
@@ -196,7 +198,7 @@ def _dealt(docs: DataFrame) -> DataFrame:
     be empty) as a guest at the end of the part before it; the very first is the
     last part's guest."""
     spark = docs.sparkSession
-    n = partitions(spark)
+    n = PARTS * partitions(spark)
     ids = docs.select("doc_id")
     cuts = sorted(set(ids.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)))) if n > 1 else []
     part = F.lit(0)
