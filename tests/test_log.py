@@ -19,7 +19,7 @@ def _same(a, b, cols):
 def test_bucketed_positions_equal_plain_window(spark):
     ev = spark.read.parquet(f"{SF_CHECK}/events.parquet")
     ev = ev.withColumn("p", F.col("user_id") % 3)
-    got = dense_position(ev, ["p"], ["event_id"], "pos", rows_per_bucket=700)
+    got = dense_position(ev, ["p"], ["event_id"], "pos")
     want = _plain(ev, ["p"], ["event_id"], "pos")
     _same(got, want, ["event_id", "pos"])
 
@@ -30,7 +30,7 @@ def test_bucketed_positions_hot_key_and_ties(spark):
     ev = ev.withColumn("k", F.when(F.col("event_id") % 3 == 0, F.lit("hot"))
                        .otherwise(F.col("user_id").cast("string")))
     ev = ev.withColumn("minute", F.date_trunc("hour", "ts"))
-    got = dense_position(ev, ["k"], ["minute", "event_id"], "pos", rows_per_bucket=500)
+    got = dense_position(ev, ["k"], ["minute", "event_id"], "pos")
     want = _plain(ev, ["k"], ["minute", "event_id"], "pos")
     _same(got, want, ["event_id", "pos"])
     hot = got.filter(F.col("k") == "hot").agg(F.min("pos"), F.max("pos"), F.count("*")).first()
@@ -39,7 +39,7 @@ def test_bucketed_positions_hot_key_and_ties(spark):
 
 def test_global_positions(spark):
     cv = spark.read.parquet(f"{SF_CHECK}/conversations.parquet")
-    got = dense_position(cv, [], ["conv_id", "turn"], "seq", rows_per_bucket=50)
+    got = dense_position(cv, [], ["conv_id", "turn"], "seq")
     want = _plain(cv, [], ["conv_id", "turn"], "seq")
     _same(got, want, ["conv_id", "turn", "seq"])
 
@@ -48,7 +48,7 @@ def test_offsets_continue_existing_end(spark):
     log = fx.events_log(spark, SF_CHECK)
     more = log.select("key", "value", "topic", "partition", "timestamp",
                       (F.col("offset") * 10).alias("o"))
-    cont = with_offsets(more, ["o"], bounds(log), rows_per_bucket=900)
+    cont = with_offsets(more, ["o"], bounds(log))
     b = {(r.topic, r.partition): r.end_offset for r in bounds(log).collect()}
     c = bounds(cont).collect()
     for r in c:
@@ -60,32 +60,32 @@ def test_ties_on_the_leading_column_are_split_and_exact(spark):
     ev = spark.read.parquet(f"{SF_CHECK}/events.parquet").withColumn("p", F.col("user_id") % 3)
     # every leading value heavily tied: one value per day (about 333 rows each)
     daily = ev.withColumn("day", F.date_trunc("day", "ts"))
-    got = dense_position(daily, ["p"], ["day", "event_id"], "pos", rows_per_bucket=100)
+    got = dense_position(daily, ["p"], ["day", "event_id"], "pos")
     _same(got, _plain(daily, ["p"], ["day", "event_id"], "pos"), ["event_id", "pos"])
     # one leading value held by a third of all rows
     third = ev.withColumn("lead", F.when(F.col("event_id") % 3 == 0, F.lit(0))
                           .otherwise(F.col("event_id")))
-    got = dense_position(third, [], ["lead", "event_id"], "pos", rows_per_bucket=200)
+    got = dense_position(third, [], ["lead", "event_id"], "pos")
     _same(got, _plain(third, [], ["lead", "event_id"], "pos"), ["event_id", "pos"])
 
 
-def test_tie_rows_spread_over_several_buckets(spark):
-    from tidelog.log import _split_ties
-    ev = spark.read.parquet(f"{SF_CHECK}/events.parquet")
-    df = ev.select("event_id", F.lit(5.0).alias("_pos_k"), F.lit(1).cast("long").alias("_pos_b"))
-    out = _split_ties(df.withColumn("lead", F.lit(5)), ["lead", "event_id"], 500)
-    assert out.select("_pos_b").distinct().count() >= 15
-
-
 def test_ties_on_two_order_columns_are_split(spark):
     ev = spark.read.parquet(f"{SF_CHECK}/events.parquet")
     # a third of the rows share both the first and the second order value
     df = (ev.withColumn("a", F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("event_id")))
             .withColumn("b", F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.lit(0))))
-    got = dense_position(df, [], ["a", "b", "event_id"], "pos", rows_per_bucket=200)
+    got = dense_position(df, [], ["a", "b", "event_id"], "pos")
     _same(got, _plain(df, [], ["a", "b", "event_id"], "pos"), ["event_id", "pos"])
-    from tidelog.log import _split_ties
-    tied = df.filter("event_id % 3 = 0").select(
-        "event_id", "a", "b", F.lit(7.0).alias("_pos_k"), F.lit(1).cast("long").alias("_pos_b"))
-    out = _split_ties(tied, ["a", "b", "event_id"], 200)
-    assert out.select("_pos_b").distinct().count() >= 10
+
+
+def test_positions_with_any_order_type(spark):
+    """Strings, nulls, ties and doubles lead the order as Spark sorts them."""
+    from datetime import date
+    rows = [(i, None if i % 5 == 0 else f"s{i % 7}", None if i % 4 == 0 else -i / 3,
+             date(2024, 1, 1 + i % 9), None if i % 3 == 0 else "hot") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, s string, x double, d date, g string")
+    for lead in ("s", "x", "d"):
+        for by in ([], ["g"]):
+            got = dense_position(df, by, [lead, "id"], "pos")
+            _same(got, _plain(df, by, [lead, "id"], "pos"), ["id", "pos"])
+    assert dense_position(df.filter("id < 0"), ["g"], ["s", "id"], "pos").count() == 0

@@ -58,7 +58,7 @@ def test_topic_stats(spark):
 def test_counts_running_and_lookup(spark):
     df = spark.createDataFrame([("Bill", 3), ("Sue", 1), ("Bill", 1), ("Bill", 2)], "g string, o long")
     rc = {r.o if r.g == "Bill" else -r.o: r["count"]
-          for r in A.running_count(df, "g", ["o"], rows_per_bucket=2).collect()}
+          for r in A.running_count(df, "g", ["o"]).collect()}
     assert rc == {1: 1, 2: 2, 3: 3, -1: 1}
     counts = A.count_by_key(df, "g")
     keys = spark.createDataFrame([("Bill",), ("Jo",)], "g string")

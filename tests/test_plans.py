@@ -53,18 +53,20 @@ def test_projection_is_pruned(spark, written_log):
     assert "ReadSchema: struct<offset:bigint>" in plan
 
 
-def test_bucketed_ranking_shuffles_rows_once(spark):
+def test_ranking_never_gathers_rows_in_one_task(spark):
     ev = spark.read.parquet(f"{SF_CHECK}/events.parquet").withColumn("p", F.col("user_id") % 3)
-    out = dense_position(ev, ["p"], ["event_id"], "pos", rows_per_bucket=1000)
-    out.write.format("noop").mode("overwrite").save()
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    big = re.findall(r"Exchange hashpartitioning\(", plan)
-    assert len(big) == 1, plan
+    for by in ([], ["p"]):
+        out = dense_position(ev, by, ["event_id"], "pos")
+        out.write.format("noop").mode("overwrite").save()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan
+        # the rows' own window is within range partitions of the group
+        assert re.search(r"Window \[sum\(_scan_value.*_scan_part.*_scan_group", plan), plan
 
 
 def test_counting_and_compaction_aggregate_before_the_shuffle(spark):
     log = fx.events_log(spark, SF_SMALL)
-    assert "partial_max_by" in _plan(M.compact(log))
+    assert "partial_max(" in _plan(M.compact(log))
     assert "partial_count" in _plan(A.count_by_key(log, "partition"))
     assert "partial_min_by" in _plan(M.dedupe(log.withColumn("id", F.col("offset") % 7), ["id"]))
 

@@ -11,13 +11,13 @@ Parquet-backed log. Offsets are dense per (topic, partition).
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .functions.text import utf8_or_null
+from .scan import dense_position
+
 LOG_SCHEMA = T.StructType([
     T.StructField("key", T.BinaryType(), True),
     T.StructField("value", T.BinaryType(), True),
@@ -31,12 +31,6 @@ TP = ["topic", "partition"]
 
 COMMITS_SCHEMA = "group string, topic string, partition int, offset long"
 
-# Rows one window task orders at most when positions are assigned; larger
-# inputs are cut into range buckets first (see ``dense_position``).
-ROWS_PER_BUCKET = 1 << 21
-BUCKET_ROWS_CONF = "spark.tidelog.positionBucketRows"
-
-
 def to_log(df: DataFrame) -> DataFrame:
     """Select and cast the six log columns (extra columns are dropped)."""
     return df.select(
@@ -50,9 +44,8 @@ def to_log(df: DataFrame) -> DataFrame:
 
 
 def key_string(col: str | Column = "key") -> Column:
-    """UTF-8 key bytes as a string (null stays null)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.decode(c, "UTF-8")
+    """UTF-8 key bytes as a string (null for a null key and for bad bytes)."""
+    return utf8_or_null(col)
 
 
 def wall_clock(col: str | Column = "timestamp") -> Column:
@@ -83,163 +76,7 @@ def bounds(log: DataFrame) -> DataFrame:
     )
 
 
-def _order_value(col: Column, dtype: T.DataType) -> Column:
-    """A double that never decreases when the column increases."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(col).cast("double")
-    return col.cast("double")
-
-
-def _bucket_rows(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get(BUCKET_ROWS_CONF, None)
-    return int(conf) if conf else ROWS_PER_BUCKET
-
-
-def dense_position(df: DataFrame, by: list[str], order: list[str],
-                   name: str = "position",
-                   rows_per_bucket: int | None = None,
-                   known_count: int | None = None) -> DataFrame:
-    """Add ``name`` = 0-based rank of each row inside its ``by`` group in
-    ``order`` (the order must be total inside a group).
-
-    A plain ``row_number`` puts a whole group into one task, which is one task
-    per topic partition or per hot key. Here, when the input is larger than
-    one bucket, the leading order column is cut into range buckets
-    (approximate quantiles, computed once and then fixed literals, so a
-    recomputed task after an executor loss sees the same buckets). Groups
-    larger than one bucket (at most n / rows_per_bucket of them) are ranked
-    per (group, bucket); all other groups are ranked whole, each within one
-    task. A small count table of the hot groups' buckets, running-summed per
-    group, gives each bucket its base. A group that holds a third of the rows
-    is spread over a third of the buckets. The row count and the hot groups
-    come from one aggregate (the hot list is bounded by n / rows_per_bucket);
-    the rows are shuffled once (the window's exchange); the bucket bases are
-    checkpointed to the shared checkpoint folder and broadcast when their
-    counted size allows.
-
-    Rows that tie on the leading column (many records with one timestamp)
-    are split further by the next order columns (``_split_ties``, up to the
-    first ``TIE_LEVELS`` columns).
-    """
-    rows = rows_per_bucket or _bucket_rows(df)
-    hot_groups = None
-    if by and (known_count is None or known_count > rows):
-        # One aggregate gives the row count and the groups larger than one
-        # bucket (at most n / rows of them, so the list is bounded).
-        sizes = df.groupBy(F.struct(*by).alias("_pos_grp")).agg(
-            F.count(F.lit(1)).alias("_pos_size"))
-        agg = sizes.agg(F.sum("_pos_size").alias("n"), F.collect_list(
-            F.when(F.col("_pos_size") > rows, F.col("_pos_grp"))).alias("hot")).first()
-        n, hot_groups = int(agg["n"] or 0), agg["hot"]
-    else:
-        n = df.count() if known_count is None else known_count
-    buckets = max(1, math.ceil(n / rows))
-    if buckets == 1:
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
-
-    lead = order[0]
-    dtype = df.schema[lead].dataType
-    keyed = df.withColumn("_pos_k", _order_value(F.col(lead), dtype))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = keyed.approxQuantile("_pos_k", probs, 1.0 / (4 * buckets))
-    splits = [-math.inf] + sorted(set(cuts)) + [math.inf]
-    bucketed = (Bucketizer(splits=splits, inputCol="_pos_k", outputCol="_pos_bd",
-                           handleInvalid="keep").transform(keyed)
-                .withColumn("_pos_b", F.col("_pos_bd").cast("long")).drop("_pos_bd"))
-    bucketed = _split_ties(bucketed, order, rows)
-
-    # The groups as one struct: never null (struct equality treats null
-    # fields as equal), so every join below is a plain equi-join on exactly
-    # the keys of the window's shuffle and can reuse its partitioning.
-    keys = ["_pos_b"]
-    if by:
-        bucketed = bucketed.withColumn("_pos_grp", F.struct(*by))
-        keys = ["_pos_grp", "_pos_b"]
-        # Only groups larger than one bucket are cut (at most n / rows of
-        # them); every other group keeps bucket -1 and is ranked whole in one
-        # task. So the count table stays small even with millions of keys.
-        grp_type = T.StructType([T.StructField("_pos_grp", T.StructType(
-            [df.schema[c] for c in by])), T.StructField("_pos_hot", T.BooleanType())])
-        hot = df.sparkSession.createDataFrame([(g, True) for g in hot_groups], grp_type)
-        bucketed = (bucketed.join(small(hot, len(hot_groups)), "_pos_grp", "left")
-                    .withColumn("_pos_b", F.when(F.col("_pos_hot"), F.col("_pos_b"))
-                                .otherwise(F.lit(-1).cast("long")))
-                    .drop("_pos_hot"))
-
-    counts = (bucketed.filter(F.col("_pos_b") >= 0)
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias("_pos_n")))
-    before = Window.partitionBy(*keys[:-1]).orderBy("_pos_b").rowsBetween(
-        Window.unboundedPreceding, -1)
-    bases, n_bases = materialize(counts.select(
-        *keys, F.coalesce(F.sum("_pos_n").over(before), F.lit(0)).alias("_pos_base")))
-    # One shuffle of the rows, the window's own (sized by the session's
-    # shuffle partitions like any large shuffle); the bases join afterwards on
-    # the same keys: broadcast when their counted size allows, else a shuffle
-    # of the small side only.
-    w = Window.partitionBy(*keys).orderBy(*order)
-    ranked = bucketed.withColumn("_pos_rn", F.row_number().over(w) - 1)
-    joined = ranked.join(small(bases, n_bases), keys, "left")
-    out = joined.withColumn(
-        name, (F.coalesce(F.col("_pos_base"), F.lit(0)) + F.col("_pos_rn")).cast("long"))
-    return out.drop("_pos_k", "_pos_b", "_pos_grp", "_pos_base", "_pos_rn")
-
-
-# Order columns used to split ties (level ids stay within a long).
-TIE_LEVELS = 3
-
-
-def _split_ties(bucketed: DataFrame, order: list[str], rows: int) -> DataFrame:
-    """Split buckets made fat by ties, one order column at a time.
-
-    A value held by more than a bucket's worth of rows is hit by several
-    quantile probes, so it is the lower cut — the smallest value — of its own
-    bucket; the other values of that bucket are at most about 1.5 buckets'
-    worth (the quantile error is a quarter bucket). So a bucket with more than
-    two buckets' worth of rows is (tie rows) + (rest): the tie rows are cut
-    again by quantiles of the next order column, the rest keep one
-    sub-bucket after them. The bucket id becomes ((b * 2 + part) * width +
-    sub), which is ordered like the rows, and the next level repeats this on
-    the new ids (up to ``TIE_LEVELS`` order columns). The fat buckets (at most
-    n / (2 * rows) per level) and the cuts are small and fixed before the
-    main job."""
-    out = bucketed.withColumn("_pos_lk", F.col("_pos_k"))
-    spark = bucketed.sparkSession
-    for col in order[1:TIE_LEVELS]:
-        dtype = out.schema[col].dataType
-        if not isinstance(dtype, (T.NumericType, T.TimestampType, T.TimestampNTZType,
-                                  T.DateType)):
-            break
-        fat = (out.groupBy("_pos_b").agg(F.count(F.lit(1)).alias("_pos_n"),
-                                         F.min("_pos_lk").alias("_pos_tv"))
-               .filter(F.col("_pos_n") > 2 * rows).collect())
-        if not fat:
-            break
-        ties = spark.createDataFrame([(int(r["_pos_b"]), float(r["_pos_tv"])) for r in fat],
-                                     "_pos_fb long, _pos_tv double")
-        marked = (out.join(F.broadcast(ties), F.col("_pos_b") == F.col("_pos_fb"), "left")
-                  .withColumn("_pos_tie", F.col("_pos_tv").isNotNull()
-                              & (F.col("_pos_lk") == F.col("_pos_tv")))
-                  .withColumn("_pos_k2", _order_value(F.col(col), dtype)))
-        subs = max(1, math.ceil(sum(int(r["_pos_n"]) for r in fat) / rows))
-        cuts = marked.filter("_pos_tie").approxQuantile(
-            "_pos_k2", [i / subs for i in range(1, subs)], 1.0 / (4 * subs))
-        splits = [-math.inf] + sorted(set(cuts)) + [math.inf]
-        width = len(splits)
-        sub = Bucketizer(splits=splits, inputCol="_pos_k2", outputCol="_pos_sd",
-                         handleInvalid="keep").transform(marked)
-        part = F.when(F.col("_pos_fb").isNotNull() & ~F.col("_pos_tie"), F.lit(1)).otherwise(
-            F.lit(0))
-        inner = F.when(F.col("_pos_tie"), F.col("_pos_sd").cast("long")).otherwise(F.lit(0))
-        out = (sub.withColumn("_pos_b", (F.col("_pos_b") * 2 + part) * F.lit(width) + inner)
-               .withColumn("_pos_lk", F.col("_pos_k2"))
-               .drop("_pos_fb", "_pos_tv", "_pos_tie", "_pos_k2", "_pos_sd"))
-    return out.drop("_pos_lk")
-
-
-# Small side tables (hot groups, bucket bases) are broadcast only when their
+# Small side tables are broadcast only when their
 # counted size is at most this many rows; beyond it they are shuffle-joined.
 BROADCAST_ROWS = 1 << 20
 
@@ -260,12 +97,11 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def with_offsets(df: DataFrame, order: list[str], base: DataFrame | None = None,
-                 rows_per_bucket: int | None = None) -> DataFrame:
+def with_offsets(df: DataFrame, order: list[str], base: DataFrame | None = None) -> DataFrame:
     """Assign dense offsets per (topic, partition) in ``order``.
 
     ``base`` (topic, partition, end_offset) continues an existing log."""
-    out = dense_position(df, TP, order, "offset", rows_per_bucket)
+    out = dense_position(df, TP, order, "offset")
     if base is None:
         return out
     b = base.select(*TP, F.col("end_offset").alias("_base_end"))

@@ -40,16 +40,15 @@ def compact(log: DataFrame) -> DataFrame:
     deletion marker and removes the key. Records without a key cannot be
     compacted and are left out.
 
-    ``max_by`` aggregates partially before the shuffle, so a hot key sends
-    one row per task, not all its records."""
-    latest = (log.filter(F.col("key").isNotNull())
-              .groupBy("topic", "partition", "key")
-              .agg(F.max_by(F.struct("offset", "value", "timestamp"), F.col("offset"))
-                   .alias("_last")))
-    return (latest.select("key", F.col("_last.value").alias("value"), "topic",
-                          "partition", F.col("_last.offset").alias("offset"),
-                          F.col("_last.timestamp").alias("timestamp"))
-            .filter(F.col("value").isNotNull()))
+    The largest offset of each key is a hash aggregate of fixed width (a hot
+    key sends one row per task); the winners are joined back by position, so
+    values are neither aggregated nor sorted by key."""
+    last = (log.filter(F.col("key").isNotNull())
+            .groupBy("topic", "partition", "key").agg(F.max("offset").alias("offset"))
+            .select(*TP, "offset"))
+    kept = log.filter(F.col("key").isNotNull() & F.col("value").isNotNull())
+    return kept.join(last, [*TP, "offset"], "left_semi").select(
+        "key", "value", "topic", "partition", "offset", "timestamp")
 
 
 # --- M3 ---------------------------------------------------------------------
@@ -57,35 +56,34 @@ def compact(log: DataFrame) -> DataFrame:
 PLACEMENTS = ("murmur2", "murmur3", "md5")
 
 
-def partition_for(key: Column, n: int = 3, method: str = "murmur2",
+def partition_for(key: Column, n: int = 3, method: str = "murmur3",
                   spread: Column | None = None) -> Column:
     """Partition of a key: the same key always gets the same partition.
 
-    ``murmur2`` is the producer's default placement of keyed records
-    (``positive(murmur2(key)) % n``, a vectorized Pandas UDF), so records land
-    where a producer would put them; ``murmur3`` is Spark's ``hash`` (fastest,
-    JVM-side); ``md5`` is portable to SQL engines (used by the oracle). A
-    null key is spread by ``spread`` (the value, in ``write_topic``) so
-    keyless records do not pile onto one partition; unlike the producer's
-    random choice this is repeatable."""
+    ``murmur3`` (the default) is Spark's ``hash``, inside the plan; ``md5`` is
+    portable to SQL engines (used by the oracle); ``murmur2`` is a producer
+    client's placement of keyed records (``positive(murmur2(key)) % n``, a
+    vectorized Pandas UDF over the keys only), for records that must land
+    where such a producer would put them. A null key is spread by the hash of
+    ``spread`` (the value, in ``write_topic``) so keyless records do not pile
+    onto one partition; unlike the producer's random choice this is
+    repeatable."""
+    other = F.pmod(F.xxhash64(spread), F.lit(n)) if spread is not None else F.lit(0)
     if method == "murmur2":
         placed = murmur2_partition(key, n)
-        other = murmur2_partition(spread, n) if spread is not None else F.lit(0)
     elif method == "murmur3":
         placed = F.pmod(F.hash(key), F.lit(n))
-        other = F.pmod(F.hash(spread), F.lit(n)) if spread is not None else F.lit(0)
     elif method == "md5":
         def _md5(c: Column) -> Column:
             return F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("long") % F.lit(n)
         placed = _md5(key)
-        other = _md5(spread) if spread is not None else F.lit(0)
     else:
         raise ValueError(f"unknown partitioner: {method}")
     return F.when(key.isNotNull(), placed).otherwise(other).cast("int")
 
 
 def assign_partition(df: DataFrame, key: str = "key", n: int = 3,
-                     method: str = "murmur2", spread: str | None = None,
+                     method: str = "murmur3", spread: str | None = None,
                      out: str = "partition") -> DataFrame:
     return df.withColumn(out, partition_for(
         F.col(key), n, method, F.col(spread) if spread else None))

@@ -230,11 +230,11 @@ def save_bookmarks(commits: DataFrame, path: str, run_id: int) -> None:
 def load_bookmarks(spark, path: str) -> DataFrame:
     """The latest saved bookmarks (empty when none were saved yet)."""
     from ..log import COMMITS_SCHEMA
-    try:
-        all_runs = spark.read.parquet(path)
-        last = all_runs.agg(F.max("run")).first()[0]
-    except Exception:                         # noqa: BLE001 - nothing saved yet
-        last = None
+    from ..session import path_exists
+    if not path_exists(spark, path):          # nothing saved yet; a failed read raises
+        return spark.createDataFrame([], COMMITS_SCHEMA)
+    all_runs = spark.read.parquet(path)
+    last = all_runs.agg(F.max("run")).first()[0]
     if last is None:
         return spark.createDataFrame([], COMMITS_SCHEMA)
     return all_runs.filter(F.col("run") == last).select("group", *TP, "offset")

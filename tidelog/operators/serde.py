@@ -132,9 +132,15 @@ CORRUPT = "_corrupt_record"
 
 
 def _parse(text: Column, schema: T.StructType) -> Column:
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    return F.from_json(text, with_corrupt,
-                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    """One strict parse. The text is wrapped as a member of an object whose last
+    member must be reached, so text after the record (which the parser would
+    leave unread) is an error like any other. Text made to close the wrapper
+    itself (``{...},"e":1}``) is still read as its first record."""
+    wrapped = T.StructType([T.StructField("w", schema), T.StructField("e", T.IntegerType()),
+                            T.StructField(CORRUPT, T.StringType())])
+    return F.from_json(F.concat(F.lit('{"w":'), text, F.lit(',"e":1}')), wrapped,
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+                        "allowSingleQuotes": "false"})
 
 
 def decode_json(df: DataFrame, schema: RecordSchema | T.StructType,
@@ -147,16 +153,16 @@ def decode_json(df: DataFrame, schema: RecordSchema | T.StructType,
     text = utf8_or_null(col)
     parsed = df.withColumn("_dec_text", text).withColumn(
         "_dec", _parse(F.col("_dec_text"), struct))
+    good = F.coalesce(F.col(f"_dec.{CORRUPT}").isNull() & (F.col("_dec.e") == 1)
+                      & F.col("_dec.w").isNotNull(), F.lit(False))
     err = _first_error(
         (F.col(col).isNotNull() & F.col("_dec_text").isNull(), "invalid utf-8"),
-        (F.col(col).isNotNull() & (F.col("_dec").isNull()
-                                   | F.col(f"_dec.{CORRUPT}").isNotNull()),
-         "invalid json"),
+        (F.col(col).isNotNull() & ~good, "invalid json"),
     )
     decoded = {prefix + f.name for f in struct.fields}
     keep = [c for c in df.columns if c not in decoded]
     out = parsed.select(*keep,
-                        *[F.when(F.col(f"_dec.{CORRUPT}").isNull(), F.col(f"_dec.{f.name}"))
+                        *[F.when(good, F.col(f"_dec.w.{f.name}"))
                           .alias(prefix + f.name) for f in struct.fields],
                         err.alias("_dec_err"))
     out = _merge_error(out, F.col("_dec_err")).drop("_dec_err")
@@ -175,11 +181,14 @@ def with_id(df: DataFrame, out: str = "id", method: str = "uuid", seed: str = "i
 
 def items(log: DataFrame, schema: RecordSchema | T.StructType) -> DataFrame:
     """(key, decoded value fields) pairs plus the record position and time.
-    A decoded field named like a log column replaces it."""
+    A decoded field named like a log column replaces it. A key that isn't UTF-8
+    is null and sets ``error``."""
     dec = decode_json(log, schema)
+    dec = _merge_error(dec, _first_error(
+        (F.col("key").isNotNull() & utf8_or_null("key").isNull(), "invalid utf-8 in key")))
     struct = schema.struct if isinstance(schema, RecordSchema) else schema
     return dec.select("topic", "partition", "offset", "timestamp",
-                      F.decode(F.col("key"), "UTF-8").alias("key"),
+                      utf8_or_null("key").alias("key"),
                       *[f.name for f in struct.fields], ERROR)
 
 

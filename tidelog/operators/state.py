@@ -6,11 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..log import dense_position
+from ..scan import dense_position
 from .maintenance import partition_for
 
 
-def rekey(df: DataFrame, field: str, n: int = 3, method: str = "murmur2") -> DataFrame:
+def rekey(df: DataFrame, field: str, n: int = 3, method: str = "murmur3") -> DataFrame:
     """A1: re-publish records keyed by ``field`` so every record of one key
     lands in one partition of the re-keyed topic. Within Spark a later
     ``groupBy(field)`` shuffles by itself; an explicit
@@ -26,13 +26,13 @@ def count_by_key(df: DataFrame, field: str, name: str = "count") -> DataFrame:
 
 
 def running_count(df: DataFrame, field: str, order: list[str],
-                  name: str = "count", rows_per_bucket: int | None = None) -> DataFrame:
+                  name: str = "count") -> DataFrame:
     """A3: per event, the count of its key as it stood after that event.
 
     The 1-based rank of the event inside its key in ``order``; computed by
-    ``dense_position``, which splits a hot key over range buckets instead of
-    ordering it in one task."""
-    out = dense_position(df, [field], order, "_rc_pos", rows_per_bucket)
+    ``dense_position``, which spreads a hot key over range partitions instead
+    of ordering it in one task."""
+    out = dense_position(df, [field], order, "_rc_pos")
     return out.withColumn(name, F.col("_rc_pos") + 1).drop("_rc_pos")
 
 

@@ -7,6 +7,9 @@ repeat them; offsets are dense per partition in the stated order.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +17,9 @@ from pyspark.sql import types as T
 from ..functions.text import message_key
 from ..log import LOG_COLUMNS, TP, bounds, dense_position, with_offsets
 from ..operators.serde import frame
+from ..session import checkpoint_dir
+from ..sinks.writes import append_log
+from ..sources.topics import open_log
 
 # Fixed values of the fixtures.
 EPOCH_S = 1704067200          # 2024-01-01T00:00:00Z
@@ -41,6 +47,28 @@ def _json(*cols) -> F.Column:
     return F.encode(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), "UTF-8")
 
 
+# The logs this process has written, by application, table folder and name.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def written(name: str) -> Callable[[Callable], Callable]:
+    """A fixture log is written once per session and table folder, in the shared
+    folder, and opened from there, so that queries read a log as their users
+    do: positions and times are filtered in the Parquet scan."""
+    def of(build: Callable[[SparkSession, str], DataFrame]):
+        def log(spark: SparkSession, sf_dir: str) -> DataFrame:
+            key = (spark.sparkContext.applicationId, sf_dir, name)
+            if key not in _WRITTEN:
+                path = f"{checkpoint_dir(spark).rstrip('/')}/fixtures-{uuid.uuid4().hex}"
+                append_log(build(spark, sf_dir), path)
+                _WRITTEN[key] = path
+            return open_log(spark, _WRITTEN[key])
+        log.__name__, log.__doc__ = build.__name__, build.__doc__
+        return log
+    return of
+
+
+@written("events")
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events: key user_id, value {event_type, value, props}, partition
     user_id % 3, offsets in event_id order, time = ts."""
@@ -57,15 +85,15 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ranked_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     cv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    n = cv.count()                           # both rankings cover the same rows
-    ranked = dense_position(cv, [], ["conv_id", "turn"], "seq", known_count=n)
+    ranked = dense_position(cv, [], ["conv_id", "turn"], "seq")
     ranked = ranked.withColumn(
         "partition", F.pmod(F.col("conv_id"), F.lit(PARTITIONS)).cast("int"))
-    ranked = dense_position(ranked, ["partition"], ["seq"], "offset", known_count=n)
+    ranked = dense_position(ranked, ["partition"], ["seq"], "offset")
     return ranked.withColumn(
         "timestamp", F.timestamp_seconds(F.lit(EPOCH_S) + F.col("seq") * GREETING_EVERY_S))
 
 
+@written("greetings")
 def greetings_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """greetings: one Greeting(message=text, greeter=role) per turn, key
     role, partition conv_id % 3, one every 5 s in (conv_id, turn) order."""
@@ -76,6 +104,7 @@ def greetings_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("greetings").alias("topic"), "partition", "offset", "timestamp")
 
 
+@written("greetings.raw")
 def raw_greetings_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """greetings.raw: the same turns as plain strings without a key."""
     r = _ranked_conversations(spark, sf_dir)
@@ -95,6 +124,7 @@ def _people_staged(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
         F.timestamp_seconds(F.lit(EPOCH_S) + F.col("c_custkey")).alias("timestamp"))
 
 
+@written("people")
 def people_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """people: Person(id, name, title) JSON per customer, key P1(title)."""
     s = _people_staged(spark, sf_dir, "people").withColumn(
@@ -103,6 +133,7 @@ def people_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_offsets(s, ["c_custkey"]).select(*LOG_COLUMNS)
 
 
+@written("people.avro")
 def people_mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """people.avro: wire-framed values, odd customers written with Person v1
     (schema id 1: name, title), even ones with v2 (schema id 2: first_name,

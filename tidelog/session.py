@@ -54,6 +54,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there; any failure to find out raises."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The table written to the shared checkpoint folder and read again: later
     steps start from files that outlive any executor, and a plan used twice

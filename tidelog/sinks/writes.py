@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import utf8_or_null
 from ..log import LOG_COLUMNS, TP, bounds, pin_small, with_offsets
 from ..operators.maintenance import partition_for
 from ..operators.serde import ERROR
@@ -19,18 +20,18 @@ def _c(c: str | Column) -> Column:
 
 def write_topic(df: DataFrame, topic: str, key: str | Column, value: str | Column,
                 order: list[str], existing: DataFrame | None = None,
-                partitions: int = 3, method: str = "murmur2",
+                partitions: int = 3, method: str = "murmur3",
                 timestamp: str | Column | None = None,
                 path: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """Publish keyed records: place each by key, give it the next dense
     offset of its partition (continuing ``existing``'s end) and, with
     ``path``, append it to the Parquet log laid out by topic/partition.
 
-    Placement defaults to the producer's murmur2 of the key (``method``:
-    ``murmur2``, ``murmur3`` or ``md5``; keyless records are spread by the
-    value). Offsets are assigned by ``tidelog.log.with_offsets`` (range
-    buckets, no single task per partition); ``order`` must be a total order
-    of the records (lead with a near-unique column). Without ``timestamp``
+    Placement defaults to Spark's own hash of the key (``method``: ``murmur3``,
+    ``md5`` or ``murmur2``; keyless records are spread by the value's hash).
+    Offsets are assigned by ``tidelog.log.with_offsets`` (range partitions, no
+    single task per partition); ``order`` must be a total order of the records.
+    Without ``timestamp``
     the records get the query's start time. Returns the written records
     (plus ``keep`` columns), which ``delivery_receipts`` projects."""
     k = _c(key).cast("binary")
@@ -59,9 +60,9 @@ def write_topic(df: DataFrame, topic: str, key: str | Column, value: str | Colum
 
 def append_log(written: DataFrame, path: str) -> None:
     """Append log records under ``path`` in topic/partition folders. The
-    rows are already spread by (partition, offset bucket) from the offset
-    window, so no extra shuffle: each task writes its offset ranges, sorted
-    (offset min/max statistics then let position reads skip files)."""
+    rows are already spread by range of offsets, so there is no extra shuffle:
+    each task writes its offset ranges, sorted (offset min/max statistics then
+    let position reads skip files)."""
     (written.select(*LOG_COLUMNS).sortWithinPartitions(*TP, "offset")
      .write.mode("append").partitionBy(*TP).parquet(path))
 
@@ -107,9 +108,10 @@ def route(df: DataFrame, good_path: str, bad_path: str, reason: str = ERROR,
 # --- K4 ---------------------------------------------------------------------
 
 def keyed_lines(log: DataFrame) -> DataFrame:
-    """Console form ``key<TAB>value``; a missing key or value prints null."""
+    """Console form ``key<TAB>value``; a missing key or value, or one that isn't
+    UTF-8, prints null."""
     def txt(c: str) -> Column:
-        return F.coalesce(F.decode(F.col(c), "UTF-8"), F.lit("null"))
+        return F.coalesce(utf8_or_null(c), F.lit("null"))
     return log.select(*TP, "offset", F.concat(txt("key"), F.lit("\t"), txt("value")).alias("line"))
 
 

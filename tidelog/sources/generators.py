@@ -137,29 +137,18 @@ def ticks(spark: SparkSession, start_epoch_s: int, n: int,
                              F.date_format(at, "yyyy-MM-dd HH:mm:ss"))).alias("line"))
 
 
-def ticks_over(df: DataFrame, time_col: str, every_s: int = TICK_EVERY_S) -> DataFrame:
-    """Ticks covering the time span of ``df`` (start = its first minute).
-    Only the span (one aggregate row) reaches the driver."""
-    span = df.agg(F.unix_seconds(F.date_trunc("minute", F.min(time_col).cast("timestamp")))
-                  .alias("s"),
-                  F.unix_seconds(F.max(time_col).cast("timestamp")).alias("e")).first()
-    if span is None or span["s"] is None:
-        return ticks(df.sparkSession, 0, -1, every_s)
-    n = (int(span["e"]) - int(span["s"])) // every_s
-    return ticks(df.sparkSession, int(span["s"]), n, every_s)
-
-
 def tick_report(df: DataFrame, time_col: str, every_s: int = TICK_EVERY_S) -> DataFrame:
     """The ticks over ``df``'s time span, each with the number of records of
     ``df`` that arrived in its interval [previous tick, tick) — what the
-    periodic task reports. The counts are a partial aggregate by tick number
+    periodic task reports. The last tick is the first after the last record, so
+    every record is in one interval. The counts are a partial aggregate by tick number
     (one row per tick), joined to the ticks on that number."""
     span = df.agg(F.unix_seconds(F.date_trunc("minute", F.min(time_col).cast("timestamp")))
                   .alias("s"),
                   F.unix_seconds(F.max(time_col).cast("timestamp")).alias("e")).first()
     if span is None or span["s"] is None:
         return ticks(df.sparkSession, 0, -1, every_s).withColumn("events", F.lit(0).cast("long"))
-    start, n = int(span["s"]), (int(span["e"]) - int(span["s"])) // every_s
+    start, n = int(span["s"]), (int(span["e"]) - int(span["s"])) // every_s + 1
     at_us = F.unix_micros(F.col(time_col).cast("timestamp"))
     tick_no = F.floor((at_us - F.lit(start * 1_000_000)) / F.lit(every_s * 1_000_000)) + 1
     counts = (df.select(tick_no.cast("long").alias("tick"))

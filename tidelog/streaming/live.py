@@ -21,7 +21,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..log import LOG_SCHEMA, TP, bounds, to_log
 from ..operators.positions import from_positions
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, path_exists
 from ..sources import generators as G
 
 
@@ -47,18 +47,32 @@ def kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return to_log(spark.readStream.format("kafka").options(**options).load())
 
 
-def stream_from_latest(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    """S2 live: only records that arrive after the query starts. The end
-    offsets at start (one row per partition) are read once and fixed."""
+def _first_start(spark: SparkSession, starts: DataFrame, name: str | None) -> DataFrame:
+    """The start table of a live query. With the query's ``name`` it is written
+    beside its checkpoint when the query first starts and read back at every
+    restart, so records that arrived in between are not passed over."""
+    if name is None:
+        return starts
+    path = f"{checkpoint_location(spark, name)}-start"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        starts.write.mode("overwrite").parquet(path)
+    return spark.read.schema(starts.schema).parquet(path)
+
+
+def stream_from_latest(spark: SparkSession, path: str, topic: str,
+                       name: str | None = None) -> DataFrame:
+    """S2 live: only records that arrive after the query first starts. The end
+    offsets then (one row per partition) are fixed; give the query's ``name``
+    so that a restart keeps them."""
     ends = bounds(spark.read.schema(LOG_SCHEMA).parquet(path)
                   .filter(F.col("topic") == topic))
-    starts = ends.select(*TP, F.col("end_offset").alias("start_offset"))
+    starts = _first_start(spark, ends.select(*TP, F.col("end_offset").alias("start_offset")), name)
     live = log_stream(spark, path).filter(F.col("topic") == topic)
     return from_positions(live, starts, default="earliest")
 
 
 def stream_from_offsets(spark: SparkSession, path: str,
-                        spec: dict[str, dict[int, int]]) -> DataFrame:
+                        spec: dict[str, dict[int, int]], name: str | None = None) -> DataFrame:
     """S3 live: records at or after the given offset per partition
     (``{topic: {partition: offset}}``, -2 earliest, -1 latest at start);
     unlisted partitions of a listed topic from their start."""
@@ -68,21 +82,22 @@ def stream_from_offsets(spark: SparkSession, path: str,
                    .filter(F.col("topic").isin(list(spec)))).collect()}
     rows = [(t, int(p), 0 if o == EARLIEST else (ends.get((t, int(p)), 0) if o == LATEST else int(o)))
             for t, parts in spec.items() for p, o in parts.items()]
-    starts = spark.createDataFrame(rows, "topic string, partition int, start_offset long")
+    starts = _first_start(spark, spark.createDataFrame(
+        rows, "topic string, partition int, start_offset long"), name)
     live = log_stream(spark, path).filter(F.col("topic").isin(list(spec)))
     return from_positions(live, starts, default="earliest")
 
 
 def stream_from_timestamp(spark: SparkSession, path: str, topic: str,
-                          epoch_ms: int) -> DataFrame:
+                          epoch_ms: int, name: str | None = None) -> DataFrame:
     """S4/S5 live: per partition from the first offset whose timestamp is at
     or after the instant, looked up once at start; a partition with no such
     record yet starts at its end then."""
     from ..operators.positions import first_at_or_after
     log = spark.read.schema(LOG_SCHEMA).parquet(path).filter(F.col("topic") == topic)
     firsts = first_at_or_after(log, epoch_ms).withColumnRenamed("start_offset", "_first")
-    starts = (bounds(log).join(firsts, TP, "left")
-              .select(*TP, F.coalesce("_first", "end_offset").alias("start_offset")))
+    starts = _first_start(spark, bounds(log).join(firsts, TP, "left").select(
+        *TP, F.coalesce("_first", "end_offset").alias("start_offset")), name)
     live = log_stream(spark, path).filter(F.col("topic") == topic)
     return from_positions(live, starts, default="earliest")
 
@@ -238,16 +253,9 @@ def route_stream(df: DataFrame, name: str, good_path: str, bad_path: str,
     return w.start()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return spark.read.text(path).limit(1).count() > 0
-    except Exception:                          # noqa: BLE001 - path not there
-        return False
-
-
 def publish_batch(batch: DataFrame, batch_id: int, topic: str, key: str, value: str,
                   order: list[str], path: str, partitions: int = 3,
-                  method: str = "murmur2", receipts_path: str | None = None,
+                  method: str = "murmur3", receipts_path: str | None = None,
                   receipt_cols: list[str] | None = None) -> bool:
     """Append one micro-batch to the Parquet log at ``path`` (offsets
     continue its current end) and write its receipts; returns False when the
@@ -264,13 +272,11 @@ def publish_batch(batch: DataFrame, batch_id: int, topic: str, key: str, value:
 
     spark = batch.sparkSession
     marker = f"{path}/_published/batch={batch_id}"
-    if _exists(spark, marker):
+    if path_exists(spark, f"{marker}/_SUCCESS"):
         return False
-    try:
-        existing = open_log(spark, path)
-        existing.limit(1).count()
-    except Exception:                          # noqa: BLE001 - no log written yet
-        existing = None
+    # No folder of a topic: no log written yet. A log that can't be read raises.
+    started = path_exists(spark, f"{path}/topic={topic}")
+    existing = open_log(spark, path) if started else None
     keep = list(receipt_cols or [])
     cached = batch.persist()
     try:
@@ -289,7 +295,7 @@ def publish_batch(batch: DataFrame, batch_id: int, topic: str, key: str, value:
 
 def publish_stream(df: DataFrame, name: str, topic: str, key: str, value: str,
                    order: list[str], path: str, partitions: int = 3,
-                   method: str = "murmur2", available_now: bool = False,
+                   method: str = "murmur3", available_now: bool = False,
                    receipts_path: str | None = None,
                    receipt_cols: list[str] | None = None) -> StreamingQuery:
     """K1 live: each micro-batch goes through ``publish_batch`` (appended
@@ -339,7 +345,7 @@ def running_count_batches(events: DataFrame, name: str, field: str, order: list[
     with the totals (one row per key seen so far) and one rewrite of them;
     the state-store form (``running_count_stream``) avoids the rewrite but
     handles a key's rows of a batch in one task."""
-    from ..log import dense_position
+    from ..scan import dense_position
 
     spark = events.sparkSession
     grp = "_rc_grp"
@@ -347,12 +353,14 @@ def running_count_batches(events: DataFrame, name: str, field: str, order: list[
     def totals_of(batch_id: int) -> DataFrame | None:
         if batch_id <= 0:
             return None
-        try:
-            prev = spark.read.parquet(f"{totals_path}/batch={batch_id - 1}")
-            prev.limit(1).count()
-            return prev
-        except Exception:                     # noqa: BLE001 - no earlier batch
-            return totals_of(batch_id - 1) if batch_id > 1 else None
+        prev = f"{totals_path}/batch={batch_id - 1}"
+        # Every batch writes its totals, so they are missing only where the
+        # totals as a whole start later; totals that can't be read raise.
+        if path_exists(spark, f"{prev}/_SUCCESS"):
+            return spark.read.parquet(prev)
+        if path_exists(spark, prev):
+            raise ValueError(f"totals of batch {batch_id - 1} are incomplete: {prev}")
+        return None
 
     def each(batch: DataFrame, batch_id: int) -> None:
         cached = batch.withColumn(grp, F.struct(field)).persist()
