@@ -37,7 +37,7 @@ def write_topic(df: DataFrame, topic: str, key: str | Column, value: str | Colum
     k = _c(key).cast("binary")
     ts = _c(timestamp).cast("timestamp") if timestamp is not None else F.current_timestamp()
     staged = df.select(
-        *order, *(keep or []),
+        *dict.fromkeys([*order, *(keep or [])]),
         k.alias("key"), _c(value).cast("binary").alias("value"),
         F.lit(topic).alias("topic"), ts.alias("timestamp"))
     staged = staged.withColumn("partition", partition_for(F.col("key"), partitions, method,
