@@ -127,7 +127,11 @@ def fit(train: DataFrame, k: int = CLUSTERS, train_docs: int = TRAIN_DOCS) -> di
     idf = (np.log((1.0 + df[DIMS]) / (1.0 + df[:DIMS])) + 1.0).astype(np.float32)
     n = train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    sample = train.join(n, "lang").filter(share * F.col("n") < train_docs).select("lang", "doc_id", "text")
+    # The ids are sampled without the texts: about train_docs a language, so that
+    # their broadcast is bounded, and only the sample's texts are moved.
+    chosen = train.select("lang", "doc_id").join(n, "lang").filter(
+        share * F.col("n") < train_docs).select("lang", "doc_id").distinct()
+    sample = train.join(F.broadcast(chosen), ["lang", "doc_id"]).select("lang", "doc_id", "text")
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         texts = [t for _, t in sorted(zip(rows["doc_id"], rows["text"]), key=lambda x: x[0])]
