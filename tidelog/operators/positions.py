@@ -13,7 +13,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..log import TP, bounds, pin_small
+from ..log import TP, pin_small
+from .ends import known_bounds
 
 POLICIES = ("earliest", "latest")
 STARTS_SCHEMA = "topic string, partition int, start_offset long"
@@ -116,13 +117,18 @@ def consumed(log: DataFrame, commits: DataFrame, group: str) -> DataFrame:
 
 # --- O3 ---------------------------------------------------------------------
 
-def group_lag(log: DataFrame, commits: DataFrame) -> DataFrame:
-    """Per group and partition: committed position, log end and lag."""
-    b = bounds(log).select(*TP, "end_offset")
-    return (commits.join(b, TP, "left")
-            .select("group", *TP, F.col("offset").alias("current_offset"),
-                    F.col("end_offset").alias("log_end_offset"),
-                    (F.col("end_offset") - F.col("offset")).alias("lag")))
+def group_lag(log: DataFrame, commits: DataFrame, ends: DataFrame | None = None) -> DataFrame:
+    """Per group and partition: committed position, log end and lag.
+
+    Every partition of the topics that a group has commits in is listed; one
+    without a commit has no position and no lag. With ``ends``
+    (``operators.ends``) partitions without records keep their end."""
+    b = known_bounds(log, ends).select(*TP, "end_offset")
+    listed = (commits.select("group", "topic").distinct().join(b, "topic")
+              .select("group", *TP, F.col("end_offset").alias("log_end_offset")))
+    return (listed.join(commits, ["group", *TP], "full")
+            .select("group", *TP, F.col("offset").alias("current_offset"), "log_end_offset",
+                    (F.col("log_end_offset") - F.col("offset")).alias("lag")))
 
 
 def list_groups(commits: DataFrame) -> DataFrame:
@@ -136,19 +142,23 @@ RESET_MODES = ("to-offset", "to-earliest", "to-latest", "to-timestamp", "to-date
 
 def plan_reset(log: DataFrame, commits: DataFrame, group: str, mode: str,
                arg: int | str | None = None, topic: str | None = None,
-               partitions: list[int] | None = None) -> DataFrame:
+               partitions: list[int] | None = None,
+               ends: DataFrame | None = None) -> DataFrame:
     """Dry run of a position reset: current and target per partition.
 
     The target is clamped to the partition's [start, end]; a time beyond the
-    last record targets the end."""
+    last record targets the end. With ``ends`` (``operators.ends``) partitions
+    that retention emptied are planned too."""
     if mode not in RESET_MODES:
         raise ValueError(f"unknown reset mode: {mode}")
-    scoped = log
-    if topic is not None:
-        scoped = scoped.filter(F.col("topic") == topic)
-    if partitions is not None:
-        scoped = scoped.filter(F.col("partition").isin(list(partitions)))
-    b = bounds(scoped)
+    def scope(df: DataFrame) -> DataFrame:
+        if topic is not None:
+            df = df.filter(F.col("topic") == topic)
+        if partitions is not None:
+            df = df.filter(F.col("partition").isin(list(partitions)))
+        return df
+    scoped = scope(log)
+    b = known_bounds(scoped, None if ends is None else scope(ends))
     cur = commits.filter(F.col("group") == group).select(
         *TP, F.col("offset").alias("current_offset"))
     plan = b.join(cur, TP, "left")
@@ -202,21 +212,31 @@ def bookmark_mode(mode: str) -> str:
     raise ValueError(f"unknown bookmark mode: {mode}")
 
 
-def run_incremental(log: DataFrame, commits: DataFrame, job: str,
-                    mode: str = "disabled") -> tuple[DataFrame, DataFrame]:
+def run_incremental(log: DataFrame, commits: DataFrame, job: str, mode: str = "disabled",
+                    ends: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """One run of an incremental job with a bookmark.
 
     ``enabled``: only records after the bookmark, and the bookmark advances;
     ``paused``: only records after the bookmark, bookmark unchanged;
     ``disabled``: every record, no tracking. Returns (records, bookmarks).
-    A partition never seen before is read from its start."""
+    A partition never seen before is read from its start.
+
+    An enabled run pins the log's ends first (one row per partition); both the
+    records and the new bookmark stop there, so records that arrive between
+    the two actions are left to the next run, never skipped."""
     mode = bookmark_mode(mode)
     if mode == "disabled":
         return log, commits
-    rows = resume(log, commits, job, policy="earliest")
     if mode == "paused":
-        return rows, commits
-    return rows, advance(commits, rows, job)
+        return resume(log, commits, job, policy="earliest"), commits
+    last, _ = pin_small(known_bounds(log, ends).select(
+        *TP, F.col("end_offset").alias("_end")), "topic string, partition int, _end long")
+    rows = resume(log, commits, job, policy="earliest")
+    rows = rows.join(last, TP).filter(F.col("offset") < F.col("_end")).select(log.columns)
+    keys = ["group", *TP]
+    marks = (commits.join(last.withColumn("group", F.lit(job)), keys, "full")
+             .select(*keys, F.greatest("offset", "_end").alias("offset")))
+    return rows, marks
 
 
 def save_bookmarks(commits: DataFrame, path: str, run_id: int) -> None:

@@ -133,6 +133,26 @@ def people_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_offsets(s, ["c_custkey"]).select(*LOG_COLUMNS)
 
 
+@written("people.dirty")
+def people_dirty_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """people.dirty: the people records, of which (by c_custkey % 8) 0 is a
+    deletion marker, 1 has single quotes, 2 has text after the record, 3 isn't
+    UTF-8, 4 lacks the name, 5 has a key that isn't UTF-8, 6 has no key."""
+    s = _people_staged(spark, sf_dir, "people.dirty")
+    ident = F.col("c_custkey").cast("string")
+    person = _json(ident.alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("title"))
+    nameless = _json(ident.alias("id"), F.col("c_mktsegment").alias("title"))
+    kind = F.col("c_custkey") % 8
+    value = (F.when(kind == 0, F.lit(None).cast("binary"))
+             .when(kind == 1, F.encode(F.concat(F.lit("{'id':'"), ident, F.lit("'}")), "UTF-8"))
+             .when(kind == 2, F.concat(person, F.encode(F.lit(" and more"), "UTF-8")))
+             .when(kind == 3, F.unhex(F.lit("7BC328")))
+             .when(kind == 4, nameless).otherwise(person))
+    key = F.when(kind == 5, F.unhex(F.lit("FF"))).when(kind != 6, F.col("key"))
+    s = s.withColumn("value", value).withColumn("key", key)
+    return with_offsets(s, ["c_custkey"]).select(*LOG_COLUMNS)
+
+
 @written("people.avro")
 def people_mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """people.avro: wire-framed values, odd customers written with Person v1

@@ -145,6 +145,19 @@ def _people(topic: str, name: str) -> str:
 PEOPLE_LOG = _people("people", "people_log")
 PEOPLE_MIXED_LOG = _people("people.avro", "people_mixed_log")
 
+PEOPLE_DIRTY_LOG = _people("people.dirty", "dirty0") + """,
+dirty_log AS (
+  SELECT topic, "partition", "offset", c_custkey % 8 AS kind, id, name, title,
+         CASE WHEN c_custkey % 8 < 5 OR c_custkey % 8 = 7 THEN key END AS key,
+         CASE WHEN c_custkey % 8 IN (0, 3) THEN NULL
+              WHEN c_custkey % 8 = 1 THEN '{''id'':''' || id || '''}'
+              WHEN c_custkey % 8 = 4 THEN CAST(to_json({'id': id, 'title': title}) AS VARCHAR)
+              ELSE CAST(to_json({'id': id, 'name': name, 'title': title}) AS VARCHAR)
+                   || CASE WHEN c_custkey % 8 = 2 THEN ' and more' ELSE '' END END AS text
+  FROM dirty0)"""
+DIRTY_ERROR = ("CASE WHEN kind IN (1, 2) THEN 'invalid json' WHEN kind = 3 THEN 'invalid utf-8' "
+               "WHEN kind = 5 THEN 'invalid utf-8 in key' END")
+
 VIEW = 'topic, "partition", "offset", key, "timestamp"'
 PEOPLE_JSON = "CAST(to_json({'id': id, 'name': name, 'title': title}) AS VARCHAR)"
 
@@ -323,6 +336,36 @@ FROM lines"""
     sql["write_topic"] = _published() + f"SELECT {VIEW}, id FROM published"
     sql["delivery_receipts"] = (_published() + 'SELECT id, name, title, topic, "partition", '
                                 '"offset" FROM published')
+    sql["publish_after_retention"] = _published() + f"SELECT {VIEW} FROM published"
+    sql["group_lag_uncommitted"] = (
+        "WITH " + GROUPS + ",\n"
+        + 'c AS (SELECT * FROM commits WHERE "partition" <> 1),\n'
+          'g AS (SELECT DISTINCT "group", topic FROM c)\n'
+          'SELECT g."group", b.topic, b."partition", c."offset" AS current_offset, '
+          'b.e AS log_end_offset, b.e - c."offset" AS lag FROM g JOIN bnd b ON b.topic = g.topic '
+          'LEFT JOIN c ON c."group" = g."group" AND c.topic = b.topic '
+          'AND c."partition" = b."partition"')
+    good = "kind >= 4"
+    sql["items_rejects"] = (
+        _with(PEOPLE_DIRTY_LOG)
+        + f'SELECT topic, "partition", "offset", key, CASE WHEN {good} THEN id END AS id, '
+          f'CASE WHEN {good} AND kind <> 4 THEN name END AS name, '
+          f'CASE WHEN {good} THEN title END AS title, {DIRTY_ERROR} AS error FROM dirty_log')
+    sql["dead_letters_rejects"] = (
+        _with(PEOPLE_DIRTY_LOG)
+        + f"SELECT \"partition\", \"offset\", CASE WHEN kind = 4 THEN 'missing required field: name' "
+          f"ELSE {DIRTY_ERROR} END AS error FROM dirty_log WHERE kind IN (1, 2, 3, 4, 5)")
+    sql["keyed_lines_rejects"] = (
+        _with(PEOPLE_DIRTY_LOG)
+        + "SELECT topic, \"partition\", \"offset\", coalesce(key, 'null') || chr(9) || "
+          "coalesce(text, 'null') AS line FROM dirty_log")
+    compacted = """k AS (
+  SELECT "partition", "offset", kind, CASE WHEN kind = 5 THEN 'FF' ELSE hex(encode(key)) END AS key_hex
+  FROM dirty_log WHERE kind <> 6)"""
+    sql["compact_tombstones"] = (
+        _with(PEOPLE_DIRTY_LOG, compacted)
+        + 'SELECT "partition", "offset", key_hex FROM (SELECT *, row_number() OVER (PARTITION BY '
+          '"partition", key_hex ORDER BY "offset" DESC) AS rn FROM k) WHERE rn = 1 AND kind <> 0')
     sql["dead_letters"] = (_with(PEOPLE_MIXED_LOG)
                            + "SELECT \"partition\", \"offset\", "
                              "'writer schema lacks required field: name' AS error "

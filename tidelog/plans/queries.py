@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import message_key, title_case
 from ..log import record_view, wall_clock
+from ..operators import ends as N
 from ..operators import maintenance as M
 from ..operators import positions as O
 from ..operators import serde as C
@@ -143,15 +144,16 @@ def ticks(spark, d):
 
 # --- sinks ------------------------------------------------------------------
 
-def _published_people(spark, d):
+def _published_people(spark, d, existing=None, ends=None):
     """3.1: generate people, key, encode, place by md5, continue the people
-    topic's offsets."""
+    topic's offsets (or those of ``existing`` and its kept ``ends``)."""
+    existing = fx.people_log(spark, d) if existing is None else existing
     people = G.generate_people(fx.table(spark, d, "customer"), id_col="c_custkey")
     people = C.encode_json(people, ["id", "name", "title"])
     at = F.timestamp_seconds(F.lit(REPUBLISH_EPOCH_S) + F.col("seq"))
     return K.write_topic(people, "people", F.encode("key", "UTF-8"), "value", ["seq"],
-                         existing=fx.people_log(spark, d), method="md5", timestamp=at,
-                         keep=["id", "name", "title"])
+                         existing=existing, method="md5", timestamp=at,
+                         keep=["id", "name", "title"], ends=ends)
 
 
 def write_topic(spark, d):
@@ -164,6 +166,32 @@ def delivery_receipts(spark, d):
     return K.delivery_receipts(_published_people(spark, d), ["id", "name", "title"])
 
 
+def items_rejects(spark, d):
+    """P4 (C2, C3): pairs of a log with malformed JSON, bytes that aren't UTF-8
+    in values and keys, deletion markers and null keys; bad records carry
+    their reason."""
+    return C.items(fx.people_dirty_log(spark, d), C.PERSON_JSON).drop("timestamp")
+
+
+def dead_letters_rejects(spark, d):
+    """K3 (C4): the records of that log that decoding or validation rejects."""
+    log = fx.people_dirty_log(spark, d).filter(F.col("value").isNotNull())
+    checked = C.validate_record(C.items(log, C.PERSON_JSON), C.PERSON_JSON)
+    return K.dead_letters(checked).select("partition", "offset", C.ERROR)
+
+
+def keyed_lines_rejects(spark, d):
+    """K4: printed lines of that log, what isn't UTF-8 printed as null."""
+    return K.keyed_lines(fx.people_dirty_log(spark, d))
+
+
+def compact_tombstones(spark, d):
+    """M2: that log compacted: a last null value removes its key, records without
+    a key are left out."""
+    return M.compact(fx.people_dirty_log(spark, d)).select(
+        "partition", "offset", F.hex("key").alias("key_hex"))
+
+
 def _people_mixed_resolved(spark, d, reader):
     log = C.unframe(fx.people_mixed_log(spark, d))
     return C.read_with_schema(log, "schema_id", {1: C.PERSON_V1, 2: C.PERSON_V2}, reader)
@@ -401,6 +429,29 @@ def group_lag(spark, d):
     return O.group_lag(log, commits)
 
 
+def group_lag_uncommitted(spark, d):
+    """O3: every partition of a group's topics, also one it never committed in,
+    and partitions that retention has emptied (their end is kept)."""
+    log, commits = _groups(spark, d)
+    ends = N.log_ends(log)
+    kept = log.filter((F.col("topic") != "events") | (F.col("partition") != 0))
+    return O.group_lag(kept, commits.filter(F.col("partition") != 1), N.after_retention(ends, kept))
+
+
+def publish_after_retention(spark, d):
+    """M1, K1, then O2: retention removes every record of the people topic, the
+    generated people are published after its kept ends, and a group that had
+    read everything reads exactly them."""
+    log = fx.people_log(spark, d)
+    ends = N.log_ends(log)
+    commits = O.commit(log, "people.grp")
+    left = M.apply_retention(log, 0, F.timestamp_seconds(F.lit(REPUBLISH_EPOCH_S)))
+    ends = N.after_retention(ends, left)
+    written = _published_people(spark, d, left, ends)
+    return record_view(O.resume(left.unionByName(written.select(log.columns)), commits,
+                                "people.grp", "earliest"))
+
+
 def list_groups(spark, d):
     """O3: groups with their partition counts."""
     return O.list_groups(_groups(spark, d)[1])
@@ -499,6 +550,10 @@ QUERIES: dict[str, Query] = {
     "write_topic": write_topic,
     "delivery_receipts": delivery_receipts,
     "dead_letters": dead_letters,
+    "items_rejects": items_rejects,
+    "dead_letters_rejects": dead_letters_rejects,
+    "keyed_lines_rejects": keyed_lines_rejects,
+    "compact_tombstones": compact_tombstones,
     "keyed_lines": keyed_lines,
     "message_lines": message_lines,
     "raw_greeting_lines": raw_greeting_lines,
@@ -529,6 +584,8 @@ QUERIES: dict[str, Query] = {
     "commit": commit,
     "resume": resume,
     "group_lag": group_lag,
+    "group_lag_uncommitted": group_lag_uncommitted,
+    "publish_after_retention": publish_after_retention,
     "list_groups": list_groups,
     "plan_reset": plan_reset,
     "apply_reset": apply_reset,

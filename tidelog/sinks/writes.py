@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import utf8_or_null
-from ..log import LOG_COLUMNS, TP, bounds, pin_small, with_offsets
+from ..log import LOG_COLUMNS, TP, pin_small, with_offsets
+from ..operators.ends import known_bounds
 from ..operators.maintenance import partition_for
 from ..operators.serde import ERROR
 
@@ -22,9 +23,11 @@ def write_topic(df: DataFrame, topic: str, key: str | Column, value: str | Colum
                 order: list[str], existing: DataFrame | None = None,
                 partitions: int = 3, method: str = "murmur3",
                 timestamp: str | Column | None = None,
-                path: str | None = None, keep: list[str] | None = None) -> DataFrame:
+                path: str | None = None, keep: list[str] | None = None,
+                ends: DataFrame | None = None) -> DataFrame:
     """Publish keyed records: place each by key, give it the next dense
-    offset of its partition (continuing ``existing``'s end) and, with
+    offset of its partition (continuing ``existing``'s end, and the kept
+    ``ends`` of a log that retention or compaction may have emptied) and, with
     ``path``, append it to the Parquet log laid out by topic/partition.
 
     Placement defaults to Spark's own hash of the key (``method``: ``murmur3``,
@@ -43,13 +46,16 @@ def write_topic(df: DataFrame, topic: str, key: str | Column, value: str | Colum
     staged = staged.withColumn("partition", partition_for(F.col("key"), partitions, method,
                                                           F.col("value")))
     base = None
-    if existing is not None:
+    if existing is not None or ends is not None:
         # The end offsets (one row per partition) are pinned before anything
         # is written, so the offsets never depend on re-reading a log that
         # this very write appends to: a recomputed task, or a second use of
         # the returned frame, gets the same offsets.
-        ends = bounds(existing.filter(F.col("topic") == topic)).select(*TP, "end_offset")
-        base, _ = pin_small(ends, "topic string, partition int, end_offset long")
+        of_topic = F.col("topic") == topic
+        last = (ends.filter(of_topic) if existing is None else known_bounds(
+            existing.filter(of_topic), None if ends is None else ends.filter(of_topic)))
+        base, _ = pin_small(last.select(*TP, "end_offset"),
+                            "topic string, partition int, end_offset long")
     written = with_offsets(staged, order, base)
     cols = LOG_COLUMNS + [c for c in (keep or []) if c not in LOG_COLUMNS]
     written = written.select(*cols)
