@@ -125,7 +125,9 @@ def fit(train: DataFrame, k: int = CLUSTERS, train_docs: int = TRAIN_DOCS) -> di
     its sample."""
     df = document_frequencies(train)
     idf = (np.log((1.0 + df[DIMS]) / (1.0 + df[:DIMS])) + 1.0).astype(np.float32)
-    n = train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # One row a language, smaller than the model itself: broadcast, so that ids
+    # aren't dealt by language.
+    n = F.broadcast(train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
     share = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
     # The ids are sampled without the texts: about train_docs a language, so that
     # their broadcast is bounded, and only the sample's texts are moved.
