@@ -7,8 +7,8 @@ first document stay, the others are dropped. The result is one compressed
 keep bitmap per document that loses lines (the runs of dropped positions, and
 the number of lines), never text; ``apply_bitmaps`` filters texts with it.
 
-A hash of more rows than a partition should hold is range-partitioned in
-``SPREAD`` blocks of documents. There are at most lines / threshold such
+A hash of more rows than a partition should hold is range-partitioned in as
+many blocks of documents as there are partitions. There are at most lines / threshold such
 hashes, so their first documents fit a broadcast of proven size; each block
 streams against that first document.
 
@@ -28,7 +28,6 @@ MIN_CHARS = 10
 #: Hot hashes: those with more rows than lines / (HOT_PARTS * partitions); at
 #: most HOT_PARTS * partitions of them.
 HOT_PARTS = 8
-SPREAD = 64
 
 
 def _with_keys(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -58,7 +57,7 @@ def dropped_lines(rows: DataFrame) -> DataFrame:
     threshold = max(1, rows.count() // (HOT_PARTS * n_parts))
     hot = sums.filter(F.col("_ld_n") > threshold).drop("_ld_n")
     spread = F.when(F.col("_ld_hot_first").isNull(), F.lit(-1)).otherwise(
-        F.pmod(F.xxhash64("_ld_doc"), F.lit(SPREAD)).cast("int"))
+        F.pmod(F.xxhash64("_ld_doc"), F.lit(n_parts)).cast("int"))
     ranged = (rows.join(F.broadcast(hot), ["h1", "h2"], "left")
               .withColumn("_ld_block", spread)
               .repartitionByRange(n_parts, "h1", "h2", "_ld_block"))
