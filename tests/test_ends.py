@@ -58,7 +58,7 @@ def test_lag_lists_uncommitted_and_emptied_partitions(spark):
     log = _log(spark)
     commits = O.commit(log.filter("partition = 0 AND offset = 0"), "g")
     kept = log.filter("partition = 1")
-    lag = O.group_lag(kept, commits, N.after_retention(N.log_ends(log), kept))
+    lag = O.group_lag(kept, commits, N.after_retention(N.log_ends(log), kept), uncommitted=True)
     assert sorted((r.partition, r.current_offset, r.log_end_offset, r.lag) for r in lag.collect()) == [
         (0, 1, 2, 1), (1, None, 1, None)]
 

@@ -117,18 +117,20 @@ def consumed(log: DataFrame, commits: DataFrame, group: str) -> DataFrame:
 
 # --- O3 ---------------------------------------------------------------------
 
-def group_lag(log: DataFrame, commits: DataFrame, ends: DataFrame | None = None) -> DataFrame:
+def group_lag(log: DataFrame, commits: DataFrame, ends: DataFrame | None = None,
+              uncommitted: bool = False) -> DataFrame:
     """Per group and partition: committed position, log end and lag.
 
-    Every partition of the topics that a group has commits in is listed; one
-    without a commit has no position and no lag. With ``ends``
-    (``operators.ends``) partitions without records keep their end."""
-    b = known_bounds(log, ends).select(*TP, "end_offset")
-    listed = (commits.select("group", "topic").distinct().join(b, "topic")
-              .select("group", *TP, F.col("end_offset").alias("log_end_offset")))
-    return (listed.join(commits, ["group", *TP], "full")
-            .select("group", *TP, F.col("offset").alias("current_offset"), "log_end_offset",
-                    (F.col("log_end_offset") - F.col("offset")).alias("lag")))
+    With ``ends`` (``operators.ends``) partitions without records keep their
+    end. With ``uncommitted`` every partition of the topics that a group has
+    commits in is listed; one without a commit has no position and no lag."""
+    b = known_bounds(log, ends).select(*TP, F.col("end_offset").alias("log_end_offset"))
+    rows = commits.join(b, TP, "left")
+    if uncommitted:
+        listed = commits.select("group", "topic").distinct().join(b, "topic")
+        rows = listed.join(commits, ["group", *TP], "full")
+    return rows.select("group", *TP, F.col("offset").alias("current_offset"), "log_end_offset",
+                       (F.col("log_end_offset") - F.col("offset")).alias("lag"))
 
 
 def list_groups(commits: DataFrame) -> DataFrame:

@@ -435,7 +435,8 @@ def group_lag_uncommitted(spark, d):
     log, commits = _groups(spark, d)
     ends = N.log_ends(log)
     kept = log.filter((F.col("topic") != "events") | (F.col("partition") != 0))
-    return O.group_lag(kept, commits.filter(F.col("partition") != 1), N.after_retention(ends, kept))
+    return O.group_lag(kept, commits.filter(F.col("partition") != 1), N.after_retention(ends, kept),
+                       uncommitted=True)
 
 
 def publish_after_retention(spark, d):
