@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from helpers import edge_docs, empty_docs, sf_docs
-from tidelog.llm import centroid_langid, ngram_lm, toxicity, url_filter
+from tidelog.llm import centroid_langid, ngram_lm, queries, toxicity, url_filter
 
 SF = "/root/testdata/sf0.01"
 
@@ -86,6 +86,31 @@ def test_quality_without_trust_or_rows(spark):
     assert ngram_lm.classified(empty_docs(spark), labels).collect() == []
 
 
+def test_quality_labels_with_the_production_setting(spark):
+    """Low-quality documents are told from trusted ones, and the limit isn't the
+    perplexity of a text of a few characters."""
+    sf = "/root/testdata/sf0.1"
+    out = queries.op1_kneser_ney_quality(spark, sf).join(
+        spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id").collect()
+    bad, good = ([r for r in out if r.quality == k] for k in (0, 1))
+    assert sum(not r.kept for r in bad) > 0.95 * len(bad)
+    assert sum(r.kept for r in good) > 0.97 * len(good)
+    for lang in {r.lang for r in good}:
+        mine = sorted((r.perplexity, r.n_symbols) for r in good if r.lang == lang)
+        limit = {r.threshold for r in good if r.lang == lang}.pop()
+        above = sum(n for p, n in mine if p > limit)
+        assert above <= (1 - ngram_lm.QUANTILE) * sum(n for _, n in mine)
+
+
+def test_a_short_trusted_text_does_not_move_the_limit(spark):
+    text = "plain words of the language in a text of some length " * 4
+    rows = [(i, "en", text) for i in range(20)] + [(20, "en", "Zq."), (21, "en", "xkq jwv zzq " * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(i, int(i < 21)) for i in range(22)], "doc_id long, quality int")
+    out = {r.doc_id: r for r in ngram_lm.classified(docs, labels, by_symbols=True).collect()}
+    assert out[20].perplexity > out[20].threshold >= out[0].perplexity and not out[21].kept
+
+
 # --- 3 ------------------------------------------------------------------------
 
 def brute_rule(url):

@@ -13,7 +13,10 @@ so suffixes and contexts are masks and shifts, and all counts are DataFrames:
   rows at most, and all others by a join; both parts are summed per document.
 
 A document is kept if its perplexity is at most its language's threshold: the
-``QUANTILE`` of the perplexities of the language's trusted documents.
+``QUANTILE`` of the perplexities of the language's trusted documents, each
+counted once or, as the query does, as often as it has symbols. By symbols a
+text of a few characters, whose perplexity says little, can't set the limit
+unless it is a thousandth of its language's trusted text; it is still judged.
 
 Defined cases: a null or empty text is only the end of a text, scored like any
 other; a null language is a language of its own; a language without trusted
@@ -256,11 +259,13 @@ def perplexities(docs: DataFrame, logp: DataFrame, hot_rows: int = HOT) -> DataF
     return whole.select("doc_id", "lang", F.col("n").alias("n_symbols"), F.exp(-mean).alias("perplexity"))
 
 
-def thresholds(scored: DataFrame, quantile: float) -> DataFrame:
+def thresholds(scored: DataFrame, quantile: float, by_symbols: bool = False) -> DataFrame:
     """lang key and threshold: the quantile of the perplexities by language, and
-    of all under a null key, from a histogram of their logarithms."""
-    bins = scored.select("_lm_lang", F.ceil(F.log("perplexity") * BINS).alias("bin")).groupBy(
-        "_lm_lang", "bin").agg(F.count(F.lit(1)).alias("n"))
+    of all under a null key, from a histogram of their logarithms. Each row
+    counts once, or ``by_symbols`` as often as it has symbols."""
+    weight = F.col("n_symbols") if by_symbols else F.lit(1)
+    bins = scored.select("_lm_lang", F.ceil(F.log("perplexity") * BINS).alias("bin"), weight.alias("w")).groupBy(
+        "_lm_lang", "bin").agg(F.sum("w").alias("n"))
     both = bins.unionByName(bins.groupBy("bin").agg(F.sum("n").alias("n")).select(
         F.lit(None).cast("string").alias("_lm_lang"), "bin", "n"))
     upto = Window.partitionBy("_lm_lang").orderBy("bin")
@@ -271,16 +276,17 @@ def thresholds(scored: DataFrame, quantile: float) -> DataFrame:
 
 
 def classified(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
-               hot_rows: int = HOT) -> DataFrame:
+               hot_rows: int = HOT, by_symbols: bool = False) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, threshold and kept of every
-    document (doc_id, lang, text), by a model of those with quality 1."""
+    document (doc_id, lang, text), by a model of those with quality 1; the
+    limit's quantile is over documents or, ``by_symbols``, over their symbols."""
     own = docs.select("doc_id", "lang", "text")
     tables = count_tables(counted(trusted_documents(own.select("doc_id", "text"), labels)))
     logp = stored(log_probabilities(stored(counted(own)), tables))
     scored = stored(perplexities(own, logp, hot_rows).withColumn(
         "_lm_lang", F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))))
     ids = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    limits = thresholds(scored.join(ids, "doc_id", "left_semi"), quantile)
+    limits = thresholds(scored.join(ids, "doc_id", "left_semi"), quantile, by_symbols)
     general = limits.filter("_lm_lang IS NULL").first()
     limit = F.coalesce("threshold", F.lit(general["threshold"] if general else None).cast("double"))
     out = scored.join(limits.filter("_lm_lang IS NOT NULL"), "_lm_lang", "left")

@@ -11,7 +11,8 @@ from .common import table
 
 
 def op1_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_lm.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return ngram_lm.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                               by_symbols=True)
 
 
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
