@@ -72,6 +72,19 @@ def test_clean_cuts_frequent_lines_and_keeps_columns(spark):
             assert len(r.text.split("\n")) == 900
 
 
+def test_a_line_of_all_hosts_is_cut_in_every_host(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    lines = lambda t: {x.strip(WHITE) for x in (t or "").split("\n")}
+    texts = {(r.source, r.text) for r in docs.select("source", "text").collect()}
+    line = Counter(x for _, t in texts for x in lines(t) if x).most_common(1)[0][0]
+    hosts = {h for h, t in texts if line in lines(t)}
+    assert hosts == {h for h, _ in texts} and len(hosts) == 20
+    keys = lf.line_keys(docs)
+    found = lf.frequent_lines(keys, docs).collect()
+    assert len(found) == len(hosts) and len({r._lf_h for r in found}) == 1
+    assert not [r for r in lf.clean(docs).select("text").collect() if line in lines(r.text)]
+
+
 def test_rules_empty_table(spark):
     assert lf.verdicts(empty_docs(spark)).collect() == [] and lf.clean(empty_docs(spark)).collect() == []
 

@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from .common import WHITE, WHITE_CHARS, two_hashes, words
 
 #: A line is boilerplate of a host when more than this share of the host's
-#: distinct documents hold it, and at least MIN_DOCS of them.
-MAX_SHARE = 0.1
+#: distinct documents hold it, and at least MIN_DOCS of them. The share is well
+#: below that of a site's boilerplate, which varies by host around a tenth, and
+#: above that of lines that documents share by chance.
+MAX_SHARE = 0.05
 MIN_DOCS = 10
 #: A document is depleted when fewer words are left, or a smaller share of its
 #: word characters.
