@@ -85,6 +85,39 @@ def test_a_line_of_all_hosts_is_cut_in_every_host(spark):
     assert not [r for r in lf.clean(docs).select("text").collect() if line in lines(r.text)]
 
 
+def test_removed_lines_take_their_own_characters_once(spark):
+    """Frequent lines that differ in their numbers, and copies of a text."""
+    def text(i):
+        if i == 0:                     # 100 characters in 12 words, and 1,000 digits
+            return "\n".join(["eightchr " * 11 + "lasttwelvech", "page " + "7" * 1000])
+        if i < 4:                      # equal texts: the line is in each of them once
+            return "enough words are left in this text of copies to be kept well beyond it\npage 5 of 5"
+        if i == 4:                     # two frequent lines of one hash and two lengths
+            return "twelve words stay in this one so that only its characters can decide\npage 1\nPage " + "3" * 400
+        return f"page {i}\n" + " ".join(f"own{chr(97 + i)}word{chr(97 + j)}" for j in range(15))
+    docs = spark.createDataFrame([(i, text(i), "a") for i in range(30)], "doc_id long, text string, source string")
+    out = {r.doc_id: r for r in lf.verdicts(docs).collect()}
+    assert out[0].n_words_left == 12 and out[0].depleted and not out[0].kept
+    for i in range(1, 4):
+        assert not out[i].n_lines_removed and out[i].kept
+    assert (out[4].n_lines_removed, out[4].n_words_left) == (2, 13) and out[4].depleted
+    assert all(out[i].n_lines_removed == 1 and out[i].n_words_left == 15 and out[i].kept for i in range(5, 30))
+    copied = docs.unionByName(docs.filter("doc_id >= 5")).unionByName(docs.filter("doc_id >= 5"))
+    assert {tuple(r) for r in lf.verdicts(copied).collect()} == {tuple(r) for r in out.values()}
+
+
+def test_lines_removed_equal_brute_force_at_the_limit(spark):
+    """sf0.1 holds a frequent line in every host, also in copied texts."""
+    rows = (docs := spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).select(
+        "doc_id", "text", "source").collect()
+    want = line_verdicts(rows)
+    got = {r.doc_id: r for r in lf.verdicts(docs).collect()}
+    for r in rows:
+        x = got[r.doc_id]
+        assert (x.depleted, x.n_lines_removed, x.n_words_left) == want[r.source, r.text or ""]
+    assert sum(x.n_lines_removed > 0 for x in got.values()) > 1000
+
+
 def test_rules_empty_table(spark):
     assert lf.verdicts(empty_docs(spark)).collect() == [] and lf.clean(empty_docs(spark)).collect() == []
 

@@ -102,14 +102,14 @@ def _keyed(docs: DataFrame, host: str, text: str) -> DataFrame:
 
 
 def line_keys(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
-    """One row per line with a word: host, text hashes, line hash, the line's
-    words and word characters."""
-    lines = F.split(normalised(F.coalesce(F.col(text), F.lit(""))), "\n")
+    """One row per line with a word: host, text hashes, the line's number, its
+    hash as it is compared, its words and word characters as they stand."""
     one = _keyed(docs, host, text).select(
         "_lf_host", "_lf_a", "_lf_b",
-        F.explode(F.transform(lines, lambda x: F.trim(x, F.lit(WHITE_CHARS)))).alias("_lf_line"))
-    return one.filter("_lf_line != ''").select(
-        "_lf_host", "_lf_a", "_lf_b", F.xxhash64("_lf_line").alias("_lf_h"),
+        F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("_lf_i", "_lf_line"))
+    return one.filter(F.trim("_lf_line", F.lit(WHITE_CHARS)) != "").select(
+        "_lf_host", "_lf_a", "_lf_b", "_lf_i",
+        F.xxhash64(F.trim(normalised(F.col("_lf_line")), F.lit(WHITE_CHARS))).alias("_lf_h"),
         F.regexp_count("_lf_line", F.lit(r"[^\x20\x09-\x0D]+")).alias("_lf_n"),
         F.char_length(F.regexp_replace("_lf_line", WHITE, "")).alias("_lf_c"))
 
@@ -130,19 +130,18 @@ def frequent_lines(lines: DataFrame, docs: DataFrame, host: str = "source",
 
 def removed(lines: DataFrame, frequent: DataFrame) -> DataFrame:
     """Per host and text: the words and word characters that frequent lines
-    take, and those lines' hashes. The rows of one line are spread over blocks;
-    the (few) frequent lines are repeated into each block."""
+    take, and those lines' hashes. The lines of equal texts are one text's. The
+    rows of one line are spread over blocks; the (few) frequent lines are
+    repeated into each block."""
     f = frequent.select("_lf_host", "_lf_h", F.explode(
         F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("_lf_x"))
-    per_text = lines.groupBy("_lf_host", "_lf_a", "_lf_b", "_lf_h").agg(
-        F.max("_lf_n").alias("_lf_n"), F.max("_lf_c").alias("_lf_c"),
-        F.count(F.lit(1)).alias("_lf_k"))
+    per_text = lines.groupBy("_lf_host", "_lf_a", "_lf_b", "_lf_i").agg(
+        F.max("_lf_h").alias("_lf_h"), F.max("_lf_n").alias("_lf_n"), F.max("_lf_c").alias("_lf_c"))
     return (per_text.withColumn("_lf_x", F.pmod("_lf_a", F.lit(SPREAD)).cast("int"))
             .join(f, ["_lf_host", "_lf_h", "_lf_x"])
             .groupBy("_lf_host", "_lf_a", "_lf_b")
-            .agg(F.sum(F.col("_lf_n") * F.col("_lf_k")).alias("_lf_rw"),
-                 F.sum(F.col("_lf_c") * F.col("_lf_k")).alias("_lf_rc"),
-                 F.sum("_lf_k").alias("_lf_rl"),
+            .agg(F.sum("_lf_n").alias("_lf_rw"), F.sum("_lf_c").alias("_lf_rc"),
+                 F.count(F.lit(1)).alias("_lf_rl"),
                  F.collect_set("_lf_h").alias("_lf_gone")))
 
 
