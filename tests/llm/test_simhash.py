@@ -94,3 +94,18 @@ def test_deduplicated_keeps_one_of_each_group(spark):
     assert 4 in ids and 5 not in ids and 6 not in ids and 1 in ids and 2 not in ids
     assert ids.count(None) == 2
     assert simhash.deduplicated(empty_docs(spark)).collect() == []
+
+
+def test_deduplicated_with_repeated_ids(spark):
+    """A text stays or goes with its own group, whatever else has its id, and
+    one row of a group stays."""
+    import random
+    rnd = random.Random(9)
+    a, b, c, d = (" ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (3, c), (4, c), (5, d), (5, d + "  "), (None, a), (None, a)]
+    docs = spark.createDataFrame([(i, t, f"n{k}") for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, note string")
+    out = simhash.deduplicated(docs)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text.strip()) for r in out.collect())
+    assert got == sorted([(1, a), (2, b), (3, c), (5, d), (0, a), (0, a)])

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, stored
+from .common import partitions, stored, two_hashes
 
 SHINGLE = 4
 SEED = 42
@@ -239,25 +239,49 @@ def components(edges: DataFrame, a: str = "fp", b: str = "root") -> DataFrame:
         before = now
 
 
+def _grouped(fps: DataFrame, low: Column, max_bits: int, segments: int) -> DataFrame:
+    """(fp, lowest): each fingerprint, and the smallest ``low`` of its group."""
+    distinct = fps.groupBy("fp").agg(F.min(low).alias("low"))
+    roots = components(links(distinct.select("fp"), max_bits, segments))
+    grouped = (distinct.join(roots, distinct.fp == roots.node, "left")
+               .select("fp", "low", F.coalesce("root", "fp").alias("root")))
+    lowest = grouped.groupBy("root").agg(F.min("low").alias("lowest"))
+    return grouped.join(lowest, "root").select("fp", "lowest")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                     segments: int = SEGMENTS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row."""
     fps = stored(fingerprints(docs, doc_id, text, shingle))
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    roots = components(links(distinct.select("fp"), max_bits, segments))
-    grouped = (distinct.join(roots, distinct.fp == roots.node, "left")
-               .select("fp", "low", F.coalesce("root", "fp").alias("root")))
-    ids = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = grouped.join(ids, "root").select("fp", "component_id")
+    named = _grouped(fps, F.col("doc_id"), max_bits, segments)
     return fps.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The documents without those whose group has a smaller id; all columns
-    stay. Rows that repeat the smallest id stay together, rows of a null id
-    always stay."""
-    found = near_duplicates(docs, doc_id, text, **settings)
-    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("_sh_id"))
-    return docs.join(gone, F.col(doc_id) == F.col("_sh_id"), "left_anti")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("lowest").alias("component_id"))
+
+
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                 shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                 segments: int = SEGMENTS) -> DataFrame:
+    """One document of each group, that of the smallest id; all columns stay.
+    An id may repeat: texts are told apart by two hashes beside it, so that each
+    stays or goes with its own group, and of equal rows (id and text) one stays.
+    Rows of a null id always stay."""
+    a, b = two_hashes(F.coalesce(F.col(text), F.lit("")))
+    own = F.struct(F.col(doc_id).alias("id"), a.alias("a"), b.alias("b"))
+    fps = stored(fingerprints(docs.select(own.alias("_sh_own"), F.col(text).alias("_sh_text")),
+                              "_sh_own", "_sh_text", shingle))
+    known = F.col("doc_id.id").isNotNull()
+    named = _grouped(fps, F.when(known, F.col("doc_id")), max_bits, segments)
+    rows = fps.filter(known).join(named, "fp")
+    key = [F.col(f"doc_id.{c}").alias(f"_sh_{c}") for c in ("id", "a", "b")]
+    names = ["_sh_id", "_sh_a", "_sh_b"]
+    gone = rows.filter("doc_id != lowest").select(*key)
+    again = stored(rows.filter("doc_id = lowest").select(*key).groupBy(*names).count()
+                   .filter("count > 1").select(*names))
+    keyed = docs.withColumns({"_sh_id": F.col(doc_id), "_sh_a": a, "_sh_b": b})
+    stay = keyed.join(gone, names, "left_anti")
+    if not again.isEmpty():            # only repeated rows are moved to be one
+        stay = stay.join(again, names, "left_anti").unionByName(
+            stay.join(again, names, "left_semi").dropDuplicates(names))
+    return stay.select(*docs.columns)
