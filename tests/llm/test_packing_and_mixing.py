@@ -28,6 +28,17 @@ def test_word_encoder_equals_whole_texts(spark):
     assert got == whole_ids(texts)
 
 
+def test_word_encoder_equals_whole_texts_of_any_latin_characters():
+    rnd = random.Random(9)
+    latin = "".join(map(chr, range(1, 256)))
+    alphabets = [latin, "aB.,é É", "x.y,z '\"()-", "12.,½²³ªºµß×÷ÀÞ", "a.b <|endoftext|>", "\x85\xa0\x1c a."]
+    texts = ["".join(rnd.choice(a) for _ in range(rnd.randint(0, 40))) for a in alphabets for _ in range(500)]
+    texts += [t.replace("b", "日") for t in texts[::7]]
+    enc = packing.WordEncoder(packing.tokenizer_path())
+    got = [np.frombuffer(b, "<u4").tolist() for b in enc.encode(texts)]
+    assert got == whole_ids(texts)
+
+
 def test_word_encoder_forgets_when_full(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 5)
     monkeypatch.setattr(packing, "CALL_WORDS", 2)

@@ -49,11 +49,16 @@ TOKENIZER = "word_bpe_49k.json"
 #: Whitespace that str.split() and the tokenizer's \s may see differently.
 _ODD_SPACE = re.compile(
     "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
-#: A mark next to another mark is one word with it, and must not be cut off; the
-#: tokenizer's special tokens depend on case.
-_JOINED = re.compile(r"[.,][^\sA-Za-z0-9]|[^\sA-Za-z0-9][.,]|<\|")
+#: Latin-1 bytes: lower case, and kinds (a letter or ASCII digit, white space,
+#: the marks . and , others, and X for space that is seen differently).
+_LETTER = re.compile(b"[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]")
+_LOWER = bytes(c + 32 if 65 <= c <= 90 or 0xC0 <= c <= 0xDE and c != 0xD7 else c for c in range(256))
+_KIND = bytes(
+    ord("a") if _LETTER.match(bytes([c])) or 48 <= c <= 57 else ord(" ") if c in b" \t\n\x0b\f\r" else
+    ord("M") if c in b".," else ord("X") if 0x1C <= c <= 0x1F or c in (0x85, 0xA0) else ord("P")
+    for c in range(256))
 #: Words whose ids a worker keeps, and words encoded in one call.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 CALL_WORDS = 1000
 
 _encoders: dict[str, WordEncoder] = {}      # one per worker process
@@ -68,14 +73,16 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {}
+        self.ids: dict[str | bytes, bytes] = {}
 
-    def learn(self, missing: list[str]) -> None:
+    def learn(self, missing: list[str] | list[bytes]) -> None:
+        """Keep the ids of new words; bytes are Latin-1."""
         if len(self.ids) + len(missing) > CACHE_WORDS:
             self.ids.clear()
         for k in range(0, len(missing), CALL_WORDS):
             some = missing[k:k + CALL_WORDS]
-            e = self.tok.encode(" ".join(some), add_special_tokens=False)
+            line = " ".join(some) if isinstance(some[0], str) else b" ".join(some).decode("latin-1")
+            e = self.tok.encode(line, add_special_tokens=False)
             ids = np.asarray(e.ids, np.uint32)
             begins = np.fromiter((a for a, _ in e.offsets), np.int64, len(ids))
             ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)) + 1)
@@ -85,29 +92,37 @@ class WordEncoder:
             for w, a, b in zip(some, at, at[1:]):
                 self.ids[w] = raw[4 * a:4 * b]
 
+    def words(self, text: str) -> list[str] | list[bytes] | None:
+        """A text's words, or None if white space in it is unusual. In Latin-1
+        texts case is folded as the tokenizer does it (its special tokens, which
+        start with <|, depend on case), and marks that stand alone, each a word
+        of its own, are cut off: fewer different words are left to learn."""
+        try:
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None if _ODD_SPACE.search(text) else text.split()
+        kind = raw.translate(_KIND)
+        if b"X" in kind:
+            return None
+        if b"<|" in raw:
+            return raw.split()
+        raw = raw.translate(_LOWER)
+        if not (b"MM" in kind or b"MP" in kind or b"PM" in kind):
+            raw = raw.replace(b".", b" . ").replace(b",", b" , ")
+        return raw.split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        out: list[bytes | None] = [None] * len(texts)
-        split: dict[int, list[str]] = {}
-        for i, t in enumerate(texts):
-            if _ODD_SPACE.search(t):
-                ids = self.tok.encode(t, add_special_tokens=False).ids
-                out[i] = np.asarray(ids, "<u4").tobytes()
-                continue
-            # In ASCII the tokenizer folds case, and a lone mark is a word of its
-            # own: doing both here leaves fewer different words to learn.
-            if t.isascii() and not _JOINED.search(t):
-                t = t.lower().replace(".", " . ").replace(",", " , ")
-            split[i] = t.split()
+        split = [self.words(t) for t in texts]
         known = self.ids
-        need = {w for ws in split.values() for w in ws if w not in known}
+        need = set().union(*[ws for ws in split if ws]).difference(known)
         if len(known) + len(need) > CACHE_WORDS:
             known.clear()
-            need = {w for ws in split.values() for w in ws}
-        self.learn(sorted(need))
-        for i, ws in split.items():
-            out[i] = b"".join([known[w] for w in ws])
-        return out
+            need = set().union(*[ws for ws in split if ws])
+        for kind in (str, bytes):
+            self.learn(sorted(w for w in need if isinstance(w, kind)))
+        whole = lambda t: np.asarray(self.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        return [whole(t) if ws is None else b"".join(map(known.__getitem__, ws)) for t, ws in zip(texts, split)]
 
 
 def encoder(path: str) -> WordEncoder:
