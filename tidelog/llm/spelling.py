@@ -4,13 +4,19 @@ Words are runs of letters (A-Z, a-z, U+00C0 to U+00FF, A-Z lower-cased) that
 occur at least ``min_count`` times and have at least ``min_length`` letters.
 Two are near if they differ by one inserted, deleted or replaced letter.
 
-A word's frequency vector counts its letters of each of ``GROUPS``; a trie
-arranges the words by the first count, then the second, and so on. One edit
-moves a vector by one surplus (a letter more in a group), one deficit, or both,
-so a depth-first search from the root spends a budget of one each and finds all
-near words; words at its leaves are verified letter by letter. Of a pair, the
-search goes from the word whose vector is smaller where they first differ, so
-the surplus is spent before the deficit and each pair is found once.
+A word's frequency vector counts its letters, then those of each of ``GROUPS``;
+a trie arranges the words by the first count, then the second, and so on. One
+edit moves a vector by one surplus (a letter more in a group), one deficit, or
+both, so a depth-first search from the root spends a budget of one each and
+finds all near words; words at its leaves are verified letter by letter. Of a
+pair, the search goes from the shorter word, or from the one whose vector is
+smaller where they first differ, so the surplus is spent before the deficit and
+each pair is found once.
+
+The search takes many words at once: an entry of its stack is a set of words,
+each at its node, that have spent the same; one step takes them a level down,
+once for each of the three moves. A vector is one 64-bit number with the first
+count on top, so a node is a range of the sorted numbers.
 
 On Spark the trie is cut into buckets: a node of more than LIMIT words (at least
 ``bucket``, and at least words / (8 * partitions), so that there are at most
@@ -21,8 +27,8 @@ a trie in one task, and the queries are streamed past it. Buckets of many
 queries, and words of one vector that are more than a bucket, are dealt into
 blocks of a grid, so that every pair still meets in one cell.
 
-Counts above 15 are taken as 15 in vectors: differences only shrink by that, so
-no near pair is lost, and a node has at most 16 children.
+Counts above 15 are taken as 15 in vectors (of all letters: 255): differences
+only shrink by that, so no near pair is lost, and a node has at most 16 children.
 
 Defined cases: a null or empty text has no words; repeated rows and ids count as
 often as they occur; with a null id no letter is deleted. Words of any length
@@ -42,24 +48,27 @@ from pyspark.sql import functions as F
 
 from .common import partitions, stored
 
-#: Levels of the trie, from the letters that tell most words apart to the rest;
-#: letters beyond z are the last one.
-GROUPS = ["e", "a", "i", "n", "r", "s", "t", "o", "l", "u", "d", "c", "m", "bp", "gh", "fkvw", "jqxyz",
+#: Levels of the trie below the number of letters, from the letters that tell
+#: most words apart to the rest; letters beyond z are the last one.
+GROUPS = ["e", "a", "i", "n", "r", "s", "t", "o", "lu", "dc", "mbp", "ghfk", "vwjqxyz",
           "".join(map(chr, range(0xC0, 0x100)))]
-TOP_COUNT = 15
+TOP_COUNT, TOP_LENGTH = 15, 255
+LEVELS = len(GROUPS) + 1
+#: Place of each level's count in the number: eight bits and then four each.
+SHIFT = [4 * (LEVELS - 1 - k) for k in range(LEVELS)]
 MIN_LENGTH = 7
 MIN_COUNT = 2
 RATIO = 10
 DROP_MOD = 31
-BUCKET = 1 << 14
-QUERIES = 1 << 18
+BUCKET = 1 << 15
+QUERIES = 1 << 17
 #: Distinct words held by a counting task before they are sent on.
 HELD = 1 << 19
 #: Words up to this length are compared as rows of a matrix, longer ones singly.
 WIDE = 48
-#: Index words of a node, and pairs at once, that are compared without going
-#: down further.
-LEAF, PAIRS = 48, 1 << 16
+#: Index words of a node that are compared without going down further; pairs
+#: compared at once, and queries searched for together.
+LEAF, PAIRS, TOGETHER = 8, 1 << 18, 1 << 15
 
 #: Latin-1 bytes of a text: letters lower-cased (A-Z only), the rest a space.
 _LETTERS = bytes(
@@ -127,8 +136,9 @@ def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
 # --- frequency vectors and their trie -------------------------------------------
 
 def vector(word: Column) -> Column:
-    """The letter-group counts of a word, each at most 15."""
-    return F.array(*[F.least(
+    """The number of letters (at most 255) and the letter-group counts (at most
+    15 each) of a word."""
+    return F.array(F.least(F.char_length(word), F.lit(TOP_LENGTH)), *[F.least(
         F.char_length(word) - F.char_length(F.translate(word, g, "")), F.lit(TOP_COUNT)) for g in GROUPS])
 
 
@@ -139,7 +149,7 @@ def open_nodes(words: DataFrame, limit: int) -> dict[tuple[int, ...], dict[int,
     nodes: dict[tuple[int, ...], dict[int, int | None]] = {}
     spark = words.sparkSession
     buckets, level = 0, [()]
-    for depth in range(len(GROUPS)):
+    for depth in range(LEVELS):
         if not level:
             break
         under = words
@@ -151,7 +161,7 @@ def open_nodes(words: DataFrame, limit: int) -> dict[tuple[int, ...], dict[int,
         level = []
         for row in sorted(sums):
             p = tuple(row["p"])
-            if row["count"] > limit and depth + 1 < len(GROUPS):
+            if row["count"] > limit and depth + 1 < LEVELS:
                 level.append(p)
                 nodes[p[:-1]][p[-1]] = None
             else:
@@ -166,37 +176,49 @@ def as_matrix(words: list[bytes], width: int) -> np.ndarray:
 
 
 def vectors(words: list[bytes]) -> np.ndarray:
-    """Letter-group counts of each word, at most 15."""
+    """The vector of each word as a row of counts."""
     flat = _GROUP_OF[np.frombuffer(b"".join(words), np.uint8)]
-    of = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    of = np.repeat(np.arange(len(words)), sizes)
     g = len(GROUPS)
     n = np.bincount(of * g + flat, minlength=len(words) * g).reshape(-1, g)
-    return np.minimum(n, TOP_COUNT).astype(np.int8)
+    return np.concatenate((np.minimum(sizes, TOP_LENGTH)[:, None], np.minimum(n, TOP_COUNT)), 1)
 
 
-def moves(counts: np.ndarray, c: int, spent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which queries may go on to a child of count ``c``, and what they have
-    spent then: 0 nothing, 1 the surplus, 2 surplus and deficit."""
-    d = c - counts
-    more, less = (d == 1) & (spent == 0), (d == -1) & (spent == 1)
-    ok = np.flatnonzero((d == 0) | more | less)
-    return ok, spent[ok] + (more | less)[ok]
+def packed(v: np.ndarray) -> np.ndarray:
+    """Vectors as numbers whose order is that of the vectors."""
+    return (v.astype(np.uint64) << np.array(SHIFT, np.uint64)).sum(1, dtype=np.uint64)
+
+
+#: What a query has spent: nothing; on the number of letters, so that one surplus
+#: is to come; the surplus of a word as long; all.
+NOTHING, LONGER, SURPLUS, ALL = range(4)
+
+
+def steps(level: int, spent: int) -> list[tuple[int, int]]:
+    """The moves at a level: (change of the count, what is spent then)."""
+    if level == 0:
+        return [(0, NOTHING), (1, LONGER)]
+    return {NOTHING: [(0, NOTHING), (1, SURPLUS)], LONGER: [(0, LONGER), (1, ALL)],
+            SURPLUS: [(0, SURPLUS), (-1, ALL)], ALL: [(0, ALL)]}[spent]
 
 
 def reached(nodes: dict, v: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Depth-first through the opened nodes: (bucket, rows of v that reach it)."""
-    stack = [((), np.arange(len(v)), np.zeros(len(v), np.int8))]
+    stack = [((), np.arange(len(v)), NOTHING)]
     while stack:
         prefix, live, spent = stack.pop()
         counts = v[live, len(prefix)]
-        for c, bucket in nodes.get(prefix, {}).items():
-            ok, now = moves(counts, c, spent)
-            if not len(ok):
-                continue
-            if bucket is None:
-                stack.append(((*prefix, c), live[ok], now))
-            else:
-                yield bucket, live[ok]
+        children = nodes.get(prefix, {})
+        for change, then in steps(len(prefix), spent):
+            for c in np.unique(counts).tolist():
+                if c + change not in children:
+                    continue
+                rows, bucket = live[counts == c], children[c + change]
+                if bucket is None:
+                    stack.append(((*prefix, c + change), rows, then))
+                else:
+                    yield bucket, rows
 
 
 def home(nodes: dict, v: np.ndarray) -> np.ndarray:
@@ -210,85 +232,110 @@ def home(nodes: dict, v: np.ndarray) -> np.ndarray:
     return out
 
 
-def one_edit(a: list[bytes], b: list[bytes]) -> np.ndarray:
-    """Whether a[i] and b[i], as long or one longer, differ by one edit."""
-    la, lb = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-    out = np.zeros(len(a), bool)
-    short = np.flatnonzero((lb <= WIDE) & (la <= lb) & (lb <= la + 1))
-    if len(short):
-        x = as_matrix([a[i] for i in short], WIDE + 1)
-        y = as_matrix([b[i] for i in short], WIDE + 1)
-        differ = x != y
-        same_length = la[short] == lb[short]
-        first = differ.argmax(1)
-        # An insertion: the same up to there, and shifted by one from there.
-        shifted = np.arange(WIDE) < first[:, None]
-        shifted |= x[:, :-1] == y[:, 1:]
-        out[short] = np.where(same_length, differ.sum(1) == 1, shifted.all(1))
-    for i in np.flatnonzero((lb > WIDE) & (la <= lb) & (lb <= la + 1)):
-        p, q = a[i], b[i]
-        k = next((k for k, (s, t) in enumerate(zip(p, q)) if s != t), len(p))
-        out[i] = p != q and p[k + (len(p) == len(q)):] == q[k + 1:]
+def one_edit(p: bytes, q: bytes) -> bool:
+    """Whether one letter inserted, deleted or replaced makes p into q."""
+    if len(p) > len(q):
+        p, q = q, p
+    if p == q or len(q) - len(p) > 1:
+        return False
+    k = next((k for k, (s, t) in enumerate(zip(p, q)) if s != t), len(p))
+    return p[k + (len(p) == len(q)):] == q[k + 1:]
+
+
+class Words:
+    """Words with their vectors, and as rows of bytes."""
+
+    def __init__(self, words: list[bytes]):
+        self.words = words
+        self.v = vectors(words)
+        self.key = packed(self.v)
+        self.size = np.fromiter(map(len, words), np.int64, len(words))
+        self.rows = as_matrix([w if len(w) <= WIDE else b"" for w in words], WIDE + 1)
+
+
+def in_order(words: list[bytes], n: list[np.ndarray]) -> tuple[Words, np.ndarray]:
+    """Words and their counts in the order of their vectors."""
+    by = np.argsort(packed(vectors(words)), kind="stable")
+    return Words([words[i] for i in by.tolist()]), np.concatenate(n)[by]
+
+
+def verified(a: Words, i: np.ndarray, b: Words, j: np.ndarray) -> np.ndarray:
+    """Whether a's words i and b's words j are near, from the side that finds
+    the pair: the shorter word, or the smaller vector, or (of equal vectors) the
+    smaller word."""
+    x, y = a.rows[i], b.rows[j]
+    differ = x != y
+    first = differ.argmax(1)
+    n = np.arange(len(i))
+    replaced = (a.size[i] == b.size[j]) & (differ.sum(1) == 1)
+    # An insertion: the same up to a place, and shifted by one from there.
+    shifted = np.arange(WIDE) < first[:, None]
+    shifted |= x[:, :-1] == y[:, 1:]
+    inserted = (a.size[i] + 1 == b.size[j]) & shifted.all(1)
+    smaller = (a.key[i] < b.key[j]) | ((a.key[i] == b.key[j]) & (x[n, first] < y[n, first]))
+    out = (replaced & smaller) | inserted
+    for k in np.flatnonzero(np.maximum(a.size[i], b.size[j]) > WIDE).tolist():
+        p, q = a.words[i[k]], b.words[j[k]]
+        out[k] = (len(p), a.key[i[k]], p) < (len(q), b.key[j[k]], q) and one_edit(p, q)
     return out
 
 
-class Trie:
-    """The index words of one cell, in the order of their vectors: a node is a
-    range of rows that agree in their first counts."""
-
-    def __init__(self, words: list[bytes], n: np.ndarray):
-        v = vectors(words)
-        by = np.lexsort(v.T[::-1])
-        self.words = [words[i] for i in by]
-        self.n, self.v = n[by], v[by]
-
-    def near(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (row of words, row of the trie), each found from one side."""
-        q = vectors(words)
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        stack = [(0, 0, len(self.words), np.arange(len(q)), np.zeros(len(q), np.int8))]
-        while stack:
-            depth, lo, hi, live, spent = stack.pop()
-            if hi - lo <= LEAF or depth == len(GROUPS):
-                found += self._leaf(q, words, lo, hi, live)
-                continue
-            column = self.v[lo:hi, depth]
-            cuts = lo + np.concatenate(([0], np.flatnonzero(np.diff(column)) + 1, [hi - lo]))
-            counts = q[live, depth]
-            for a, b in zip(cuts, cuts[1:]):
-                ok, now = moves(counts, int(self.v[a, depth]), spent)
-                if len(ok):
-                    stack.append((depth + 1, int(a), int(b), live[ok], now))
-        if not found:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
-
-    def _leaf(self, q: np.ndarray, words: list[bytes], lo: int, hi: int,
-              live: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        out = []
-        for j0 in range(lo, hi, LEAF):
-            rows = self.v[j0:min(hi, j0 + LEAF)]
-            step = max(1, PAIRS // len(rows))
-            for k in range(0, len(live), step):
-                some = live[k:k + step]
-                d = rows[None] - q[some][:, None]
-                fits = (np.abs(d).sum(2) <= 2) & (np.maximum(d, 0).sum(2) <= 1) & (np.minimum(d, 0).sum(2) >= -1)
-                i, j = np.nonzero(fits)
-                d = d[i, j]
-                nothing = ~d.any(1)
-                first = d[np.arange(len(d)), (d != 0).argmax(1)]
-                i, j = some[i], j0 + j
-                a, b = [words[x] for x in i], [self.words[x] for x in j]
-                # Of one vector, both words find each other: one of them does.
-                later = np.fromiter((p < r for p, r in zip(a, b)), bool, len(a))
-                ok = np.where(nothing, later, first == 1)
-                keep = np.flatnonzero(ok)
-                a, b = [a[x] for x in keep], [b[x] for x in keep]
-                swap = [len(p) > len(r) for p, r in zip(a, b)]
-                near = one_edit([r if s else p for p, r, s in zip(a, b, swap)],
-                                [p if s else r for p, r, s in zip(a, b, swap)])
-                out.append((i[keep][near], j[keep][near]))
-        return out
+def near_in(index: Words, queries: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row of queries, row of index) of near words, each found from one
+    side; ``index`` is in the order of its vectors."""
+    found_i, found_j = [], []
+
+    def compare(q: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> None:
+        many = hi - lo
+        upto = np.cumsum(many)
+        for k in range(0, int(upto[-1]), PAIRS):
+            at = np.arange(k, min(k + PAIRS, int(upto[-1])))
+            of = np.searchsorted(upto, at, side="right")
+            i, j = q[of], hi[of] - (upto[of] - at)
+            # At most two counts differ (and the number of letters).
+            x = queries.key[i] ^ index.key[j]
+            x |= x >> np.uint64(1)
+            x |= x >> np.uint64(2)
+            few = np.bitwise_count(x & _NIBBLES) <= 2
+            i, j = i[few], j[few]
+            ok = verified(queries, i, index, j)
+            found_i.append(i[ok])
+            found_j.append(j[ok])
+
+    n = len(queries.words)
+    stack = [(0, NOTHING, np.arange(n), queries.key, np.zeros(n, np.int64), np.full(n, len(index.words)))]
+    while stack:
+        level, spent, q, key, lo, hi = stack.pop()
+        few = hi - lo <= LEAF if level < LEVELS else np.ones(len(q), bool)
+        if few.any():
+            compare(q[few], lo[few], hi[few])
+            q, key = q[~few], key[~few]
+        if not len(q):
+            continue
+        shift = np.uint64(SHIFT[level])
+        count = (key >> shift) & np.uint64(TOP_COUNT if level else TOP_LENGTH)
+        for change, then in steps(level, spent):
+            able = count < (TOP_COUNT if level else TOP_LENGTH) if change > 0 else count > 0 if change < 0 else None
+            own, moved = (q, key) if able is None else (q[able], key[able])
+            if change > 0:
+                moved = moved + (np.uint64(1) << shift)
+            elif change < 0:
+                moved = moved - (np.uint64(1) << shift)
+            node = moved >> shift
+            a = np.searchsorted(index.key, node << shift)
+            # The last node's end is beyond all numbers.
+            end = (node << shift) | ((np.uint64(1) << shift) - np.uint64(1))
+            b = np.searchsorted(index.key, end, side="right")
+            there = b > a
+            if there.any():
+                stack.append((level + 1, then, own[there], moved[there], a[there], b[there]))
+    if not found_i:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(found_i), np.concatenate(found_j)
+
+
+#: The lowest bit of each letter group's count.
+_NIBBLES = np.uint64(sum(1 << k for k in SHIFT[1:]))
 
 
 # --- the search on Spark ------------------------------------------------------------
@@ -341,7 +388,25 @@ def near_words(words: DataFrame, bucket: int = BUCKET, queries: int = QUERIES) -
     cells = cells.repartition(parts, "bucket", "i", "q").sortWithinPartitions("bucket", "i", "q", "query", "word")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, words_in, n_in, trie = None, [], [], None
+        cell: tuple | None = None
+        index, index_n, asked, asked_n = [], [], [], []
+        trie: tuple[Words, np.ndarray] | None = None
+
+        def answers() -> Iterator[pa.RecordBatch]:
+            """The pairs of the queries held."""
+            nonlocal trie
+            if index and asked:
+                trie = trie or in_order(index, index_n)
+                words, n = trie
+                queries, m = in_order(asked, asked_n)      # neighbours share paths
+                i, j = near_in(words, queries)
+                a = pa.array([queries.words[x].decode("latin-1") for x in i.tolist()], pa.string())
+                c = pa.array([words.words[x].decode("latin-1") for x in j.tolist()], pa.string())
+                yield pa.RecordBatch.from_arrays([a, c, pa.array(n[j])], names=names)
+                yield pa.RecordBatch.from_arrays([c, a, pa.array(m[i])], names=names)
+            asked.clear()
+            asked_n.clear()
+
         for b in batches:
             keys = np.stack([b.column(k).to_numpy() for k in ("bucket", "i", "q")] + [
                 b.column("query").to_numpy(zero_copy_only=False).astype(np.int32)], 1)
@@ -352,23 +417,14 @@ def near_words(words: DataFrame, bucket: int = BUCKET, queries: int = QUERIES) -
                 part = b.slice(lo, hi - lo)
                 here, query = tuple(keys[lo, :3].tolist()), bool(keys[lo, 3])
                 if here != cell:
-                    cell, words_in, n_in, trie = here, [], [], None
-                w, n = _latin(part.column("word")), part.column("n").to_numpy()
-                if not query:
-                    words_in += w
-                    n_in.append(n)
-                    continue
-                if not words_in:
-                    continue
-                if trie is None:
-                    trie = Trie(words_in, np.concatenate(n_in))
-                i, j = trie.near(w)
-                if not len(i):
-                    continue
-                a = part.column("word").take(pa.array(i))
-                c = pa.array([trie.words[x].decode("latin-1") for x in j], pa.string())
-                yield pa.RecordBatch.from_arrays([a, c, pa.array(trie.n[j])], names=names)
-                yield pa.RecordBatch.from_arrays([c, a, pa.array(n[i])], names=names)
+                    yield from answers()
+                    cell, index, index_n, trie = here, [], [], None
+                words, n = (asked, asked_n) if query else (index, index_n)
+                words += _latin(part.column("word"))
+                n.append(part.column("n").to_numpy())
+                if len(asked) >= TOGETHER:
+                    yield from answers()
+        yield from answers()
 
     names = ["word", "near", "near_n"]
     return cells.mapInArrow(search, "word string, near string, near_n long")
