@@ -1,12 +1,20 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidelog import scan
 from tidelog.log import bounds, dense_position, with_offsets
 from tidelog.plans import fixtures as fx
 
 from conftest import SF_CHECK
 
 
+@pytest.fixture(params=[0, 1 << 16], autouse=True)
+def task_rows(request, monkeypatch):
+    """Both ways of numbering: every large group by range, and none."""
+    monkeypatch.setattr(scan, "TASK_ROWS", request.param)
+
+
 def _plain(df, by, order, name):
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w) - 1)

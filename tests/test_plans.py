@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from tidelog import scan
 from tidelog.log import dense_position
 from tidelog.operators import maintenance as M
 from tidelog.operators import positions as O
@@ -53,15 +54,26 @@ def test_projection_is_pruned(spark, written_log):
     assert "ReadSchema: struct<offset:bigint>" in plan
 
 
-def test_ranking_never_gathers_rows_in_one_task(spark):
-    ev = spark.read.parquet(f"{SF_CHECK}/events.parquet").withColumn("p", F.col("user_id") % 3)
+def test_ranking_moves_rows_once_and_never_into_one_task(spark, monkeypatch):
+    """Rows of hot groups are moved by range into the stored files, and joined
+    with a broadcast there; other rows are moved once, by their group's hash."""
+    monkeypatch.setattr(scan, "TASK_ROWS", 1500)      # users by event type: one hot type
+    ev = spark.read.parquet(f"{SF_CHECK}/events.parquet").withColumn(
+        "p", F.when(F.col("event_type") == "error", F.col("user_id").cast("string")).otherwise(F.col("event_type")))
     for by in ([], ["p"]):
         out = dense_position(ev, by, ["event_id"], "pos")
         out.write.format("noop").mode("overwrite").save()
-        plan = out._jdf.queryExecution().executedPlan().toString()
+        plan = _plan(out)
         assert "SinglePartition" not in plan
-        # the rows' own window is within range partitions of the group
-        assert re.search(r"Window \[sum\(_scan_value.*_scan_part.*_scan_group", plan), plan
+        assert len(re.findall(r"(?<!Broadcast)Exchange (?:hash|range)", plan)) == len(by), plan
+        assert "row_index" in plan and "SortMergeJoin" not in plan
+
+
+def test_published_values_move_once(spark):
+    staged = spark.read.parquet(f"{SF_CHECK}/events.parquet").select("event_id", "user_id", "props", "ts")
+    out = K.write_topic(staged, "events", F.col("user_id").cast("string"), "props", ["event_id"], timestamp="ts")
+    plan = _plan(out)
+    assert not re.search(r"(?<!Broadcast)Exchange (?:hash|range)", plan), plan
 
 
 def test_counting_and_compaction_aggregate_before_the_shuffle(spark):

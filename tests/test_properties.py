@@ -26,6 +26,7 @@ def test_title_case_and_key_match_python(spark, texts):
         assert r.k == r.s.lower().replace("s+", "-"), (r.s, r.k)
 
 
+from tidelog import scan  # noqa: E402
 from tidelog.log import dense_position  # noqa: E402
 
 ROW = st.tuples(st.sampled_from([None, "a", "b", "c"]),      # group, nullable
@@ -39,12 +40,17 @@ def test_dense_position_matches_brute_force(spark, rows):
     # make (lead, second, id) a total order inside each group
     data = [(g, lead, sec, i) for i, (g, lead, sec) in enumerate(rows)]
     df = spark.createDataFrame(data, "g string, lead long, sec long, id long")
-    got = {r.id: r.pos for r in dense_position(df, ["g"], ["lead", "sec", "id"], "pos").collect()}
     want = {}
     for g in {d[0] for d in data}:
         mine = sorted((d for d in data if d[0] == g), key=lambda d: (d[1], d[2], d[3]))
         want.update({d[3]: k for k, d in enumerate(mine)})
-    assert got == want
+    for task_rows in (0, 1 << 16):       # groups by range, and by hash
+        before, scan.TASK_ROWS = scan.TASK_ROWS, task_rows
+        try:
+            got = {r.id: r.pos for r in dense_position(df, ["g"], ["lead", "sec", "id"], "pos").collect()}
+        finally:
+            scan.TASK_ROWS = before
+        assert got == want
     glob = {r.id: r.pos for r in dense_position(df, [], ["lead", "sec", "id"], "pos").collect()}
     order = sorted(data, key=lambda d: (d[1], d[2], d[3]))
     assert glob == {d[3]: k for k, d in enumerate(order)}

@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from tidelog import scan
 from tidelog.log import LOG_COLUMNS
 from tidelog.operators import serde as C
 from tidelog.operators import state as A
@@ -84,18 +85,30 @@ def test_running_count_state_across_batches(spark, scratch):
     assert got == want and len(got) == log.count()
 
 
-def test_stream_from_latest_skips_existing(spark, scratch):
+def _restarts(spark, scratch, log, source, name):
+    """Offsets read by a query that starts on the first third of a log, and is
+    restarted after each later third was written while it was down."""
+    out = f"{scratch}/out-{name}"
+    path = f"{scratch}/log-{name}"
+    for lo, hi in ((0, 1000), (1000, 2000), (2000, 1 << 40)):
+        log.filter((F.col("offset") >= lo) & (F.col("offset") < hi)).coalesce(1).write.mode("append").parquet(path)
+        L.start(source(path), _name(scratch, name), sink="parquet", path=out, available_now=True,
+                transform=lambda df: df.select("partition", "offset")).awaitTermination()
+    return sorted(map(tuple, spark.read.schema("partition int, offset long").parquet(out).collect()))
+
+
+def test_live_starts_outlive_restarts(spark, scratch):
+    from tidelog.sources import topics as S
     log = fx.events_log(spark, SF_CHECK)
-    path = f"{scratch}/log"
-    log.filter(F.col("offset") < 1000).coalesce(1).write.parquet(path)
-    stream = L.stream_from_latest(spark, path, "events")
-    log.filter(F.col("offset") >= 1000).coalesce(1).write.mode("append").parquet(path)
-    name = _name(scratch, "latest")
-    q = L.start(stream.select("partition", "offset"), name, available_now=True)
-    q.awaitTermination()
-    got = spark.table(name)
-    assert got.count() == log.filter(F.col("offset") >= 1000).count()
-    assert got.agg(F.min("offset")).first()[0] == 1000
+    rows = [tuple(r) for r in log.select("partition", "offset").collect()]
+    late = sorted(r for r in rows if r[1] >= 1000)
+    assert _restarts(spark, scratch, log, lambda p: L.stream_from_latest(spark, p, "events"), "latest") == late
+    spec = {"events": {0: 500, 1: S.LATEST}}
+    got = _restarts(spark, scratch, log, lambda p: L.stream_from_offsets(spark, p, spec), "offsets")
+    assert got == sorted(r for r in rows if r[1] >= {0: 500, 1: 1000, 2: 0}[r[0]])
+    # An instant after all that is there when the query first starts.
+    got = _restarts(spark, scratch, log, lambda p: L.stream_from_timestamp(spark, p, "events", 4102444800000), "time")
+    assert got == late
 
 
 def test_greetings_stream_is_repeatable(spark, scratch):
@@ -217,21 +230,18 @@ def test_start_ticks_runs_startup_once_then_intervals(spark, scratch):
                                    for x in lines)
 
 
-def test_running_count_batches_splits_hot_keys(spark, scratch):
+def test_running_count_batches_splits_hot_keys(spark, scratch, monkeypatch):
     log = fx.greetings_log(spark, SF_CHECK)
     path = f"{scratch}/log"
     seq = log.withColumn("_t", F.unix_seconds("timestamp"))
     _write_parts(seq, path, [fx.EPOCH_S + 5 * 150, fx.EPOCH_S + 5 * 400], order="_t")
-    spark.conf.set("spark.tidelog.positionBucketRows", "40")     # 'user' is a hot key
-    try:
-        items = accepted(C.items(L.log_stream(spark, path, 1), C.GREETING)).select(
-            "partition", "offset", "timestamp", "greeter")
-        q = L.running_count_batches(items, _name(scratch, "rcb"), "greeter",
-                                    ["timestamp", "partition", "offset"],
-                                    f"{scratch}/out", f"{scratch}/totals", available_now=True)
-        q.awaitTermination()
-    finally:
-        spark.conf.unset("spark.tidelog.positionBucketRows")
+    monkeypatch.setattr(scan, "TASK_ROWS", 40)     # 'user' is a hot key
+    items = accepted(C.items(L.log_stream(spark, path, 1), C.GREETING)).select(
+        "partition", "offset", "timestamp", "greeter")
+    q = L.running_count_batches(items, _name(scratch, "rcb"), "greeter",
+                                ["timestamp", "partition", "offset"],
+                                f"{scratch}/out", f"{scratch}/totals", available_now=True, fold_every=2)
+    q.awaitTermination()
     got = {(r.partition, r.offset): r["count"] for r in spark.read.parquet(f"{scratch}/out").collect()}
     batch = A.running_count(accepted(C.items(log, C.GREETING)), "greeter",
                             ["timestamp", "partition", "offset"])
@@ -264,22 +274,55 @@ def test_live_reads_from_offsets_and_time(spark, scratch):
     log = fx.events_log(spark, SF_CHECK)
     path = f"{scratch}/log"
     log.filter(F.col("offset") < 2000).coalesce(1).write.parquet(path)
-    spec = {"events": {0: 500, 1: S.LATEST}}
-    by_offset = L.stream_from_offsets(spark, path, spec)
     since = epoch_ms_of("2024-01-15T06:30:00Z")
-    by_time = L.stream_from_timestamp(spark, path, "events", since)
-    log.filter(F.col("offset") >= 2000).coalesce(1).write.mode("append").parquet(path)
-    for name, stream in ((_name(scratch, "s3"), by_offset), (_name(scratch, "s4"), by_time)):
-        L.start(stream.select("partition", "offset"), name, available_now=True).awaitTermination()
-    got3 = sorted(map(tuple, spark.table(_name(scratch, "s3")).collect()))
+    reads = {"s3": L.stream_from_offsets(spark, path, {"events": {0: 500, 1: S.LATEST}}),
+             "s4": L.stream_from_timestamp(spark, path, "events", since)}
+    rows = [tuple(r) for r in log.select("partition", "offset").collect()]
+    for turn in (1, 2):
+        for name, stream in reads.items():
+            L.start(stream, _name(scratch, name), sink="parquet", path=f"{scratch}/{name}", available_now=True,
+                    transform=lambda df: df.select("partition", "offset")).awaitTermination()
+        if turn == 1:
+            log.filter(F.col("offset") >= 2000).coalesce(1).write.mode("append").parquet(path)
+    got = {n: sorted(map(tuple, spark.read.schema("partition int, offset long").parquet(f"{scratch}/{n}").collect()))
+           for n in reads}
     ends1 = log.filter("partition = 1 AND offset < 2000").count()
-    want3 = sorted(map(tuple, log.filter(
-        "(partition = 0 AND offset >= 500) OR (partition = 1 AND offset >= %d) OR partition = 2"
-        % ends1).select("partition", "offset").collect()))
-    assert got3 == want3
-    got4 = sorted(map(tuple, spark.table(_name(scratch, "s4")).collect()))
+    assert got["s3"] == sorted(r for r in rows if r[1] >= {0: 500, 1: ends1, 2: 0}[r[0]])
     first = log.filter("offset < 2000").filter(F.col("timestamp") >= F.timestamp_millis(F.lit(since)))
     starts = {r.partition: r.s for r in first.groupBy("partition").agg(F.min("offset").alias("s")).collect()}
-    want4 = sorted((r.partition, r.offset) for r in log.select("partition", "offset").collect()
-                   if r.offset >= starts.get(r.partition, 2000))
-    assert got4 == want4
+    assert got["s4"] == sorted(r for r in rows if r[1] >= starts.get(r[0], 2000))
+
+
+def test_paused_runs_leave_the_bookmark(spark, scratch):
+    log = fx.events_log(spark, SF_CHECK).select("key", "value", "topic", "partition", "offset", "timestamp")
+    path, out, job = f"{scratch}/log", f"{scratch}/out", _name(scratch, "job")
+    seen = set()
+    for lo, hi in ((0, 1000), (1000, 2000), (2000, 1 << 40)):
+        log.filter((F.col("offset") >= lo) & (F.col("offset") < hi)).coalesce(2).write.mode("append").parquet(path)
+        runs = [sorted((r.partition, r.offset) for r in L.run_incremental_live(
+            spark, path, out, job, "job-bookmark-pause").collect()) for _ in range(2)]
+        L.run_incremental_live(spark, path, out, job, "enabled")
+        now = {(r.partition, r.offset) for r in spark.read.parquet(out).collect()}
+        assert runs[0] == runs[1] == sorted(now - seen) and len(runs[0]) > 0
+        seen = now
+    assert L.run_incremental_live(spark, path, out, job, "paused").count() == 0
+    assert len(seen) == log.count()
+
+
+def test_totals_fold_and_stay_linear_in_keys(spark, scratch):
+    import os
+    totals = L._Totals(spark, f"{scratch}/totals", fold_every=3)
+    want = {}
+    for k in range(11):
+        rows = [(("hot",), 100 + k), ((f"k{k % 4}",), 1)]
+        for turn in (1, 2):                       # every batch is replayed once
+            prev = totals.before(k)
+            got = {} if prev is None else {r[0][0]: r[1] for r in prev.groupBy("_rc_grp").sum("_rc_total").collect()}
+            assert got == want
+            totals.add(k, spark.createDataFrame(rows, "_rc_grp struct<f: string>, _rc_total long"))
+        for (key,), n in rows:
+            want[key] = want.get(key, 0) + n
+    kept = sorted(os.listdir(f"{scratch}/totals"))
+    assert len(kept) <= 2 + 3 + 3 and "added=0" not in kept and "base=2" not in kept
+
+

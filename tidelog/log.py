@@ -101,7 +101,7 @@ def with_offsets(df: DataFrame, order: list[str], base: DataFrame | None = None)
     """Assign dense offsets per (topic, partition) in ``order``.
 
     ``base`` (topic, partition, end_offset) continues an existing log."""
-    out = dense_position(df, TP, order, "offset")
+    out = dense_position(df, TP, order, "offset", few_groups=True)
     if base is None:
         return out
     b = base.select(*TP, F.col("end_offset").alias("_base_end"))

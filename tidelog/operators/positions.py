@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..log import TP, pin_small
+from ..scan import dense_position
 from .ends import known_bounds
 
 POLICIES = ("earliest", "latest")
@@ -84,6 +85,33 @@ def commit(consumed: DataFrame, group: str) -> DataFrame:
         F.lit(group).alias("group"), *TP, "offset")
 
 
+def commit_prefix(processed: DataFrame, starts: DataFrame, group: str,
+                  log: DataFrame | None = None) -> DataFrame:
+    """Next position per partition after processing with failures: the end of the
+    longest gap-free run of processed records from ``start_offset`` on, so a
+    commit never passes a record that wasn't processed. With ``log`` only its
+    records count, so offsets that compaction removed are no gaps.
+
+    Without the log, an offset less its rank among those processed is the start
+    offset exactly in that run; ranks come from range partitions, so a topic
+    partition is no single task."""
+    known, _ = pin_small(starts.select(*TP, F.col("start_offset").cast("long")), STARTS_SCHEMA)
+    done = processed.select(*TP, "offset").join(known, TP).filter(F.col("offset") >= F.col("start_offset"))
+    if log is None:
+        ranked = dense_position(done.distinct(), TP, ["offset"], "_pos", few_groups=True)
+        upto = ranked.filter(F.col("offset") - F.col("_pos") == F.col("start_offset")).groupBy(*TP).agg(
+            (F.max("offset") + 1).alias("_upto"))
+    else:
+        # The first record of the log that wasn't processed, or the end of all.
+        asked = log.select(*TP, "offset").join(known, TP).filter(F.col("offset") >= F.col("start_offset"))
+        failed = asked.join(done.select(*TP, "offset"), [*TP, "offset"], "left_anti").groupBy(*TP).agg(
+            F.min("offset").alias("_first"))
+        ends = done.groupBy(*TP).agg((F.max("offset") + 1).alias("_end"))
+        upto = ends.join(failed, TP, "left").select(*TP, F.least("_end", "_first").alias("_upto"))
+    return known.join(upto, TP, "left").select(
+        F.lit(group).alias("group"), *TP, F.coalesce("_upto", "start_offset").alias("offset"))
+
+
 def advance(commits: DataFrame, consumed: DataFrame, group: str) -> DataFrame:
     """Commits after ``group`` processed ``consumed``: partitions with new
     records move on, the rest keep their position."""
@@ -139,9 +167,44 @@ def list_groups(commits: DataFrame) -> DataFrame:
 
 # --- O4 ---------------------------------------------------------------------
 
+# The names of the reset modes.
 RESET_MODES = ("to-offset", "to-earliest", "to-latest", "to-timestamp", "to-datetime")
 
 
+def reset_instant(mode: str, arg: int | str | None) -> int | None:
+    """The instant of a reset by time, in epoch milliseconds."""
+    if mode not in RESET_MODES:
+        raise ValueError(f"unknown reset mode: {mode}")
+    if mode == "to-timestamp":
+        return int(arg)
+    return epoch_ms_of(str(arg)) if mode == "to-datetime" else None
+
+
+def planned(ends: DataFrame, firsts: DataFrame | None, commits: DataFrame, group: str, mode: str,
+            arg: int | str | None = None, topic: str | None = None,
+            partitions: list[int] | None = None) -> DataFrame:
+    """Current and target position per partition of ``ends`` (start_offset,
+    end_offset); a reset by time takes ``firsts``, the first offset at or after it."""
+    if topic is not None:
+        ends = ends.filter(F.col("topic") == topic)
+    if partitions is not None:
+        ends = ends.filter(F.col("partition").isin(list(partitions)))
+    cur = commits.filter(F.col("group") == group).select(*TP, F.col("offset").alias("current_offset"))
+    plan = ends.join(cur, TP, "left")
+    start, end = F.col("start_offset"), F.col("end_offset")
+    if mode == "to-offset":
+        target = F.least(F.greatest(F.lit(int(arg)), start), end)
+    elif mode == "to-earliest":
+        target = start
+    elif mode == "to-latest":
+        target = end
+    else:
+        plan = plan.join(firsts.select(*TP, F.col("start_offset").alias("_first")), TP, "left")
+        target = F.coalesce(F.col("_first"), end)
+    return plan.select(F.lit(group).alias("group"), *TP, "current_offset",
+                       target.cast("long").alias("target_offset"))
+
+
 def plan_reset(log: DataFrame, commits: DataFrame, group: str, mode: str,
                arg: int | str | None = None, topic: str | None = None,
                partitions: list[int] | None = None,
@@ -150,9 +213,11 @@ def plan_reset(log: DataFrame, commits: DataFrame, group: str, mode: str,
 
     The target is clamped to the partition's [start, end]; a time beyond the
     last record targets the end. With ``ends`` (``operators.ends``) partitions
-    that retention emptied are planned too."""
-    if mode not in RESET_MODES:
-        raise ValueError(f"unknown reset mode: {mode}")
+    that retention emptied are planned too. The log's bounds, and for a time
+    its first offsets, come from a scan; a committed log
+    (``tidelog.committed``) has both in its index."""
+    at = reset_instant(mode, arg)
+
     def scope(df: DataFrame) -> DataFrame:
         if topic is not None:
             df = df.filter(F.col("topic") == topic)
@@ -161,23 +226,8 @@ def plan_reset(log: DataFrame, commits: DataFrame, group: str, mode: str,
         return df
     scoped = scope(log)
     b = known_bounds(scoped, None if ends is None else scope(ends))
-    cur = commits.filter(F.col("group") == group).select(
-        *TP, F.col("offset").alias("current_offset"))
-    plan = b.join(cur, TP, "left")
-    start, end = F.col("start_offset"), F.col("end_offset")
-    if mode == "to-offset":
-        target = F.least(F.greatest(F.lit(int(arg)), start), end)
-    elif mode == "to-earliest":
-        target = start
-    elif mode == "to-latest":
-        target = end
-    else:
-        ms = int(arg) if mode == "to-timestamp" else epoch_ms_of(str(arg))
-        firsts = first_at_or_after(scoped, ms).withColumnRenamed("start_offset", "_first")
-        plan = plan.join(firsts, TP, "left")
-        target = F.coalesce(F.col("_first"), end)
-    return plan.select(F.lit(group).alias("group"), *TP, "current_offset",
-                       target.cast("long").alias("target_offset"))
+    firsts = None if at is None else first_at_or_after(scoped, at)
+    return planned(b, firsts, commits, group, mode, arg)
 
 
 # --- O5 ---------------------------------------------------------------------

@@ -20,12 +20,14 @@ ERROR = "error"
 
 @dataclass(frozen=True)
 class RecordSchema:
-    """A named record type. ``required`` fields have no default; the others
-    default to null (the ``["null", "string"]`` union with ``default: null``)."""
+    """A named record type. ``required`` fields have no default; the others have
+    the one in ``defaults``, or null (the ``["null", "string"]`` union with
+    ``default: null``)."""
 
     name: str
     fields: tuple[tuple[str, T.DataType], ...]
     required: tuple[str, ...]
+    defaults: tuple[tuple[str, object], ...] = ()
 
     @property
     def struct(self) -> T.StructType:
@@ -57,6 +59,17 @@ FULLNAME_OPTIONAL = _str("fullName", "title", required=("title",),
                          name="PersonFullNameOptional")
 
 
+# Records whose fields have other types and defaults in other versions.
+_AGE = lambda t, *more: (("name", T.StringType()), ("age", t), *more)
+TYPED_WRITERS = {
+    1: RecordSchema("Person", _AGE(T.IntegerType()), ("name", "age")),
+    2: RecordSchema("Person", _AGE(T.DoubleType(), ("nick", T.StringType())), ("name", "age", "nick")),
+    3: RecordSchema("Person", _AGE(T.StringType()), ("name", "age"))}
+TYPED_READER = RecordSchema("PersonDouble", _AGE(T.DoubleType(), ("nick", T.StringType())), ("name", "age"),
+                            (("nick", "zz"),))
+TYPED_INT = RecordSchema("PersonInt", _AGE(T.IntegerType()), ("name", "age"))
+TYPED_STRING = RecordSchema("PersonString", _AGE(T.StringType()), ("name", "age"))
+
 AVRO_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(),
               "float": T.FloatType(), "double": T.DoubleType(),
               "boolean": T.BooleanType(), "bytes": T.BinaryType()}
@@ -64,14 +77,15 @@ AVRO_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongTy
 
 def schema_from_avro(text: str, name: str | None = None) -> RecordSchema:
     """A record schema from an Avro record definition (JSON text), as the
-    schema registry stores it: a field without a ``default`` is required; a
-    ``["null", T]`` union is a nullable T. Only flat records of primitive
-    fields (what the topics here carry) are accepted."""
+    schema registry stores it: a field without a ``default`` is required, and
+    one with a default that isn't null keeps it; a ``["null", T]`` union is a
+    nullable T. Only flat records of primitive fields (what the topics here
+    carry) are accepted."""
     import json
     spec = json.loads(text)
     if spec.get("type") != "record":
         raise ValueError("not a record schema")
-    fields, required = [], []
+    fields, required, defaults = [], [], []
     for f in spec["fields"]:
         t = f["type"]
         if isinstance(t, dict):                      # annotated primitive
@@ -86,7 +100,25 @@ def schema_from_avro(text: str, name: str | None = None) -> RecordSchema:
         fields.append((f["name"], AVRO_TYPES[t]))
         if "default" not in f:
             required.append(f["name"])
-    return RecordSchema(name or spec.get("name", "record"), tuple(fields), tuple(required))
+        elif f["default"] is not None:
+            # Bytes have their default as a string of code points up to 255.
+            defaults.append((f["name"], f["default"].encode("latin-1") if t == "bytes" else f["default"]))
+    return RecordSchema(name or spec.get("name", "record"), tuple(fields), tuple(required), tuple(defaults))
+
+
+# Which types a reader's type can be read from, beside itself.
+PROMOTIONS = {
+    "int": ("long", "float", "double"), "long": ("float", "double"), "float": ("double",),
+    "string": ("bytes",), "bytes": ("string",),
+}
+_AVRO_NAMES = {t: n for n, t in AVRO_TYPES.items()}
+
+
+def readable_as(writer: T.DataType, reader: T.DataType) -> bool:
+    """Whether a field written as one type can be read as another: the same
+    type, or a promotion to a wider number, or between strings and bytes."""
+    w, r = _AVRO_NAMES.get(writer), _AVRO_NAMES.get(reader)
+    return writer == reader or r in PROMOTIONS.get(w, ())
 
 
 def _first_error(*checks: tuple[Column, str]) -> Column:
@@ -225,32 +257,54 @@ def read_with_schema(df: DataFrame, version_col: str,
     """Resolve a mixed-version topic to one reader schema in a single pass.
 
     Per record the writer schema is chosen by ``version_col``. A reader field
-    the writer has is read; one the writer lacks is null when the reader gives
-    it a default, else the record is rejected; writer fields the reader does
-    not know are dropped. JSON parsing does not depend on the writer, so the
-    payload is parsed once against the union of all fields."""
-    union: dict[str, T.DataType] = {}
+    the writer has is read, promoted to the reader's type; if that is no
+    promotion (``readable_as``), the record is rejected. One the writer lacks
+    has the reader's default, or the record is rejected if it has none; writer
+    fields the reader does not know are dropped. JSON parsing does not depend on
+    the writer, so the payload is parsed once against the union of all fields
+    (as text where writers disagree on a field's type)."""
+    kinds: dict[str, set[T.DataType]] = {}
     for w in writers.values():
         for n, t in w.fields:
-            union.setdefault(n, t)
+            kinds.setdefault(n, set()).add(t)
     for n, t in reader.fields:
-        union.setdefault(n, t)
-    all_fields = T.StructType([T.StructField(n, t) for n, t in union.items()])
+        kinds.setdefault(n, {t})
+    # Bytes are written as text, like strings.
+    text_like = {T.StringType(), T.BinaryType()}
+    parsed = {n: next(iter(ts)) if len(ts) == 1 and not ts & text_like else T.StringType()
+              for n, ts in kinds.items()}
+    all_fields = T.StructType([T.StructField(n, t) for n, t in parsed.items()])
     dec = decode_json(df, all_fields, col=payload, prefix="_w_")
     ver = F.col(version_col)
     known = ver.isin(list(writers))
-    cols = []
-    for name, _ in reader.fields:
-        have = [v for v, w in writers.items() if name in w.names]
-        cols.append(F.when(ver.isin(have) if have else F.lit(False), F.col("_w_" + name))
-                    .alias(name))
+    defaults = dict(reader.defaults)
+    cols, wrong = [], []
+    for name, kind in reader.fields:
+        value = F.lit(None).cast(kind)
+        for v, w in writers.items():
+            own = dict(w.fields).get(name)
+            if own is None:
+                read = F.lit(defaults.get(name)).cast(kind)
+            elif readable_as(own, kind):
+                # Read as the writer's type first, then as the reader's.
+                read = F.col("_w_" + name).try_cast(own).cast(kind)
+                if own not in text_like:
+                    wrong.append(((ver == v) & F.col("_w_" + name).isNotNull()
+                                  & F.col("_w_" + name).try_cast(own).isNull(),
+                                  f"not a {_AVRO_NAMES.get(own, own.simpleString())}: {name}"))
+            else:
+                wrong.append((ver == v, f"cannot read {_AVRO_NAMES.get(own, own.simpleString())} as "
+                                        f"{_AVRO_NAMES.get(kind, kind.simpleString())}: {name}"))
+                continue
+            value = F.when(ver == v, read).otherwise(value)
+        cols.append(value.alias(name))
     lacking_required = [
         (ver.isin([v for v, w in writers.items() if f not in w.names]),
          f"writer schema lacks required field: {f}")
         for f in reader.required
         if any(f not in w.names for w in writers.values())
     ]
-    err = _first_error((~known | ver.isNull(), "unknown writer schema"), *lacking_required)
+    err = _first_error((~known | ver.isNull(), "unknown writer schema"), *lacking_required, *wrong)
     keep = [c for c in df.columns if c not in reader.names]
     out = dec.select(*keep, *cols, F.col(ERROR).alias("_rs_prev"), err.alias("_rs_err"))
     out = out.withColumn(ERROR, F.coalesce("_rs_prev", "_rs_err")).drop("_rs_prev", "_rs_err")
@@ -288,3 +342,48 @@ def compat_audit(df: DataFrame, candidates: list[RecordSchema],
         F.coalesce(F.array_join(missing, ","), F.lit("")).alias("missing_required"),
         (F.col("_keys").isNotNull() & (F.size(missing) == 0)).alias("compatible"),
     )
+
+
+# Which kinds of JSON values a field of a type can be read from.
+_JSON_KINDS = {"string": ("string",), "bytes": ("string",), "int": ("integer",), "long": ("integer",),
+               "float": ("integer", "number"), "double": ("integer", "number"), "boolean": ("boolean",)}
+
+
+def json_kinds(text: Column) -> Column:
+    """The kind of each member of a JSON object: string, integer, number,
+    boolean, null, object or array (null: not a JSON object)."""
+    def kind(_: Column, v: Column) -> Column:
+        t = F.schema_of_variant(v)
+        return (F.when(t == "STRING", "string").when(t == "BIGINT", "integer").when(t == "BOOLEAN", "boolean")
+                .when(t == "VOID", "null").when(t.startswith("ARRAY"), "array")
+                .when(t.startswith("OBJECT"), "object").otherwise("number"))
+    return F.transform_values(F.from_json(text, "map<string,variant>"), kind)
+
+
+def typed_audit(df: DataFrame, candidates: list[RecordSchema], col: str = "payload") -> DataFrame:
+    """``compat_audit`` with field types: a shape is the members of the JSON
+    objects with their kinds, and a candidate reads it if it finds every
+    required field, and each of its fields that is there is of a kind it can be
+    read from (null: only fields that aren't required)."""
+    kinds = json_kinds(utf8_or_null(col))
+    shape = F.array_sort(F.transform(F.map_entries(kinds), lambda e: F.concat(e["key"], F.lit(":"), e["value"])))
+    shapes = df.select(shape.alias("_shape")).groupBy("_shape").agg(F.count(F.lit(1)).alias("records"))
+
+    def wanted(c: RecordSchema) -> Column:
+        return F.struct(F.lit(c.name).alias("name"), F.array(*[
+            F.struct(F.lit(n).alias("n"), F.lit(n in c.required).alias("must"), F.array(*[
+                F.lit(f"{n}:{k}") for k in (*_JSON_KINDS[_AVRO_NAMES[t]], *(() if n in c.required else ("null",)))
+            ]).alias("fits")) for n, t in c.fields]).alias("fields"))
+    per = shapes.select("_shape", "records", F.explode(F.array(*map(wanted, candidates))).alias("_c"))
+    names = F.transform("_shape", lambda m: F.regexp_replace(m, ":[a-z]+$", ""))
+    missing = F.transform(F.filter("_c.fields", lambda f: f["must"] & ~F.array_contains(names, f["n"])),
+                          lambda f: f["n"])
+    unreadable = F.transform(F.filter("_c.fields", lambda f: F.array_contains(names, f["n"])
+                                      & ~F.arrays_overlap(f["fits"], F.col("_shape"))), lambda f: f["n"])
+    return per.select(
+        F.col("_c.name").alias("candidate"),
+        F.coalesce(F.array_join("_shape", ","), F.lit("<unparseable>")).alias("shape"), "records",
+        F.coalesce(F.array_join(missing, ","), F.lit("")).alias("missing_required"),
+        F.coalesce(F.array_join(unreadable, ","), F.lit("")).alias("unreadable"),
+        F.coalesce((F.size(missing) == 0) & (F.size(unreadable) == 0) & F.col("_shape").isNotNull(),
+                   F.lit(False)).alias("compatible"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import message_key
+from ..committed import CommittedLog
 from ..log import LOG_COLUMNS, TP, bounds, dense_position, with_offsets
 from ..operators.serde import frame
 from ..session import checkpoint_dir
@@ -168,6 +169,59 @@ def people_mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_offsets(s, ["c_custkey"]).select(*LOG_COLUMNS)
 
 
+PRODUCERS = 5
+
+
+def sequenced_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as numbered sends of five producers (user_id % 5) to the
+    partitions of topic sends (user_id % 3): a producer numbers its sends per
+    partition in event_id order; those of event_id % 97 = 0 never arrive, those
+    of event_id % 11 = 0 arrive twice, and arrival is up to 12 ids late."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type").withColumns({
+        "producer": F.concat(F.lit("p"), (F.col("user_id") % PRODUCERS).cast("string")),
+        "topic": F.lit("sends"), "partition": (F.col("user_id") % PARTITIONS).cast("int")})
+    numbered = dense_position(ev, ["producer", "partition"], ["event_id"], "sequence")
+    sent = numbered.filter("event_id % 97 <> 0").withColumn("copy", F.explode(F.when(
+        F.col("event_id") % 11 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    arrival = F.col("event_id") + F.col("event_id") * 7 % 13 + F.col("copy") * 20
+    return with_offsets(sent.withColumn("arrival", arrival), ["arrival", "event_id", "copy"])
+
+
+@written("people.typed")
+def people_typed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """people.typed: wire-framed values with fields whose types differ between
+    writers: by c_custkey % 3, writer 1 (schema id 1) has age as a whole number,
+    writer 2 age as a fraction and a nickname, writer 3 age as a string."""
+    s = _people_staged(spark, sf_dir, "people.typed")
+    name, age = F.col("c_name").alias("name"), (F.col("c_custkey") % 90)
+    whole = frame(1, _json(name, age.cast("int").alias("age")))
+    fraction = frame(2, _json(name, (age + 0.5).cast("double").alias("age"), F.col("c_mktsegment").alias("nick")))
+    text = frame(3, _json(name, age.cast("string").alias("age")))
+    kind = F.col("c_custkey") % 3
+    s = s.withColumn("value", F.when(kind == 0, whole).when(kind == 1, fraction).otherwise(text))
+    return with_offsets(s, ["c_custkey"]).select(*LOG_COLUMNS)
+
+
+_COMMITTED: dict[tuple[str, str], str] = {}
+APPENDS = 4
+
+
+def events_committed(spark: SparkSession, sf_dir: str) -> CommittedLog:
+    """The events log as a committed log of four appends, each the next quarter
+    of every partition's offsets; written once per session and table folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _COMMITTED:
+        log = events_log(spark, sf_dir)
+        path = f"{checkpoint_dir(spark).rstrip('/')}/fixtures-{uuid.uuid4().hex}"
+        ends = bounds(log).select(*TP, F.col("end_offset").alias("_end"))
+        quarter = F.floor(F.col("offset") * APPENDS / F.col("_end"))
+        dealt = log.join(F.broadcast(ends), TP).withColumn("_q", quarter)     # one row a partition
+        for k in range(APPENDS):
+            CommittedLog(spark, path).append(dealt.filter(F.col("_q") == k))
+        _COMMITTED[key] = path
+    return CommittedLog(spark, _COMMITTED[key])
+
+
 def commits_at(log: DataFrame, group: str, tenths: int) -> DataFrame:
     """Commits of ``group`` at floor(tenths/10 * end) of every partition
     (integer arithmetic, so every engine agrees)."""

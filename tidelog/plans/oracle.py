@@ -158,6 +158,18 @@ dirty_log AS (
 DIRTY_ERROR = ("CASE WHEN kind IN (1, 2) THEN 'invalid json' WHEN kind = 3 THEN 'invalid utf-8' "
                "WHEN kind = 5 THEN 'invalid utf-8 in key' END")
 
+SENDS = """numbered AS (
+  SELECT event_id, 'p' || (user_id % 5) AS producer, CAST(user_id % 3 AS INTEGER) AS "partition",
+         CAST(row_number() OVER (PARTITION BY user_id % 5, user_id % 3 ORDER BY event_id) - 1 AS BIGINT) AS sequence
+  FROM events),
+copies AS (
+  SELECT *, unnest(CASE WHEN event_id % 11 = 0 THEN [0, 1] ELSE [0] END) AS "copy"
+  FROM numbered WHERE event_id % 97 <> 0),
+timed AS (SELECT *, event_id + event_id * 7 % 13 + "copy" * 20 AS arrival FROM copies),
+sends AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY "partition" ORDER BY arrival, event_id, "copy") - 1 AS BIGINT) AS "offset"
+  FROM timed)"""
+
 VIEW = 'topic, "partition", "offset", key, "timestamp"'
 PEOPLE_JSON = "CAST(to_json({'id': id, 'name': name, 'title': title}) AS VARCHAR)"
 
@@ -530,7 +542,89 @@ FROM rows""")
         _with(PEOPLE_MIXED_LOG)
         + 'SELECT \'people.grp\' AS "group", topic, "partition", max("offset") + 1 AS "offset" '
           'FROM people_mixed_log GROUP BY topic, "partition"')
+    sql["read_from_timestamp_indexed"] = sql["read_from_timestamp"]
+    sql["plan_reset_indexed"] = sql["plan_reset"]
+    sql["compact_incremental"] = sql["compact"]
+    sends = _with(SENDS, """arrived AS (
+  SELECT *, row_number() OVER (PARTITION BY producer, "partition", sequence ORDER BY "offset") AS nth,
+         CASE WHEN arrival < %d THEN 1 ELSE 2 END AS run FROM sends),
+firsts AS (SELECT * FROM arrived WHERE nth = 1)""" % Q.SENT_UPTO)
+    sql["dedupe_by_sequence"] = sends + """SELECT producer, "partition", sequence, "offset", event_id, run,
+  coalesce(sequence < max(sequence) OVER (PARTITION BY producer, "partition", run ORDER BY "offset"
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS late FROM firsts"""
+    sql["sequence_gaps"] = sends + """SELECT producer, "partition", sequence + 1 AS first_missing, following - 1 AS last_missing
+FROM (SELECT *, lead(sequence) OVER (PARTITION BY producer, "partition" ORDER BY sequence) AS following FROM firsts)
+WHERE following > sequence + 1"""
+    start = 'starts AS (SELECT "partition", (e * 3) // 10 AS s, e FROM bnd)'
+    sql["commit_prefix"] = _with(EVENTS_LOG, _bounds("events_log"), start) + f'''
+SELECT 'g0' AS "group", 'events' AS topic, s."partition",
+       CAST(coalesce(min(l."offset"), any_value(s.e)) AS BIGINT) AS "offset"
+FROM starts s LEFT JOIN events_log l ON l."partition" = s."partition" AND l."offset" >= s.s
+  AND l.event_type = 'error' AND l.value > {Q.FAILS_ABOVE} GROUP BY s."partition" '''
+    sql["commit_prefix_compacted"] = _with(EVENTS_LOG, _bounds("events_log"), start, '''compacted AS (
+  SELECT "partition", "offset" FROM (
+    SELECT *, row_number() OVER (PARTITION BY "partition", key ORDER BY "offset" DESC) AS rn FROM events_log)
+  WHERE rn = 1)''') + '''
+SELECT 'g0' AS "group", 'events' AS topic, s."partition", CAST(coalesce(least(
+    min(c."offset") FILTER (c."offset" % 50 = 49), max(c."offset") FILTER (c."offset" % 50 <> 49) + 1),
+    any_value(s.s)) AS BIGINT) AS "offset"
+FROM starts s LEFT JOIN compacted c ON c."partition" = s."partition" AND c."offset" >= s.s
+GROUP BY s."partition" '''
+    typed = _people_select("people.typed")
+    sql["read_with_defaults"] = f"""SELECT "partition", "offset", 1 + c_custkey % 3 AS schema_id, name,
+  CASE c_custkey % 3 WHEN 0 THEN CAST(c_custkey % 90 AS DOUBLE) WHEN 1 THEN c_custkey % 90 + 0.5 END AS age,
+  CASE WHEN c_custkey % 3 = 1 THEN title ELSE 'zz' END AS nick,
+  CASE WHEN c_custkey % 3 = 2 THEN 'cannot read string as double: age' END AS error FROM ({typed})"""
+    sql["compat_audit_types"] = f"""WITH kinds AS (
+  SELECT CASE c_custkey % 3 WHEN 0 THEN 'integer' WHEN 1 THEN 'number' ELSE 'string' END AS kind, count(*) AS records
+  FROM ({typed}) GROUP BY 1),
+reads AS (SELECT * FROM (VALUES ('PersonDouble', ['integer', 'number']), ('PersonInt', ['integer']),
+                                ('PersonString', ['string'])) t(candidate, fits))
+SELECT candidate, 'age:' || kind || ',name:string' || CASE kind WHEN 'number' THEN ',nick:string' ELSE '' END AS shape,
+  records, '' AS missing_required, CASE WHEN list_contains(fits, kind) THEN '' ELSE 'age' END AS unreadable,
+  list_contains(fits, kind) AS compatible FROM kinds CROSS JOIN reads"""
+    sql["with_uuid_checked"] = ("SELECT count(*) AS ids, count(*) AS distinct_ids, count(*) AS well_formed "
+                                "FROM customer")
+    sql["write_topic_keyless"] = ("SELECT count(*) AS records, CAST(3 AS BIGINT) AS partitions, count(*) AS positions, "
+                                  "count(*) AS placed, CAST(0 AS BIGINT) AS keys, CAST(0 AS BIGINT) AS misplaced "
+                                  "FROM conversations")
+    sql["write_topic_string_order"] = f"""WITH placed AS (
+  SELECT c_custkey, CASE WHEN c_custkey % 10 <> 0 THEN c_mktsegment END AS segment, {_md5_part("c_name")} AS "partition"
+  FROM customer)
+SELECT c_custkey, "partition", CAST(row_number() OVER (
+  PARTITION BY "partition" ORDER BY segment NULLS FIRST, c_custkey) - 1 AS BIGINT) AS "offset" FROM placed"""
+    sql["running_count_null_time"] = (
+        _with(GREETINGS_LOG)
+        + 'SELECT "partition", "offset", greeter, count(*) OVER (PARTITION BY greeter ORDER BY '
+          'CASE WHEN "offset" % 7 <> 3 THEN "timestamp" END NULLS FIRST, "partition", "offset" '
+          'ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS "count" FROM greetings_log')
+    changes = """changes AS (
+  SELECT row_number() OVER (ORDER BY "timestamp", "partition", "offset") AS version, greeter,
+         row_number() OVER (PARTITION BY greeter ORDER BY "timestamp", "partition", "offset") AS "count"
+  FROM greetings_log)"""
+    sql["table_changes"] = _with(GREETINGS_LOG, changes) + 'SELECT version, greeter, "count" FROM changes'
+    versions = ", ".join(f"({v})" for v in Q.TABLE_VERSIONS)
+    sql["table_versions"] = (
+        _with(GREETINGS_LOG, changes)
+        + f'SELECT greeter, max("count") AS "count", CAST(v AS BIGINT) AS version FROM changes '
+          f'JOIN (VALUES {versions}) t(v) ON version <= v GROUP BY greeter, v')
+    sql["table_snapshots"] = _with(GREETINGS_LOG) + f'''
+SELECT m."at", greeter, count(*) AS "count" FROM greetings_log
+JOIN (SELECT {EPOCH} + to_seconds(300 * range) AS "at" FROM range(10)) m ON "timestamp" <= m."at"
+GROUP BY m."at", greeter'''
     # The live forms must give the batch results.
+    part = '(CAST(epoch("timestamp") AS BIGINT) - lo) // step'
+    spans = '''spans AS (
+  SELECT CAST(epoch(min("timestamp")) AS BIGINT) AS lo,
+         CAST(epoch(max("timestamp")) - epoch(min("timestamp")) AS BIGINT) // 3 + 1 AS step FROM greetings_log)'''
+    sql["live_read_from_latest"] = (_with(GREETINGS_LOG, spans)
+                                    + f"SELECT {VIEW} FROM greetings_log, spans WHERE {part} >= 1")
+    sql["live_incremental_paused"] = _with(GREETINGS_LOG, spans) + f'''
+SELECT "partition", "offset", CAST({part} AS INTEGER) AS run, mode
+FROM greetings_log, spans, (VALUES ('paused 1'), ('paused 2')) t(mode)
+UNION ALL SELECT "partition", "offset", -1, 'enabled' FROM greetings_log'''
+    sql["live_publish_after_retention"] = _published() + f'''SELECT {VIEW} FROM published
+WHERE epoch("timestamp") - {Q.REPUBLISH_EPOCH_S} >= (SELECT ceil((max(seq) + 1) / 3) FROM gen)'''
     sql["live_count_greetings"] = sql["count_greetings"]
     sql["live_running_count"] = sql["running_count"]
     sql["live_running_count_split"] = sql["running_count"]

@@ -5,21 +5,27 @@ oracle of each is in ``tidelog.plans.oracle``; column names match."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import message_key, title_case
-from ..log import record_view, wall_clock
+from ..log import TP, record_view, wall_clock
+from ..operators import compaction as IC
 from ..operators import ends as N
+from ..operators import history as H
 from ..operators import maintenance as M
 from ..operators import positions as O
+from ..operators import sequences as SQ
 from ..operators import serde as C
 from ..operators import state as A
+from ..session import new_folder, stored
 from ..sinks import writes as K
 from ..sources import generators as G
 from ..sources import topics as S
 from . import fixtures as fx
+from . import live_queries as live
 from .fixtures import EVENT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +39,13 @@ RETENTION_MS = 360000
 RETENTION_NOW = "2024-01-15 00:00:00"
 
 RESET_DATETIME = "2024-01-20T00:00:00Z"
-REPUBLISH_EPOCH_S = 1706745600              # 2024-02-01T00:00:00Z
+REPUBLISH_EPOCH_S = live.REPUBLISH_EPOCH_S
+RESETS = [("to-offset", 5, [0]), ("to-earliest", None, None), ("to-latest", None, None),
+          ("to-timestamp", SINCE_MS, None), ("to-datetime", RESET_DATETIME, None)]
+SENT_UPTO = 3000                            # arrivals of the first of two runs
+FAILS_ABOVE = 230.0                         # errors whose processing fails
+HISTORY_EVERY = 64
+TABLE_VERSIONS = [1, 64, 65, 200, 300]
 OFFSETS_SPEC = {"events": {0: 1000, 1: S.LATEST}, "greetings": {0: S.EARLIEST, 2: 100}}
 GREETING_LINE = "Greeting is '%s' from '%s'"
 RAW_GREETING_LINE = "Greeting is '%s'"
@@ -460,10 +472,8 @@ def list_groups(spark, d):
 
 def _plans(spark, d):
     log, commits = _groups(spark, d)
-    modes = [("to-offset", 5, [0]), ("to-earliest", None, None), ("to-latest", None, None),
-             ("to-timestamp", SINCE_MS, None), ("to-datetime", RESET_DATETIME, None)]
     out = None
-    for mode, arg, parts in modes:
+    for mode, arg, parts in RESETS:
         p = O.plan_reset(log, commits, "g0", mode, arg, "events", parts).withColumn(
             "mode", F.lit(mode))
         out = p if out is None else out.unionByName(p)
@@ -533,6 +543,167 @@ def consume_commits(spark, d):
     return O.advance(commits, rows, "people.grp")
 
 
+# --- committed logs, sequences, prefixes, histories ------------------------------
+
+def read_from_timestamp_indexed(spark, d):
+    """S4 by the index of a committed log: starts without a scan of records, and
+    only the files that hold what is read."""
+    return record_view(fx.events_committed(spark, d).read_from_timestamp(SINCE_MS, "events"))
+
+
+def plan_reset_indexed(spark, d):
+    """O4 by the kept ends and the index, in all five modes."""
+    log, commits = _groups(spark, d)
+    committed = fx.events_committed(spark, d)
+    out = None
+    for mode, arg, parts in RESETS:
+        p = committed.plan_reset(commits, "g0", mode, arg, "events", parts).withColumn("mode", F.lit(mode))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+def compact_incremental(spark, d):
+    """M2 step by step: a head cleaned up to 40 %, then 70 %, then all of a
+    committed log's events, rewriting the buckets that each tail touches."""
+    log = fx.events_committed(spark, d)
+    path = new_folder(spark, "compacted")
+    for tenths in (4, 7, 10):
+        upto = fx.commits_at(log.records(), "upto", tenths).select(*TP, F.col("offset").alias("_upto"))
+        IC.compact_step(spark, path, log.records().join(F.broadcast(upto), TP).filter(    # one row a partition
+            F.col("offset") < F.col("_upto")).drop("_upto"))
+    out = C.decode_json(IC.compacted(spark, path), EVENT)
+    return out.select("partition", F.decode("key", "UTF-8").alias("key"), "offset", "event_type")
+
+
+def _sends_seen(spark, d):
+    sends = stored(fx.sequenced_records(spark, d))
+    first = sends.filter(F.col("arrival") < SENT_UPTO)
+    return sends, first, SQ.received(first)
+
+
+def dedupe_by_sequence(spark, d):
+    """M5 by producer sequence in two runs: the second is de-duplicated against
+    the ranges that the first received."""
+    sends, first, seen = _sends_seen(spark, d)
+    rest = sends.filter(F.col("arrival") >= SENT_UPTO)
+    both = SQ.accepted(first).withColumn("run", F.lit(1)).unionByName(
+        SQ.accepted(rest, seen).withColumn("run", F.lit(2)))
+    return both.select("producer", "partition", "sequence", "offset", "event_id", "late", "run")
+
+
+def sequence_gaps(spark, d):
+    """M5: the sequence numbers that no producer's partition received, from the
+    ranges of two runs put together."""
+    sends, _, seen = _sends_seen(spark, d)
+    rest = SQ.received(sends.filter(F.col("arrival") >= SENT_UPTO))
+    return SQ.missing(SQ.merged(seen, rest)).select("producer", "partition", "first_missing", "last_missing")
+
+
+def commit_prefix(spark, d):
+    """O1 with failures: processing failed on some errors; the group commits the
+    gap-free prefix after its positions."""
+    log = _events(spark, d)
+    starts = fx.commits_at(log, "g0", 3).select("topic", "partition", F.col("offset").alias("start_offset"))
+    processed = K.accepted(C.decode_json(log, EVENT)).filter(
+        ~((F.col("event_type") == "error") & (F.col("value") > FAILS_ABOVE)))
+    return O.commit_prefix(processed, starts, "g0")
+
+
+def commit_prefix_compacted(spark, d):
+    """O1 over a compacted log: offsets that compaction removed are no gaps."""
+    log = M.compact(_events(spark, d))
+    starts = fx.commits_at(_events(spark, d), "g0", 3).select(
+        "topic", "partition", F.col("offset").alias("start_offset"))
+    processed = log.filter(F.col("offset") % 50 != 49)
+    return O.commit_prefix(processed, starts, "g0", log)
+
+
+def _typed_people(spark, d):
+    return C.unframe(fx.people_typed_log(spark, d))
+
+
+def read_with_defaults(spark, d):
+    """C5 with types and defaults: ages written as int, double or string are read
+    as double (a string can't be), a nickname that a writer lacks is "zz"."""
+    out = C.read_with_schema(_typed_people(spark, d), "schema_id", C.TYPED_WRITERS, C.TYPED_READER)
+    return out.select("partition", "offset", "schema_id", "name", "age", "nick", C.ERROR)
+
+
+def compat_audit_types(spark, d):
+    """C6 with field types: candidates that read age as int, double or string."""
+    return C.typed_audit(_typed_people(spark, d), [C.TYPED_READER, C.TYPED_INT, C.TYPED_STRING])
+
+
+def with_uuid_checked(spark, d):
+    """P3 production form: how many random ids there are, how many are distinct,
+    and how many are well-formed version 4 ids."""
+    ids = with_uuid(spark, d)
+    form = F.col("id").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+    return ids.agg(F.count("id").alias("ids"), F.countDistinct("id").alias("distinct_ids"),
+                   F.count_if(form).alias("well_formed"))
+
+
+def write_topic_keyless(spark, d):
+    """K1 without keys and with the default placement: greetings published as
+    plain strings. Placement follows the value; its offsets are dense in
+    (conv_id, turn) order in every partition."""
+    cv = fx.table(spark, d, "conversations")
+    out = K.write_topic(cv, "greetings.plain", F.lit(None), F.encode("text", "UTF-8"), ["conv_id", "turn"],
+                        timestamp=F.timestamp_seconds(F.lit(REPUBLISH_EPOCH_S)), keep=["conv_id", "turn"])
+    ordered = Window.partitionBy("value").orderBy("conv_id", "turn")
+    by_value = out.withColumn("_before", F.lag(F.struct("partition", "offset")).over(ordered))
+    # What doesn't depend on the hash: sizes, and equal values in one place, in order.
+    return by_value.agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("partition").alias("partitions"),
+        F.count_distinct("partition", "offset").alias("positions"),
+        F.count_if(F.col("partition").isin(0, 1, 2)).alias("placed"), F.count("key").alias("keys"),
+        F.count_if((F.col("_before.partition") != F.col("partition"))
+                   | (F.col("_before.offset") >= F.col("offset"))).alias("misplaced"))
+
+
+def write_topic_string_order(spark, d):
+    """K1 in the order of a string column with ties, nulls first: people by their
+    segment, and within one by their id."""
+    cu = fx.table(spark, d, "customer").withColumn("segment", F.when(F.col("c_custkey") % 10 != 0, F.col("c_mktsegment")))
+    out = K.write_topic(cu, "people.sorted", "c_name", "c_mktsegment", ["segment", "c_custkey"], method="md5",
+                        timestamp=F.timestamp_seconds(F.lit(REPUBLISH_EPOCH_S)), keep=["c_custkey"])
+    return out.select("c_custkey", "partition", "offset")
+
+
+def running_count_null_time(spark, d):
+    """A3 where some events have no time: they come first, in position order."""
+    it = _greeting_items(spark, d).withColumn(
+        "timestamp", F.when(F.col("offset") % 7 != 3, F.col("timestamp")))
+    out = A.running_count(it, "greeter", ["timestamp", "partition", "offset"])
+    return out.select("partition", "offset", "greeter", "count")
+
+
+def table_changes(spark, d):
+    """K6 after each update: the change log of the greetings table."""
+    out = H.table_changes(_greeting_items(spark, d).select("greeter", "timestamp", "partition", "offset"),
+                          "greeter", ["timestamp", "partition", "offset"])
+    return out.select("version", "greeter", "count")
+
+
+def table_versions(spark, d):
+    """K6: the whole table after given updates, from the stored versions."""
+    items = _greeting_items(spark, d).select("greeter", "timestamp", "partition", "offset")
+    path = new_folder(spark, "history")
+    H.save_history(items, "greeter", ["timestamp", "partition", "offset"], path, HISTORY_EVERY)
+    out = None
+    for v in TABLE_VERSIONS:
+        t = H.table_at(spark, path, "greeter", v, HISTORY_EVERY).withColumn("version", F.lit(v).cast("long"))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+def table_snapshots(spark, d):
+    """K6: the whole table at ten instants, from one scan of the greetings."""
+    out = H.table_snapshots(_greeting_items(spark, d), "greeter", [
+        datetime.fromtimestamp(fx.EPOCH_S + 300 * k, timezone.utc) for k in range(10)])
+    return out.withColumn("at", wall_clock("at"))
+
+
 QUERIES: dict[str, Query] = {
     "count_greetings": count_greetings,
     "read_from_earliest": read_from_earliest,
@@ -595,15 +766,29 @@ QUERIES: dict[str, Query] = {
     "incremental_bookmarks": incremental_bookmarks,
     "consume_people": consume_people,
     "consume_commits": consume_commits,
+    "read_from_timestamp_indexed": read_from_timestamp_indexed,
+    "plan_reset_indexed": plan_reset_indexed,
+    "compact_incremental": compact_incremental,
+    "dedupe_by_sequence": dedupe_by_sequence,
+    "sequence_gaps": sequence_gaps,
+    "commit_prefix": commit_prefix,
+    "commit_prefix_compacted": commit_prefix_compacted,
+    "read_with_defaults": read_with_defaults,
+    "compat_audit_types": compat_audit_types,
+    "with_uuid_checked": with_uuid_checked,
+    "write_topic_keyless": write_topic_keyless,
+    "write_topic_string_order": write_topic_string_order,
+    "running_count_null_time": running_count_null_time,
+    "table_changes": table_changes,
+    "table_versions": table_versions,
+    "table_snapshots": table_snapshots,
 }
 
 
 def _live() -> dict[str, Query]:
-    from .live_queries import (live_count_greetings, live_running_count,
-                               live_running_count_split)
-    return {"live_count_greetings": live_count_greetings,
-            "live_running_count": live_running_count,
-            "live_running_count_split": live_running_count_split}
+    return {f.__name__: f for f in (
+        live.live_count_greetings, live.live_running_count, live.live_running_count_split,
+        live.live_read_from_latest, live.live_incremental_paused, live.live_publish_after_retention)}
 
 
 QUERIES.update(_live())

@@ -60,10 +60,47 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+#: Names of the folders of intermediate tables, which ``sweep`` may delete.
+INTERMEDIATE = ("stored", "ranged", "pipeline")
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder's path under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The table written to the shared checkpoint folder and read again: later
     steps start from files that outlive any executor, and a plan used twice
     is computed once."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sweep(spark: SparkSession, older_than_s: float, parent: str | None = None) -> list[str]:
+    """Delete intermediate tables that were last written more than
+    ``older_than_s`` seconds ago, and return their paths. Frames read them until
+    their last action, so the age must exceed the longest job's. ``parent`` is
+    the folder that ``spark.checkpoint.dir`` names: every session makes its own
+    folder in it, and those of ended sessions are swept too."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(parent or checkpoint_dir(spark))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    limit = jvm.java.lang.System.currentTimeMillis() - int(older_than_s * 1000)
+    gone: list[str] = []
+
+    def walk(folder, deeper: bool) -> None:
+        for f in fs.listStatus(folder):
+            name = f.getPath().getName()
+            if not f.isDirectory():
+                continue
+            if name.split("-")[0] in INTERMEDIATE:
+                if f.getModificationTime() < limit:
+                    fs.delete(f.getPath(), True)
+                    gone.append(f.getPath().toString())
+            elif deeper:
+                walk(f.getPath(), False)
+
+    walk(at, parent is not None)
+    return gone

@@ -20,7 +20,11 @@ EARLIEST, LATEST = -2, -1
 
 def open_log(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet-backed log (laid out by topic and partition folders when
-    written by ``tidelog.sinks.write_topic``)."""
+    written by ``tidelog.sinks.write_topic``), or what is committed of a
+    committed log (``tidelog.committed``)."""
+    from ..committed import CommittedLog, is_committed
+    if is_committed(spark, path):
+        return CommittedLog(spark, path).records()
     return to_log(spark.read.schema(LOG_SCHEMA).parquet(path))
 
 
@@ -126,11 +130,11 @@ def read_keyed_lines(df: DataFrame, col: str = "line", sep: str = "|") -> DataFr
     value may contain more. A line without a separator is an error record."""
     line = F.col(col)
     at = F.locate(sep, line)
+    rest = F.substring(line, at + len(sep), F.char_length(line))
     return df.select(
         "*",
         F.when(at > 0, F.substring(line, F.lit(1), at - 1)).alias("key"),
-        F.when(at > 0, F.expr(f"substring({col}, locate('{sep}', {col}) + {len(sep)})"))
-         .alias("value"),
+        F.when(at > 0, rest).alias("value"),
         F.when(line.isNotNull() & (at == 0), F.lit("no key separator")).alias(ERROR),
     )
 

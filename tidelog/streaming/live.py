@@ -10,7 +10,10 @@ Checkpoints go under the shared folder named by ``spark.checkpoint.dir``
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+import uuid
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +22,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from .. import commits
+from ..committed import CommittedLog
 from ..log import LOG_SCHEMA, TP, bounds, to_log
 from ..operators.positions import from_positions
-from ..session import checkpoint_dir, path_exists
+from ..session import checkpoint_dir, new_folder, path_exists
 from ..sources import generators as G
 
 
@@ -47,59 +52,64 @@ def kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return to_log(spark.readStream.format("kafka").options(**options).load())
 
 
-def _first_start(spark: SparkSession, starts: DataFrame, name: str | None) -> DataFrame:
-    """The start table of a live query. With the query's ``name`` it is written
-    beside its checkpoint when the query first starts and read back at every
-    restart, so records that arrived in between are not passed over."""
-    if name is None:
-        return starts
-    path = f"{checkpoint_location(spark, name)}-start"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        starts.write.mode("overwrite").parquet(path)
-    return spark.read.schema(starts.schema).parquet(path)
-
-
-def stream_from_latest(spark: SparkSession, path: str, topic: str,
-                       name: str | None = None) -> DataFrame:
-    """S2 live: only records that arrive after the query first starts. The end
-    offsets then (one row per partition) are fixed; give the query's ``name``
-    so that a restart keeps them."""
-    ends = bounds(spark.read.schema(LOG_SCHEMA).parquet(path)
-                  .filter(F.col("topic") == topic))
-    starts = _first_start(spark, ends.select(*TP, F.col("end_offset").alias("start_offset")), name)
-    live = log_stream(spark, path).filter(F.col("topic") == topic)
-    return from_positions(live, starts, default="earliest")
-
-
-def stream_from_offsets(spark: SparkSession, path: str,
-                        spec: dict[str, dict[int, int]], name: str | None = None) -> DataFrame:
+@dataclass
+class LiveStart:
+    """A live read that begins at given positions. ``start`` makes it a stream:
+    when the query first starts, its start table (one row per partition) is
+    written into its own checkpoint folder, and every restart reads it there, so
+    records that came while the query was down are never passed over."""
+
+    spark: SparkSession
+    path: str
+    topics: list[str]
+    starts: Callable[[DataFrame], DataFrame]
+
+    def frame(self, checkpoint: str) -> DataFrame:
+        kept = f"{checkpoint}/start"
+        of_topics = F.col("topic").isin(self.topics)
+        if not path_exists(self.spark, f"{kept}/_SUCCESS"):
+            log = self.spark.read.schema(LOG_SCHEMA).parquet(self.path).filter(of_topics)
+            self.starts(log).select(*TP, F.col("start_offset").cast("long")).write.mode(
+                "overwrite").parquet(kept)
+        starts = self.spark.read.schema("topic string, partition int, start_offset long").parquet(kept)
+        return from_positions(log_stream(self.spark, self.path).filter(of_topics), starts, default="earliest")
+
+
+def stream_from_latest(spark: SparkSession, path: str, topic: str) -> LiveStart:
+    """S2 live: only records that arrive after the query first starts."""
+    return LiveStart(spark, path, [topic], lambda log: bounds(log).select(
+        *TP, F.col("end_offset").alias("start_offset")))
+
+
+def stream_from_offsets(spark: SparkSession, path: str, spec: dict[str, dict[int, int]]) -> LiveStart:
     """S3 live: records at or after the given offset per partition
-    (``{topic: {partition: offset}}``, -2 earliest, -1 latest at start);
-    unlisted partitions of a listed topic from their start."""
+    (``{topic: {partition: offset}}``, -2 earliest, -1 latest when the query
+    first starts); unlisted partitions of a listed topic from their start."""
     from ..sources.topics import EARLIEST, LATEST
-    ends = {(r["topic"], r["partition"]): r["end_offset"] for r in
-            bounds(spark.read.schema(LOG_SCHEMA).parquet(path)
-                   .filter(F.col("topic").isin(list(spec)))).collect()}
-    rows = [(t, int(p), 0 if o == EARLIEST else (ends.get((t, int(p)), 0) if o == LATEST else int(o)))
-            for t, parts in spec.items() for p, o in parts.items()]
-    starts = _first_start(spark, spark.createDataFrame(
-        rows, "topic string, partition int, start_offset long"), name)
-    live = log_stream(spark, path).filter(F.col("topic").isin(list(spec)))
-    return from_positions(live, starts, default="earliest")
-
-
-def stream_from_timestamp(spark: SparkSession, path: str, topic: str,
-                          epoch_ms: int, name: str | None = None) -> DataFrame:
+    rows = [(t, int(p), 0 if o == EARLIEST else int(o)) for t, parts in spec.items() for p, o in parts.items()]
+
+    def starts(log: DataFrame) -> DataFrame:
+        asked = spark.createDataFrame(rows, "topic string, partition int, start_offset long")
+        ends = bounds(log).select(*TP, "end_offset")
+        at_end = F.coalesce("end_offset", F.lit(0))
+        return asked.join(ends, TP, "left").withColumn("start_offset", F.when(
+            F.col("start_offset") == LATEST, at_end).otherwise(F.col("start_offset")))
+
+    return LiveStart(spark, path, list(spec), starts)
+
+
+def stream_from_timestamp(spark: SparkSession, path: str, topic: str, epoch_ms: int) -> LiveStart:
     """S4/S5 live: per partition from the first offset whose timestamp is at
-    or after the instant, looked up once at start; a partition with no such
-    record yet starts at its end then."""
+    or after the instant, looked up when the query first starts; a partition
+    with no such record then starts at its end."""
     from ..operators.positions import first_at_or_after
-    log = spark.read.schema(LOG_SCHEMA).parquet(path).filter(F.col("topic") == topic)
-    firsts = first_at_or_after(log, epoch_ms).withColumnRenamed("start_offset", "_first")
-    starts = _first_start(spark, bounds(log).join(firsts, TP, "left").select(
-        *TP, F.coalesce("_first", "end_offset").alias("start_offset")), name)
-    live = log_stream(spark, path).filter(F.col("topic") == topic)
-    return from_positions(live, starts, default="earliest")
+
+    def starts(log: DataFrame) -> DataFrame:
+        firsts = first_at_or_after(log, epoch_ms).withColumnRenamed("start_offset", "_first")
+        return bounds(log).join(firsts, TP, "left").select(
+            *TP, F.coalesce("_first", "end_offset").alias("start_offset"))
+
+    return LiveStart(spark, path, [topic], starts)
 
 
 def rate_ids(spark: SparkSession, per_batch: int, start_epoch_s: int,
@@ -192,12 +202,18 @@ def running_count_stream(events: DataFrame, field: str, order: list[str],
 
 # --- sinks and runs -------------------------------------------------------------
 
-def start(df: DataFrame, name: str, sink: str = "memory", mode: str = "append",
-          path: str | None = None, available_now: bool = False,
-          every: str | None = None) -> StreamingQuery:
-    """Start a live query with its checkpoint under spark.checkpoint.dir."""
-    w = (df.writeStream.queryName(name).outputMode(mode)
-         .option("checkpointLocation", checkpoint_location(df.sparkSession, name)))
+def start(df: DataFrame | LiveStart, name: str, sink: str = "memory", mode: str = "append",
+          path: str | None = None, available_now: bool = False, every: str | None = None,
+          transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Start a live query with its checkpoint under spark.checkpoint.dir. A
+    ``LiveStart`` begins where the query first began; ``transform`` is applied to
+    the stream."""
+    spark = df.spark if isinstance(df, LiveStart) else df.sparkSession
+    checkpoint = checkpoint_location(spark, name)
+    if isinstance(df, LiveStart):
+        df = df.frame(checkpoint)
+    df = transform(df) if transform else df
+    w = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     elif every:
@@ -207,25 +223,50 @@ def start(df: DataFrame, name: str, sink: str = "memory", mode: str = "append",
     return w.format(sink).start()
 
 
+def _copy_of_checkpoint(spark: SparkSession, name: str) -> str:
+    """A copy of a query's checkpoint under a new name (an empty one if it never
+    ran), without the query's identity, so that it is a query of its own."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    copy = f"{name}-{uuid.uuid4().hex}"
+    at = jvm.org.apache.hadoop.fs.Path(checkpoint_location(spark, name))
+    to = jvm.org.apache.hadoop.fs.Path(checkpoint_location(spark, copy))
+    fs = at.getFileSystem(conf)
+    if fs.exists(at):
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, at, fs, to, False, True, conf)
+        for own in ("metadata", ".metadata.crc"):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(to, own), False)
+    return copy
+
+
 def run_incremental_live(spark: SparkSession, path: str, out: str, job: str,
                          mode: str = "enabled", transform=None) -> DataFrame | None:
-    """J1 live: ``enabled`` processes only files not seen by earlier runs
-    (the checkpoint is the bookmark) with ``trigger(availableNow=True)``;
-    ``disabled`` processes the whole log as a batch. ``paused`` needs the
-    bookmark without moving it; use the batch form
-    (``tidelog.operators.positions.run_incremental``) for it."""
+    """J1 live with ``trigger(availableNow=True)``; the job's checkpoint is its
+    bookmark. ``enabled`` appends to ``out`` what earlier enabled runs haven't
+    seen and moves the bookmark; ``disabled`` appends the whole log, as a batch;
+    ``paused`` runs from a copy of the bookmark that is thrown away, so it stays
+    where it is: it returns what the next enabled run would take, and leaves
+    ``out`` alone."""
     from ..operators.positions import bookmark_mode
     mode = bookmark_mode(mode)
     transform = transform or (lambda d: d)
+    name = f"incremental-{job}"
     if mode == "disabled":
         rows = transform(to_log(spark.read.schema(LOG_SCHEMA).parquet(path)))
         rows.write.mode("append").parquet(out)
         return rows
-    if mode != "enabled":
-        raise ValueError(f"live incremental runs support enabled/disabled, not {mode}")
-    q = start(transform(log_stream(spark, path)), f"incremental-{job}", sink="parquet",
-              path=out, available_now=True)
-    q.awaitTermination()
+    stream = transform(log_stream(spark, path))
+    if mode == "paused":
+        taken, copy = new_folder(spark, "stored"), _copy_of_checkpoint(spark, name)
+        q = (stream.writeStream.queryName(copy)
+             .option("checkpointLocation", checkpoint_location(spark, copy))
+             .foreachBatch(lambda batch, k: batch.write.mode("overwrite").parquet(f"{taken}/batch={k}"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        commits.delete(spark, checkpoint_location(spark, copy))
+        if not path_exists(spark, taken):
+            return spark.createDataFrame([], stream.schema)
+        return spark.read.schema(stream.schema).option("basePath", taken).parquet(f"{taken}/batch=*")
+    start(stream, name, sink="parquet", path=out, available_now=True).awaitTermination()
     return None
 
 
@@ -256,54 +297,53 @@ def route_stream(df: DataFrame, name: str, good_path: str, bad_path: str,
 def publish_batch(batch: DataFrame, batch_id: int, topic: str, key: str, value: str,
                   order: list[str], path: str, partitions: int = 3,
                   method: str = "murmur3", receipts_path: str | None = None,
-                  receipt_cols: list[str] | None = None) -> bool:
-    """Append one micro-batch to the Parquet log at ``path`` (offsets
-    continue its current end) and write its receipts; returns False when the
-    batch was already published.
-
-    A batch finished once leaves a marker (``_published/batch=<id>``; folders
-    starting with ``_`` are not read as data), so a batch replayed after a
-    failure is skipped instead of appended again. Only a failure between
-    the append and the marker still re-appends it (new offsets, same
-    records): delivery is at-least-once like a producer with retries, and
-    ``maintenance.dedupe`` by record id removes such copies on read."""
+                  receipt_cols: list[str] | None = None, publisher: str = "publisher",
+                  timestamp: str | None = None) -> bool:
+    """Append one micro-batch to the committed log at ``path`` and write its
+    receipts; returns False when the publisher has committed the batch before.
+
+    Each record is published exactly once: the batch's records, their index and
+    the log's ends after it become visible with one commit that also names the
+    batch (``tidelog.committed``). A batch that failed before its commit left
+    nothing that readers see, and gets the same offsets when it is replayed; one
+    that failed after it is left out. Offsets continue the kept ends, also after
+    retention has removed the last records. Receipts are per batch, and replaced
+    by a replay."""
     from ..sinks.writes import delivery_receipts, write_topic
-    from ..sources.topics import open_log
 
     spark = batch.sparkSession
-    marker = f"{path}/_published/batch={batch_id}"
-    if path_exists(spark, f"{marker}/_SUCCESS"):
+    log = CommittedLog(spark, path)
+    state = log.state()
+    if state.version < 0 and path_exists(spark, f"{path}/topic={topic}"):
+        raise ValueError(f"{path} is a log of plain files, not a committed log")
+    if state.batches.get(publisher, -1) >= batch_id:
         return False
-    # No folder of a topic: no log written yet. A log that can't be read raises.
-    started = path_exists(spark, f"{path}/topic={topic}")
-    existing = open_log(spark, path) if started else None
     keep = list(receipt_cols or [])
     cached = batch.persist()
     try:
-        # end offsets are pinned inside write_topic, so the receipts' second
-        # pass over the batch gives the offsets that were written
-        written = write_topic(cached, topic, key, value, order, existing=existing,
-                              partitions=partitions, method=method, path=path, keep=keep)
+        written = write_topic(cached, topic, key, value, order, partitions=partitions,
+                              method=method, timestamp=timestamp, keep=keep, ends=log.ends(state))
         if receipts_path is not None:
             delivery_receipts(written, keep).write.mode("overwrite").parquet(
                 f"{receipts_path}/batch={batch_id}")
+        return log.append(written, publisher, batch_id)
     finally:
         cached.unpersist()
-    spark.createDataFrame([(str(batch_id),)], "v string").write.mode("overwrite").text(marker)
-    return True
 
 
 def publish_stream(df: DataFrame, name: str, topic: str, key: str, value: str,
                    order: list[str], path: str, partitions: int = 3,
                    method: str = "murmur3", available_now: bool = False,
                    receipts_path: str | None = None,
-                   receipt_cols: list[str] | None = None) -> StreamingQuery:
-    """K1 live: each micro-batch goes through ``publish_batch`` (appended
-    with offsets continuing the log, receipts per ``batch=<id>`` folder,
-    replays skipped)."""
+                   receipt_cols: list[str] | None = None,
+                   timestamp: str | None = None) -> StreamingQuery:
+    """K1 live: each micro-batch goes through ``publish_batch`` (one commit of
+    the log at ``path`` with offsets continuing its ends, receipts per
+    ``batch=<id>`` folder, replays left out). The query's ``name`` is the
+    publisher's."""
     def each(batch: DataFrame, batch_id: int) -> None:
         publish_batch(batch, batch_id, topic, key, value, order, path, partitions, method,
-                      receipts_path, receipt_cols)
+                      receipts_path, receipt_cols, name, timestamp)
 
     w = (df.writeStream.queryName(name)
          .option("checkpointLocation", checkpoint_location(df.sparkSession, name))
@@ -313,6 +353,26 @@ def publish_stream(df: DataFrame, name: str, topic: str, key: str, value: str,
     return w.start()
 
 
+def follow(spark: SparkSession, path: str, name: str, each: Callable[[DataFrame, int], None],
+           available_now: bool = False, commits_per_batch: int = 100) -> StreamingQuery:
+    """Read a committed log as it grows: the stream is of its commits, and
+    ``each`` gets the records that a micro-batch of them appended (retention
+    appends nothing)."""
+    stream = (spark.readStream.schema("value string").option("maxFilesPerTrigger", commits_per_batch)
+              .option("wholetext", True).option("pathGlobFilter", "[0-9]*.json").text(f"{path}/commits"))
+
+    def records(batch: DataFrame, batch_id: int) -> None:
+        names = [a for r in batch.toLocalIterator() if (a := json.loads(r.value)["appended"])]
+        log = CommittedLog(spark, path)
+        each(log.appended(names), batch_id)
+
+    w = (stream.writeStream.queryName(name)
+         .option("checkpointLocation", checkpoint_location(spark, name)).foreachBatch(records))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()
+
+
 def dedupe_stream(df: DataFrame, ids: list[str], time_col: str = "timestamp",
                   delay: str = "10 minutes") -> DataFrame:
     """M5 live: drop repeats of a record id that arrive within ``delay`` of
@@ -331,43 +391,78 @@ def start_ticks(spark: SparkSession, name: str, start_epoch_s: int, path: str,
     return start(stream, name, sink="text", path=f"{path}/interval", every=f"{every_s} seconds")
 
 
+#: Batches after which the totals of running counts are folded into one table.
+FOLD_EVERY = 16
+
+
+class _Totals:
+    """Totals per key before a batch, from a folded table (``base=<batch>``) and
+    what each later batch added (``added=<batch>``). A batch writes a row for
+    each of its own keys only; every ``FOLD_EVERY`` batches the tables are
+    folded, and those that the fold before it had replaced are deleted, so what
+    is stored follows the number of keys. A replayed batch finds the tables that
+    it first read and writes the same ones again."""
+
+    def __init__(self, spark: SparkSession, path: str, fold_every: int):
+        self.spark, self.path, self.fold_every = spark, path, fold_every
+
+    def _folder(self, kind: str, batch_id: int) -> str:
+        return f"{self.path}/{kind}={batch_id}"
+
+    def _base(self, before: int) -> int:
+        """The last batch before this one at which totals were folded, or -1."""
+        return before // self.fold_every * self.fold_every - 1
+
+    def before(self, batch_id: int) -> DataFrame | None:
+        base = self._base(batch_id)
+        paths = [self._folder("base", base)] if base >= 0 else []
+        paths += [self._folder("added", k) for k in range(base + 1, batch_id)]
+        # Every batch writes its rows, so none is missing; a failed read raises.
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def add(self, batch_id: int, added: DataFrame) -> None:
+        added.write.mode("overwrite").parquet(self._folder("added", batch_id))
+        if (batch_id + 1) % self.fold_every:
+            return
+        base = self._base(batch_id)
+        paths = [self._folder("base", base)] if base >= 0 else []
+        paths += [self._folder("added", k) for k in range(base + 1, batch_id + 1)]
+        folded = self.spark.read.parquet(*paths).groupBy("_rc_grp").agg(F.sum("_rc_total").alias("_rc_total"))
+        folded.write.mode("overwrite").parquet(self._folder("base", batch_id))
+        older = self._base(base) if base >= 0 else None
+        if older is not None:
+            gone = [self._folder("base", older)] if older >= 0 else []
+            for path in gone + [self._folder("added", k) for k in range(older + 1, base + 1)]:
+                commits.delete(self.spark, path)
+
+
 def running_count_batches(events: DataFrame, name: str, field: str, order: list[str],
                           out_path: str, totals_path: str, available_now: bool = False,
-                          every: str | None = None, count_name: str = "count"
-                          ) -> StreamingQuery:
+                          every: str | None = None, count_name: str = "count",
+                          fold_every: int = FOLD_EVERY) -> StreamingQuery:
     """A3 live without a task per key: each micro-batch is ranked with
-    ``dense_position`` (a hot key is spread over range buckets, as in the
+    ``dense_position`` (a hot key is spread over range partitions, as in the
     batch form) and offset by the key's total before the batch.
 
-    Totals are a table per batch id (``batch=<id>`` under ``totals_path``),
-    so a replayed batch reads the previous batch's totals and rewrites its
-    own output and totals identically. Cost per batch: one join of the batch
-    with the totals (one row per key seen so far) and one rewrite of them;
-    the state-store form (``running_count_stream``) avoids the rewrite but
-    handles a key's rows of a batch in one task."""
+    Totals are kept as what each batch added, folded every ``fold_every``
+    batches (``_Totals``), so a batch's work follows its own rows, and a batch
+    replayed after a failure rewrites its own output and rows identically.
+    Of the totals only the batch's keys are summed."""
     from ..scan import dense_position
 
     spark = events.sparkSession
     grp = "_rc_grp"
-
-    def totals_of(batch_id: int) -> DataFrame | None:
-        if batch_id <= 0:
-            return None
-        prev = f"{totals_path}/batch={batch_id - 1}"
-        # Every batch writes its totals, so they are missing only where the
-        # totals as a whole start later; totals that can't be read raise.
-        if path_exists(spark, f"{prev}/_SUCCESS"):
-            return spark.read.parquet(prev)
-        if path_exists(spark, prev):
-            raise ValueError(f"totals of batch {batch_id - 1} are incomplete: {prev}")
-        return None
+    totals = _Totals(spark, totals_path, fold_every)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         cached = batch.withColumn(grp, F.struct(field)).persist()
         try:
-            prev = totals_of(batch_id)
+            own = cached.groupBy(grp).agg(F.count(F.lit(1)).alias("_rc_total"))
             ranked = dense_position(cached, [field], order, "_rc_pos")
+            prev = totals.before(batch_id)
             if prev is not None:
+                prev = prev.join(own.select(grp), grp, "left_semi").groupBy(grp).agg(
+                    F.sum("_rc_total").alias("_rc_total"))
                 ranked = ranked.join(prev, grp, "left")
             else:
                 ranked = ranked.withColumn("_rc_total", F.lit(0).cast("long"))
@@ -375,14 +470,7 @@ def running_count_batches(events: DataFrame, name: str, field: str, order: list[
                 count_name, F.coalesce("_rc_total", F.lit(0)) + F.col("_rc_pos") + 1
             ).drop("_rc_pos", "_rc_total", grp)
             out.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-            added = cached.groupBy(grp).agg(F.count(F.lit(1)).alias("_rc_add"))
-            if prev is None:
-                new = added.select(grp, F.col("_rc_add").alias("_rc_total"))
-            else:
-                new = prev.join(added, grp, "full").select(
-                    grp, (F.coalesce("_rc_total", F.lit(0))
-                          + F.coalesce("_rc_add", F.lit(0))).alias("_rc_total"))
-            new.write.mode("overwrite").parquet(f"{totals_path}/batch={batch_id}")
+            totals.add(batch_id, own)
         finally:
             cached.unpersist()
 
