@@ -75,3 +75,55 @@ def test_sketches_merge_and_measure():
     assert np.array_equal(bottomk.from_text(bottomk.to_text(s(a))), s(a))
     copies = np.concatenate([np.full(5000, h[0]), h[:1000]])
     assert np.array_equal(s(copies), s(h[:1000]))
+
+
+def test_ids_of_any_type_and_many_partitions(spark, monkeypatch):
+    """String and date ids follow each other in their own order; the plan of
+    8,000 parts is made in seconds."""
+    import time
+    from pyspark.sql import functions as F
+    docs = sf_docs(spark).select("doc_id", "text")
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    for make in (lambda c: F.concat(F.lit("d'\"é"), c.cast("string")), lambda c: F.date_add(F.lit("2000-01-01"), c.cast("int"))):
+        named = docs.withColumn("doc_id", make(F.col("doc_id")))
+        ids = {r.n: r.doc_id for r in docs.select(make(F.col("doc_id")).alias("n"), "doc_id").collect()}
+        order = sorted(ids)
+        out = {r.doc_id: r for r in bottomk.sketch_pairs(named).collect()}
+        assert len(out) == len(order)
+        for i, n in enumerate(order):
+            t, following = text[ids[n]], text[ids[order[(i + 1) % len(order)]]]
+            half = len(t) // 2
+            assert out[n].edited_sha256 == hashlib.sha256((t[:len(t) - half] + following[:half]).encode()).hexdigest()
+    monkeypatch.setattr(bottomk, "partitions", lambda s: 1000)
+    many = spark.range(60000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"))
+    t = time.time()
+    dealt = bottomk._dealt(many)
+    assert dealt.select("part").distinct().count() > 5000 and time.time() - t < 60
+
+
+def test_a_much_repeated_id_is_cut_by_its_texts(spark):
+    from pyspark.sql import functions as F
+    docs = spark.range(4000).select(F.when(F.col("id") < 3000, F.lit(7)).otherwise(F.col("id")).alias("doc_id"),
+                                    F.concat(F.lit("text number "), F.col("id").cast("string")).alias("text"))
+    sizes = [r["count"] for r in bottomk._dealt(docs).groupBy("part").count().collect()]
+    assert max(sizes) < 300 and bottomk.sketch_pairs(docs).count() == 4000
+
+
+def test_sketches_of_parts_merge_into_those_of_the_whole(spark):
+    from pyspark.sql import functions as F
+    docs = edge_docs(spark, clashing=False)
+    key = F.when(F.col("doc_id") < 40, F.col("source"))
+    parts = bottomk.fingerprints(docs).drop("n_shingles").join(
+        docs.select("doc_id", key.alias("host")).distinct(), "doc_id")
+    got = {r.host: (r.fingerprint, r.n_shingles) for r in bottomk.merged(parts, ["host"]).collect()}
+    rows = docs.filter("doc_id IS NOT NULL").select(key.alias("host"), "text").collect()
+    for host in {r.host for r in rows}:
+        hasher = bottomk.WordHasher()
+        own = [bottomk.sketches([r.text or ""], hasher=hasher)[0] for r in rows if r.host == host]
+        whole = bottomk.sketch_of(np.concatenate(own))
+        assert got[host] == (bottomk.to_text(whole), bottomk.distinct(whole))
+    pairs = spark.createDataFrame([("x", got["a"][0], got["b"][0]), ("y", got["a"][0], got["a"][0])], "n string, a string, b string")
+    out = {r.n: r for r in bottomk.compared(pairs).collect()}
+    a, b = (bottomk.from_text(got[h][0]) for h in "ab")
+    assert out["x"].resemblance == bottomk.resemblance(a, b) and out["x"].a_in_b == bottomk.containment(a, b)
+    assert out["y"].resemblance == out["y"].b_in_a == 1.0 and out["y"].a_shingles == bottomk.distinct(a)

@@ -11,9 +11,15 @@ odd base modulo 2^64, so that all words of a batch are hashed in a few array
 operations; a shingle's hash mixes its words' hashes in order.
 
 ``sketch_pairs`` walks the documents in ascending doc_id: they are dealt by
-fixed cuts of the ids, sorted in each part, and the first document of a part is
-also dealt to the part before it, so each document meets the next one without
-a second copy of the texts being moved.
+cuts of the ids, taken from a sample of them, sorted in each part, and the first
+document of a part is also dealt to the part before it, so each document meets
+the next one without a second copy of the texts being moved. Ids can be of any
+type that has an order and is written in JSON. A much repeated id is cut by its
+texts' hashes, too.
+
+``merged`` puts sketches of parts together by key: tasks merge their own, so a
+key's sketches meet as one row a task; ``compared`` adds resemblance,
+containment and distinct counts to pairs of sketches.
 
 Defined cases: a null text is an empty text; null ids come first; rows that
 repeat an id follow each other by the hash of their text; the single row of a
@@ -25,6 +31,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +46,10 @@ SHINGLE = 5
 _SEED = 6
 #: Parts of the ids for each shuffle partition, so that partitions come out even.
 PARTS = 8
+#: Sampled ids a part, from which the cuts are taken.
+SAMPLE = 16
+#: Sketches that a merging task holds before they are sent on.
+HELD = 1 << 15
 #: Bytes hashed in one go; texts are gathered up to this (a longer one is alone).
 BLOCK_BYTES = 1 << 21
 
@@ -192,48 +203,138 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
+def merged(sketches: DataFrame, by: list[str], k: int = K) -> DataFrame:
+    """The sketch of all parts of each key: ``by``, fingerprint and n_shingles,
+    from rows of (by, fingerprint)."""
+    names = [*by, "fingerprint", "n_shingles"]
+    src = sketches.select(*by, "fingerprint")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema[:-1])
+    types = [f.dataType for f in src.schema[:-1]]
+
+    def rows(keys: list[tuple], found: list[np.ndarray]) -> pa.RecordBatch:
+        from pyspark.sql.pandas.types import to_arrow_type
+        columns = [pa.array([key[c] for key in keys], to_arrow_type(t)) for c, t in enumerate(types)]
+        return pa.RecordBatch.from_arrays([
+            *columns, pa.array([to_text(s) for s in found], pa.string()),
+            pa.array([distinct(s, k) for s in found], pa.float64())], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+        for b in batches:
+            for *key, text in zip(*[c.to_pylist() for c in b.columns]):
+                own = from_text(text)
+                key = tuple(key)
+                held[key] = merge(held[key], own, k) if key in held else own[:k]
+            if len(held) > HELD:
+                yield rows(list(held), list(held.values()))
+                held = {}
+        yield rows(list(held), list(held.values()))
+
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows of a key come one after another: one sketch is held.
+        key, sketch = None, None
+        for b in batches:
+            keys, out = [], []
+            for *own, text in zip(*[c.to_pylist() for c in b.columns]):
+                if tuple(own) == key:
+                    sketch = merge(sketch, from_text(text), k)
+                    continue
+                if key is not None:
+                    keys.append(key)
+                    out.append(sketch)
+                key, sketch = tuple(own), from_text(text)
+            yield rows(keys, out)
+        if key is not None:
+            yield rows([key], [sketch])
+
+    out = f"{kinds}, fingerprint string, n_shingles double"
+    partial = src.mapInArrow(run, out).select(*by, "fingerprint")
+    return partial.repartition(*by).sortWithinPartitions(*by).mapInArrow(last, out)
+
+
+def compared(pairs: DataFrame, a: str = "a", b: str = "b", k: int = K) -> DataFrame:
+    """Pairs of sketches (fingerprints in columns a and b) with resemblance,
+    a_in_b and b_in_a (containment), a_shingles and b_shingles."""
+    names = ["resemblance", "a_in_b", "b_in_a", "a_shingles", "b_shingles"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = ([from_text(t) for t in batch.column(c).to_pylist()] for c in (a, b))
+            rows = [(resemblance(p, q, k), containment(p, q, k), containment(q, p, k), distinct(p, k), distinct(q, k))
+                    for p, q in zip(x, y)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *[pa.array([r[c] for r in rows], pa.float64()) for c in range(5)]],
+                names=[*batch.schema.names, *names])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema)
+    return pairs.mapInArrow(run, kinds + "".join(f", {c} double" for c in names))
+
+
+def _cuts(ids: DataFrame, parts: int) -> list[tuple[object, int]]:
+    """(id, hash) where parts begin, ascending: from a sample of at most some
+    ``SAMPLE`` ids a part, so that parts have about as many rows. An id of more
+    than a part's rows is cut at even steps of its texts' hashes."""
+    total = ids.count()
+    share = SAMPLE * parts / total if total else 1.0
+    sample = ids.sample(share, _SEED) if share < 1 else ids
+    rows = sample.filter("doc_id IS NOT NULL").groupBy("doc_id").count().orderBy("doc_id").collect()
+    per = max(1, sum(r["count"] for r in rows) / parts)
+    cuts, upto = [], 0.0
+    for r in rows:
+        if upto >= per:
+            cuts.append((r["doc_id"], -(1 << 63)))
+            upto = 0.0
+        steps = int(r["count"] / per)
+        cuts += [(r["doc_id"], -(1 << 63) + (j << 64) // (steps + 1)) for j in range(1, steps + 1) if steps > 1]
+        upto = 0.0 if steps > 1 else upto + r["count"]
+    return cuts
+
+
 def _dealt(docs: DataFrame) -> DataFrame:
-    """doc_id, text, part and guest: documents dealt to parts by cuts of their
-    ids, and the first document of each part (and of the next parts, should they
-    be empty) as a guest at the end of the part before it; the very first is the
-    last part's guest."""
+    """doc_id, text, h (the text's hash), part and guest: documents dealt to
+    parts by cuts of their ids, and the first document of each part (and of the
+    next parts, should they be empty) as a guest at the end of the part before
+    it; the very first is the last part's guest."""
     spark = docs.sparkSession
-    n = PARTS * partitions(spark)
-    ids = docs.select("doc_id")
-    cuts = sorted(set(ids.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)))) if n > 1 else []
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    cuts = _cuts(docs.select("doc_id"), PARTS * partitions(spark))
+    own = docs.withColumn("h", F.xxhash64("text"))
     part = F.lit(0)
     if cuts:
-        # The number of cuts below the id: found by halving, in the plan's own words.
-        def find(lo: int, hi: int):
-            if lo == hi:
-                return F.lit(lo)
-            mid = (lo + hi) // 2
-            return F.when(F.col("doc_id") > cuts[mid], find(mid + 1, hi)).otherwise(find(lo, mid))
-        part = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(find(0, len(cuts)))
-    own = docs.withColumn("part", part.cast("int"))
-    order = F.struct(F.col("doc_id").isNotNull().alias("k"), F.col("doc_id"), F.xxhash64("text").alias("h"))
-    # At most one row for each of the n parts.
+        # The number of cuts at or before the row, from one constant: the blocks
+        # of cuts that begin there, and then those of the last of these blocks.
+        per = max(1, int(len(cuts) ** 0.5))
+        blocks = [[{"i": i, "h": h} for i, h in cuts[k:k + per]] for k in range(0, len(cuts), per)]
+        table = F.from_json(F.lit(json.dumps(blocks, default=str)), f"array<array<struct<i: {kind}, h: bigint>>>")
+        row = F.struct(F.col("doc_id").alias("i"), F.col("h"))
+        block = F.size(F.filter(table, lambda b: b[0] <= row)) - 1
+        inside = F.size(F.filter(F.get(table, block), lambda c: c <= row))
+        part = F.when(F.col("doc_id").isNull() | (block < 0), F.lit(0)).otherwise(block * per + inside)
+    own = own.withColumn("part", part.cast("int"))
+    order = F.struct(F.col("doc_id").isNotNull().alias("k"), F.col("doc_id"), "h")
+    # At most one row for each of the parts.
     firsts = own.groupBy("part").agg(F.min(order).alias("first")).orderBy("part").collect()
     before = {r["part"]: firsts[i - 1]["part"] for i, r in enumerate(firsts)}
     if not before:
         return own.withColumn("guest", F.lit(False))
     heads = spark.createDataFrame(
         [(r["part"], before[r["part"]], r["first"]["doc_id"], r["first"]["h"]) for r in firsts],
-        f"part int, to int, head {docs.schema['doc_id'].dataType.simpleString()}, h long")
+        f"part int, to int, head {kind}, head_h long")
     guests = (own.join(F.broadcast(heads), "part")
-              .filter(F.col("doc_id").eqNullSafe(F.col("head")) & (F.xxhash64("text") == F.col("h")))
-              .select("doc_id", "text", F.col("to").alias("part"), F.lit(True).alias("guest")))
+              .filter(F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("h") == F.col("head_h")))
+              .select("doc_id", "text", "h", F.col("to").alias("part"), F.lit(True).alias("guest")))
     return own.withColumn("guest", F.lit(False)).unionByName(guests)
 
 
 def sketch_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K,
                  shingle: int = SHINGLE) -> DataFrame:
-    """Per document: n_chars, the edited text's SHA-256, both fingerprints, and
-    the resemblance of its sketch to the edited text's and the next document's."""
+    """Per document: n_chars, the edited text's SHA-256, both fingerprints, the
+    resemblance of its sketch to the edited text's and the next document's, the
+    number of its distinct shingles, and the share of them that the next document
+    holds."""
     src = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     n = partitions(docs.sparkSession)
-    dealt = _dealt(src).withColumn("h", F.xxhash64("text"))
-    ordered = dealt.repartition(n, "part").sortWithinPartitions("part", "guest", "doc_id", "h")
+    ordered = _dealt(src).repartition(n, "part").sortWithinPartitions("part", "guest", "doc_id", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -259,11 +360,13 @@ def sketch_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
                     pa.array([to_text(w[3]) for w, _, _ in at], pa.string()),
                     pa.array([to_text(s) for s in after], pa.string()),
                     pa.array([resemblance(w[3], s, k) for (w, _, _), s in zip(at, after)], pa.float64()),
-                    pa.array([resemblance(w[3], s, k) for w, _, s in at], pa.float64())],
-                    names=["doc_id", "n_chars", "edited_sha256", "fingerprint",
-                           "edited_fingerprint", "near_edited", "near_next"])
+                    pa.array([resemblance(w[3], s, k) for w, _, s in at], pa.float64()),
+                    pa.array([distinct(w[3], k) for w, _, _ in at], pa.float64()),
+                    pa.array([containment(w[3], s, k) for w, _, s in at], pa.float64())],
+                    names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                           "near_edited", "near_next", "n_shingles", "in_next"])
 
     kind = src.schema["doc_id"].dataType.simpleString()
     return ordered.select("part", "doc_id", "text", "guest").mapInArrow(
         run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, "
-             "edited_fingerprint string, near_edited double, near_next double")
+             "edited_fingerprint string, near_edited double, near_next double, n_shingles double, in_next double")
