@@ -8,18 +8,18 @@ return the columns of documents, with n_chars of the text as it then is:
 2. line dedup: repeated lines stay in the first document only;
 3. SimHash near-dedup: the document of the smallest id stays of each group;
 4. mixing: documents in training order, as often as their source's target asks;
-5. best-fit packing: one row for each piece with its sequence and offset.
+5. best-fit packing: one row for each piece with its sequence and offset; the
+   sequences are numbered in training order.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm import curriculum, line_dedup, line_frequency, packing, simhash
-from tidelog.session import checkpoint_dir
+from tidelog.session import new_folder
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -42,8 +42,25 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return curriculum.mixed_documents(docs)
 
 
+def in_written_order(docs: DataFrame) -> DataFrame:
+    """The documents with ``_position``, their place in the order they were
+    written in (files, then rows): the mixing stage has no column for it.
+    Documents that were not read from files are in no order: all 0."""
+    try:
+        placed = docs.withColumns({
+            "_file": F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long"),
+            "_row": F.col("_metadata.row_index")})
+    except AnalysisException:
+        return docs.withColumn("_position", F.lit(0))
+    # One row a file.
+    sizes = placed.groupBy("_file").agg((F.max("_row") + 1).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    return placed.join(F.broadcast(bases), "_file").withColumn("_position", F.col("_base") + F.col("_row"))
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.packed(docs)
+    return packing.packed(in_written_order(docs), position=F.col("_position"))
 
 
 STAGES = [
@@ -62,7 +79,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written to the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{k}"
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.scan import dense_position
@@ -140,10 +140,14 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, doc_id: str = "doc_id",
-           text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """doc_id, piece, start, length and ids_crc32 of every piece. ``tokenizer``
-    is a file that every worker has (None: the public one installed there)."""
-    src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+           text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID,
+           position: Column | None = None) -> DataFrame:
+    """doc_id, piece, start, length and ids_crc32 of every piece, and its
+    document's ``position`` if that is given. ``tokenizer`` is a file that every
+    worker has (None: the public one installed there)."""
+    more = [] if position is None else ["position"]
+    src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
+                      *[position.cast("double").alias(c) for c in more])
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,14 +169,15 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, doc_id: str = "doc_id"
                         start.append(a // 4)
                         length.append(len(ids) // 4)
                         crc.append(zlib.crc32(ids))
+                own = pa.array(doc, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(doc, pa.int64())), pa.array(piece, pa.int32()),
+                    [part.column(0).take(own), pa.array(piece, pa.int32()),
                      pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-                     pa.array(crc, pa.int64())],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                     pa.array(crc, pa.int64()), *[part.column(2).take(own) for _ in more]],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32", *more])
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, {PIECES}")
+    return src.mapInArrow(run, f"doc_id {kind}, {PIECES}{', position double' if more else ''}")
 
 
 def groups_of(lengths: np.ndarray, counts: np.ndarray, groups: int) -> list[tuple[int, int]]:
@@ -314,11 +319,14 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
 
 
 def place(table: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> DataFrame:
-    """The pieces with sequence_id and offset."""
+    """The pieces with sequence_id and offset. Of equal lengths the pieces of
+    earlier ``position`` (if there is one) come first, and sequences are numbered
+    by the mean position of their pieces."""
     spark = table.sparkSession
     histogram = {int(r[0]): int(r[1]) for r in table.groupBy("length").count().collect()}
     plan_rows = spark.sparkContext.broadcast(plan(histogram, capacity, groups))
-    ranked = dense_position(table, ["length"], ["doc_id", "piece", "ids_crc32"], "_pk_rank")
+    timed = ["position"] if "position" in table.columns else []
+    ranked = dense_position(table, ["length"], [*timed, "doc_id", "piece", "ids_crc32"], "_pk_rank")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = plan_rows.value
@@ -335,11 +343,20 @@ def place(table: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> D
 
     keep = table.columns
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
-    return ranked.select(*keep, "_pk_rank").mapInArrow(run, f"{kinds}, sequence_id long, offset long")
+    placed = ranked.select(*keep, "_pk_rank").mapInArrow(run, f"{kinds}, sequence_id long, offset long")
+    if not timed:
+        return placed
+    placed = stored(placed)
+    means = placed.groupBy("sequence_id").agg(F.avg("position").alias("_pk_mean"))
+    numbers = dense_position(means, [], ["_pk_mean", "sequence_id"], "_pk_new")
+    return placed.join(numbers, "sequence_id").select(*[
+        F.col("_pk_new").alias(c) if c == "sequence_id" else F.col(c) for c in placed.columns])
 
 
 def packed(docs: DataFrame, tokenizer: str | None = None, doc_id: str = "doc_id",
            text: str = "text", capacity: int = CAPACITY, groups: int = GROUPS,
-           end_id: int = END_ID) -> DataFrame:
-    """Every piece with its sequence_id and offset; texts are tokenised once."""
-    return place(stored(pieces(docs, tokenizer, doc_id, text, capacity, end_id)), capacity, groups)
+           end_id: int = END_ID, position: Column | None = None) -> DataFrame:
+    """Every piece with its sequence_id and offset; texts are tokenised once.
+    With ``position`` (a number that ascends in training order) sequences are
+    numbered in that order."""
+    return place(stored(pieces(docs, tokenizer, doc_id, text, capacity, end_id, position)), capacity, groups)
