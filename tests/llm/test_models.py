@@ -175,6 +175,32 @@ def test_toxicity_edge_cases(spark):
     assert toxicity.scored(empty_docs(spark), labels).collect() == []
 
 
+def test_scores_equal_brute_force():
+    """Blocks of four words by their words' mean n-grams, the four best pooled:
+    word by word, in plain Python."""
+    import math
+    rng = np.random.default_rng(4)
+    model = {"gram": rng.normal(size=toxicity.BUCKETS).astype(np.float32), "bias": 0.3}
+    texts = ["", None, "a", " \n ", "Über naïve words", "one two three four five six", "x " * 41,
+             " ".join(f"w{k}" for k in range(99)), "日本 語 ok " * 7]
+
+    def word_score(w):
+        values = [model["gram"][b] for _, buckets in toxicity.grams([w]) for b in buckets.tolist()]
+        return sum(map(float, values)) / len(values)
+
+    def text_odds(text):
+        words = [word_score(w) for w in (text or "").lower().encode().split()]
+        if not words:
+            return math.nan
+        blocks = [words[i:i + 4] for i in range(0, len(words), 4)]
+        if len(blocks) > 1 and len(blocks[-1]) < 2:
+            blocks[-2:] = [blocks[-2] + blocks[-1]]
+        best = sorted((sum(b) / len(b) + model["bias"] for b in blocks), reverse=True)[:4]
+        return math.log(sum(map(math.exp, best)) / len(best))
+    got = toxicity.log_odds(texts, model)
+    assert np.allclose(got, [text_odds(t) for t in texts], atol=1e-4, equal_nan=True)
+
+
 def test_words_share_subwords():
     a, b = (list(toxicity.grams([w])) for w in (b"worthless", b"worthlesss"))
     shared = set(np.concatenate([x[1] for x in a])) & set(np.concatenate([x[1] for x in b]))
@@ -193,6 +219,53 @@ def test_languages_on_held_out_documents(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in out)
 
 
+def test_nearest_centroids_equal_brute_force(spark):
+    """Counted n-grams, document frequencies, cosines and the nearest centroid of
+    every document against plain Python over the same centroids."""
+    import math
+    from collections import Counter
+    docs = sf_docs(spark).filter("doc_id % 4 = 0")
+    train = docs.filter("lang IS NOT NULL").select("doc_id", "text", "lang")
+    model = centroid_langid.fit(train)
+
+    def hashed(*cs):
+        muls = {3: (0xC2B2AE35, 0x85EBCA6B), 2: (0x85EBCA6B,), 1: ()}[len(cs)]
+        h = ord(cs[0])
+        for m, c in zip(muls, cs[1:]):
+            h = (h * m & 0xFFFFFFFF) ^ ord(c)
+        return (h * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - centroid_langid.BITS)
+
+    def grams(text):
+        # Letters, all else a space: 1 to 3 in a row around a letter.
+        x = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+        n = Counter()
+        for a, b, c in zip(x, x[1:], x[2:]):
+            if b != " ":
+                n[hashed(b)] += 1
+                n[hashed(a, b, c)] += 1
+            if b != " " or c != " ":
+                n[hashed(b, c)] += 1
+        return n
+    rows = docs.collect()
+    own = {r.doc_id: grams(r.text or "") for r in rows}
+    known = [own[r.doc_id] for r in train.collect()]
+    df = Counter(g for n in known for g in n)
+    idf = [math.log((1 + len(known)) / (1 + df[g])) + 1 for g in range(centroid_langid.DIMS)]
+    assert np.allclose(model["idf"], idf, atol=1e-5)
+    out = {r.doc_id: r for r in centroid_langid.predict(docs, model).collect()}
+    for r in rows:
+        v = {g: math.log1p(n) * idf[g] for g, n in own[r.doc_id].items()}
+        size = math.sqrt(sum(x * x for x in v.values())) or 1.0
+        cosines = [sum(x * float(c[g]) for g, x in v.items()) / size for c in model["centres"]]
+        if not any(c.isalpha() for c in r.text or ""):
+            assert out[r.doc_id].lang_pred == "und"
+            continue
+        best = max(cosines)
+        assert abs(out[r.doc_id].score - min(1.0, max(0.0, best))) < 1e-4
+        near = {model["lang"][j] for j, c in enumerate(cosines) if c > best - 1e-4}
+        assert out[r.doc_id].lang_pred in near
+
+
 def test_language_edge_cases(spark):
     docs = edge_docs(spark)
     out = centroid_langid.identified(docs).collect()

@@ -42,7 +42,6 @@ TRAIN_EACH = 4000
 EPOCHS = 8
 RATE = 2.0
 SOFT_RATE = 0.1
-MIN_DOCS = 5
 BATCH = 64
 SEED = 8
 THRESHOLD = 0.3
@@ -70,7 +69,7 @@ def grams(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for n in range(2, max(GRAMS) + 1):
         m = len(x) - n + 1
         if m <= 0:
-            return
+            break
         if n > 2:
             inner = inner[:m] | white[n - 2:n - 2 + m]
         else:
@@ -145,18 +144,6 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED, epochs: int =
     soft = ((rng.random((DIM, 2)) - 0.5)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     sq, soft_sq, bias_sq = np.zeros(BUCKETS, np.float32), 1e-12, 1e-12
-    seen = np.zeros(BUCKETS, np.int64)
-    for d in docs:
-        u = np.unique(d)
-        if len(u):
-            seen[np.unique(np.concatenate([bucket[gram_at[w]:gram_at[w + 1]] for w in u.tolist()]))] += 1
-    # Rows of n-grams too rare to learn from stay zero, and needn't be looked up.
-    table[seen < MIN_DOCS] = 0
-    n_all = np.maximum(n_grams, 1)
-    stay = seen[bucket] >= MIN_DOCS
-    n_grams = np.bincount(np.sort(owner)[stay], minlength=len(vocabulary))
-    bucket = bucket[stay]
-    gram_at = np.concatenate(([0], np.cumsum(n_grams)))
     usable = np.array([i for i, d in enumerate(docs) if len(d)], np.int64)
 
     def grams_of(used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,11 +151,11 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED, epochs: int =
         upto = np.cumsum(many)
         return bucket[np.repeat(gram_at[used] - upto + many, many) + np.arange(upto[-1])], many
 
-    def per_word(values: np.ndarray, many: np.ndarray, used: np.ndarray) -> np.ndarray:
-        """Mean over each word's n-grams (those too rare count as zero)."""
+    def per_word(values: np.ndarray, many: np.ndarray) -> np.ndarray:
+        """Mean over each word's n-grams."""
         sums = np.concatenate((np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)))
         upto = np.cumsum(many)
-        return ((sums[upto] - sums[upto - many]).T / n_all[used]).T
+        return ((sums[upto] - sums[upto - many]).T / np.maximum(many, 1)).T
 
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
@@ -181,7 +168,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED, epochs: int =
             size = np.diff(np.concatenate((starts, [len(tokens)])))
             used, inv = np.unique(tokens, return_inverse=True)
             g, many = grams_of(used)
-            odds = np.add.reduceat(per_word((table @ (soft[:, 1] - soft[:, 0]))[g], many, used)[inv], starts) / size
+            odds = np.add.reduceat(per_word((table @ (soft[:, 1] - soft[:, 0]))[g], many)[inv], starts) / size
             best = best_blocks(odds, of_doc)
             # Their words, forward and backward.
             starts, size, of_doc = starts[best], size[best], of_doc[best]
@@ -190,7 +177,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED, epochs: int =
             starts = upto - size
             used, inv = np.unique(tokens, return_inverse=True)
             g, many = grams_of(used)
-            vec = per_word(table[g], many, used)
+            vec = per_word(table[g], many)
             blocks = np.add.reduceat(vec[inv], starts, axis=0) / size[:, None]
             logits = blocks @ soft + bias
             odds = logits[:, 1] - logits[:, 0]
@@ -202,7 +189,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED, epochs: int =
             d_block = (d_logits @ soft.T) / size[:, None]
             token_block = np.repeat(np.arange(len(starts)), size)
             d_vec = np.stack([np.bincount(inv, weights=d_block[token_block, k], minlength=len(used))
-                              for k in range(DIM)], axis=1) / n_all[used][:, None]
+                              for k in range(DIM)], axis=1) / np.maximum(many, 1)[:, None]
             rows, row_of = np.unique(g, return_inverse=True)
             spread = np.repeat(np.arange(len(used)), many)
             d_rows = np.stack([np.bincount(row_of, weights=d_vec[spread, k], minlength=len(rows))
