@@ -293,6 +293,42 @@ def test_live_reads_from_offsets_and_time(spark, scratch):
     assert got["s4"] == sorted(r for r in rows if r[1] >= starts.get(r[0], 2000))
 
 
+class _State:
+    """A key's state, as the processor sees it."""
+
+    def __init__(self):
+        self.value, self.exists = None, False
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.exists = value, True
+
+
+def test_a_hot_key_is_counted_in_chunks_over_many_batches():
+    import random
+
+    import pandas as pd
+    rnd = random.Random(5)
+    state, want, got = _State(), 0, []
+    for k in range(6):
+        rows = [(None if rnd.random() < .1 else pd.Timestamp(2024, 1, 1) + pd.Timedelta(rnd.randrange(50), "s"), i, f"x{i}")
+                for i in range(rnd.randrange(1, 400))]
+        rnd.shuffle(rows)
+        frame = pd.DataFrame(rows, columns=["at", "id", "text"])
+        chunks = [frame[i:i + 37] for i in range(0, len(frame), 37)]
+        out = pd.concat(list(L._running(iter(chunks), state, ["at", "id"], "count")))
+        assert list(out.columns) == ["at", "id", "text", "count"] and len(out) == len(rows)
+        order = sorted(rows, key=lambda r: (not pd.isna(r[0]), r[0] if not pd.isna(r[0]) else 0, r[1]))
+        assert dict(zip(out["id"], out["count"])) == {r[1]: want + n + 1 for n, r in enumerate(order)}
+        assert all(out["text"] == "x" + out["id"].astype(str))
+        want += len(rows)
+        got.append(state.get[0])
+    assert got[-1] == want
+
+
 def test_paused_runs_leave_the_bookmark(spark, scratch):
     log = fx.events_log(spark, SF_CHECK).select("key", "value", "topic", "partition", "offset", "timestamp")
     path, out, job = f"{scratch}/log", f"{scratch}/out", _name(scratch, "job")

@@ -1,8 +1,8 @@
 """Column functions."""
 
 from .murmur2 import murmur2_hash, murmur2_partition
-from .text import (encode_utf8, md5_pick, md5_uuid, message_key, record_id,
+from .text import (md5_pick, md5_uuid, message_key, record_id,
                    title_case, utf8_or_null)
 
-__all__ = ["murmur2_hash", "murmur2_partition", "encode_utf8", "md5_pick", "md5_uuid", "message_key", "record_id", "title_case",
+__all__ = ["murmur2_hash", "murmur2_partition", "md5_pick", "md5_uuid", "message_key", "record_id", "title_case",
            "utf8_or_null"]

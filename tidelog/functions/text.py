@@ -74,10 +74,6 @@ def utf8_or_null(b: str | Column) -> Column:
     return F.when(F.call_function("is_valid_utf8", as_text), as_text)
 
 
-def encode_utf8(s: str | Column) -> Column:
-    return F.encode(_c(s), "UTF-8")
-
-
 def md5_pick(seed: str, id_col: str | Column, n: int) -> Column:
     """Deterministic pick in [0, n) that DuckDB can repeat:
     first 32 bits of md5(seed || ':' || id) modulo n."""

@@ -130,10 +130,6 @@ def message_lines(df: DataFrame, template: str, *cols: str,
     return df.select(*present, F.format_string(template, *cols).alias("line"))
 
 
-def write_lines(lines: DataFrame, path: str) -> None:
-    lines.select("line").write.mode("append").text(path)
-
-
 # --- K6 ---------------------------------------------------------------------
 
 def table_snapshot(events: DataFrame, field: str, as_of: str | Column | None = None,

@@ -15,7 +15,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -174,23 +176,44 @@ def live_counts(events: DataFrame, field: str, name: str = "count") -> DataFrame
     return events.groupBy(field).agg(F.count(F.lit(1)).alias(name))
 
 
+def _packed(rows: pd.DataFrame) -> pa.Buffer:
+    sink = pa.BufferOutputStream()
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue()
+
+
 def _running(batches: Iterator[pd.DataFrame], state: GroupState,
              order: list[str], name: str) -> Iterator[pd.DataFrame]:
+    """Counts of one key's rows of a micro-batch. They come in chunks: only the
+    order columns are put together and sorted, the chunks wait compressed, and
+    each is given out with its rows' ranks (nulls first, like Spark's order)."""
     total = state.get[0] if state.exists else 0
-    pdf = pd.concat(list(batches), ignore_index=True)
-    pdf = pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
-    pdf[name] = range(total + 1, total + len(pdf) + 1)
-    state.update((total + len(pdf),))
-    yield pdf
+    keys, chunks = [], []
+    for rows in batches:
+        keys.append(rows[order].reset_index(drop=True))
+        chunks.append(_packed(rows))
+    ordered = pd.concat(keys, ignore_index=True).sort_values(order, kind="mergesort", na_position="first").index
+    count = np.empty(len(ordered), np.int64)
+    count[ordered] = np.arange(total + 1, total + len(ordered) + 1)
+    state.update((total + len(ordered),))
+    lo = 0
+    for chunk, key in zip(chunks, keys):
+        rows = pa.ipc.open_stream(chunk).read_pandas()
+        rows[name] = count[lo:lo + len(key)]
+        lo += len(key)
+        yield rows
 
 
 def running_count_stream(events: DataFrame, field: str, order: list[str],
                          name: str = "count") -> DataFrame:
     """A3 live: each event with its key's count after it. Per key the state
     is one number; rows of a micro-batch are ordered by ``order`` inside the
-    processor (arrival order is not trusted). Work per key and batch is
-    bounded by the batch size (``maxFilesPerTrigger`` /
-    ``maxOffsetsPerTrigger``)."""
+    processor (arrival order is not trusted), in chunks of which only the order
+    columns are held together. A key's rows of one batch are one task's work,
+    bounded by ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``;
+    ``running_count_batches`` splits them."""
     cols = events.columns
     out_schema = T.StructType(list(events.schema.fields) + [T.StructField(name, T.LongType())])
 
