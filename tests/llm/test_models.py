@@ -79,6 +79,27 @@ def test_perplexities_equal_brute_force(spark, hot):
     assert all(r.kept == (r.perplexity <= r.threshold) for r in out)
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_only_texts_that_pass_the_bitmap_are_moved(spark, threshold):
+    """Going up from the scan of the texts, the bitmap's join comes before any
+    exchange, whatever may be broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+        out = ngram_lm.trusted_documents(docs.select("doc_id", "text"), labels)
+        plan = out._jdf.queryExecution().executedPlan().toString().split("\n")
+        trusted = {r.doc_id for r in labels.filter("quality = 1").collect()}
+        assert sorted(r.doc_id for r in out.collect()) == sorted(
+            r.doc_id for r in docs.collect() if r.doc_id in trusted)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scan = next(i for i, line in enumerate(plan) if "FileScan" in line and "text#" in line)
+    above = [line for line in plan[:scan][::-1] if "Exchange" in line or "HashJoin" in line or "MergeJoin" in line]
+    assert "BroadcastHashJoin [_lm_word" in above[0] and "Exchange hashpartitioning" in above[1], plan
+    assert any("ShuffledHashJoin [doc_id" in line for line in plan)
+
+
 def test_quality_without_trust_or_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     out = ngram_lm.classified(edge_docs(spark), labels).collect()

@@ -195,7 +195,9 @@ def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents with quality 1. A bitmap of hashed ids, of a fixed size, is
     broadcast first, so that only labelled texts (and a few others) are moved
     to be joined. The ids are distinct and joined by an inner join: the optimizer
-    would push a semi join below the bitmap's, to all texts."""
+    would push a semi join below the bitmap's, to all texts. It is a shuffled
+    hash join of the ids at every size, so that texts are never sorted and the
+    ids never broadcast."""
     ids = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP))
     word, bit = F.shiftright(slot, 6).alias("_lm_word"), F.call_function(
@@ -206,7 +208,7 @@ def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
              .join(F.broadcast(bitmap), "_lm_word")
              .filter(F.col("_lm_bits").bitwiseAND(F.col("_lm_bit")) != 0)
              .select(*docs.columns))
-    return maybe.join(ids, "doc_id").select(*docs.columns)
+    return maybe.join(ids.hint("shuffle_hash"), "doc_id").select(*docs.columns)
 
 
 def perplexities(docs: DataFrame, logp: DataFrame, hot_rows: int = HOT) -> DataFrame:
