@@ -205,7 +205,7 @@ def test_tables_after_each_update(spark, scratch):
     order = ["timestamp", "partition", "offset"]
     H.save_history(items, "greeter", order, f"{scratch}/history", every=50)
     events = [r.greeter for r in items.orderBy(*order).collect()]
-    for v in (1, 49, 50, 51, 100, 333, len(events)):
+    for v in (1, 49, 50, 51, 100, 333, len(events), len(events) + 500):
         want = {g: events[:v].count(g) for g in set(events[:v])}
         assert {r.greeter: r["count"] for r in H.table_at(spark, f"{scratch}/history", "greeter", v, 50).collect()} == want
     at = [datetime.fromtimestamp(fx.EPOCH_S + s, timezone.utc) for s in (1000, 0, 77)]

@@ -50,10 +50,11 @@ def save_history(events: DataFrame, field: str, order: list[str], path: str, eve
 
 
 def table_at(spark: SparkSession, path: str, field: str, version: int, every: int) -> DataFrame:
-    """The whole table after update ``version`` (from 1)."""
-    block = (version - 1) // every
-    changes = spark.read.parquet(f"{path}/changes").filter(
-        (F.col("block") == block) & (F.col("version") <= version)).select(field, "count")
+    """The whole table after update ``version`` (from 1; beyond the last update,
+    after that)."""
+    log = spark.read.parquet(f"{path}/changes")
+    block = min((version - 1) // every, log.agg(F.max("block")).first()[0])      # folder names only
+    changes = log.filter((F.col("block") == block) & (F.col("version") <= version)).select(field, "count")
     if block == 0:
         return changes.groupBy(field).agg(F.max("count").alias("count"))
     tables = spark.read.parquet(f"{path}/tables").filter(F.col("block") == block).select(field, "count")
