@@ -71,6 +71,15 @@ def test_random_lists_equal_brute_force():
         assert found(lists) == [brute(x) for x in lists]
 
 
+def test_blocks_longer_than_a_transform(monkeypatch):
+    # Only the first words of a block are looked for, a few distances at a time.
+    monkeypatch.setattr(periodic_runs, "LONGEST", 2)
+    monkeypatch.setattr(periodic_runs, "SPAN", 3)
+    monkeypatch.setattr(periodic_runs, "ASKED", 1)
+    for lists in random_lists(8, 120):
+        assert found(lists) == [brute(x) for x in lists]
+
+
 def test_hashes_that_lie_do_not_decide(monkeypatch):
     # Hashes that are all alike: only the word by word comparison tells.
     monkeypatch.setattr(periodic_runs.Texts, "same", lambda self, a, b, n: np.ones(len(a), bool))

@@ -51,6 +51,11 @@ HASH_PRIME, HASH_BASE = (1 << 31) - 1, 1_000_003
 #: Numbers transformed at once, and words of texts that are handled together.
 CELLS = 1 << 20
 WORDS = 1 << 17
+#: Words of a block that are looked for at most, and distances at once: together
+#: they must fit a transform of 2^23 numbers, the most that the prime has.
+LONGEST, SPAN = 1 << 20, 1 << 21
+#: Words of a block that are asked whether they come again.
+ASKED = 256
 
 
 def planted(n: int, h: int) -> tuple[int, int] | None:
@@ -103,12 +108,10 @@ def zero_distances(x: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: i
     """(place in starts, distance) of every distance in [nearest, farthest] at
     which the block from starts[i] occurs again before ends[i]. ``x`` holds the
     word numbers, from 1."""
-    size = 4 * block
     p = np.uint64(PRIME)
     found_i, found_d = [], []
     span = farthest - nearest + block               # words a window looks at
-    if nearest == 1:
-        size = 1 << (span + block - 1).bit_length()
+    size = 1 << (span - 1).bit_length()
     for k in range(0, len(starts), max(1, CELLS // size)):
         s, e = starts[k:k + max(1, CELLS // size)], ends[k:k + max(1, CELLS // size)]
         blocks = np.zeros((len(s), size), np.uint64)
@@ -163,12 +166,12 @@ class Texts:
         return self.places[i] <= base + np.minimum(at + farthest, self.width - 1)
 
     def blocks(self, size: int, nearest: int, farthest: int) -> np.ndarray:
-        """Starts of the aligned blocks, each of whose words comes again."""
+        """Starts of the aligned blocks, each of whose (first) words comes again."""
         many = np.diff(self.begin) // size
         text = np.repeat(np.arange(len(many)), many)
         s = self.begin[text] + (np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)) * size
         s = s[s + nearest + size <= self.begin[text + 1]]
-        for k in range(size):
+        for k in range(min(size, ASKED)):
             if not len(s):
                 break
             s = s[self.comes_again(s + k, nearest, farthest)]
@@ -237,12 +240,17 @@ class Texts:
         block = 2
         while block == 2 or 2 * (2 * block - 1) <= longest:
             nearest, farthest = (1 if block == 2 else 2 * block - 1), 4 * block - 2
-            s = self.blocks(block, nearest, farthest)
-            s = s[(inside_to[s] < s + farthest + block) | (inside_q[s] > block)]
-            i, q = zero_distances(self.x, s, self.begin[self.text[s] + 1], block, nearest, farthest)
-            s = s[i]
-            known = (s + q + block <= inside_to[s]) & (q > inside_q[s]) & (q % np.maximum(inside_q[s], 1) == 0)
-            new = self._grown(s[~known], q[~known], block)
+            part = min(block, LONGEST)
+            all_s = self.blocks(block, nearest, farthest)
+            all_s = all_s[(inside_to[all_s] < all_s + farthest + part) | (inside_q[all_s] > part)]
+            rows = []
+            for near in range(nearest, farthest + 1, SPAN):
+                i, q = zero_distances(self.x, all_s, self.begin[self.text[all_s] + 1], part, near,
+                                      min(farthest, near + SPAN - 1))
+                s = all_s[i]
+                known = (s + q + part <= inside_to[s]) & (q > inside_q[s]) & (q % np.maximum(inside_q[s], 1) == 0)
+                rows.append(self._grown(s[~known], q[~known], block if part == block else None))
+            new = np.concatenate(rows)
             for a, b, d in new[np.argsort(new[:, 2])[::-1]].tolist():
                 inside_to[a:b], inside_q[a:b] = b, d
             found.append(new)
@@ -255,11 +263,12 @@ class Texts:
         t = self.text[a] if len(a) else a
         return np.stack((t, a - self.begin[t], b - a, q), 1)
 
-    def _grown(self, s: np.ndarray, q: np.ndarray, block: int) -> np.ndarray:
-        """Rows (from, to, period) of the runs that seeds belong to."""
+    def _grown(self, s: np.ndarray, q: np.ndarray, block: int | None) -> np.ndarray:
+        """Rows (from, to, period) of the runs that seeds belong to; ``block`` is
+        the blocks' length, if they match as a whole."""
         if not len(s):
             return np.empty((0, 3), np.int64)
-        # A chain of blocks at one distance is one stretch: its first is enough.
+        # A chain of whole blocks at one distance is one stretch: its first is enough.
         by = np.lexsort((s, q))
         s, q = s[by], q[by]
         head = np.ones(len(s), bool)
