@@ -151,8 +151,16 @@ def test_starts_by_the_index(spark, monkeypatch):
     # A start in the last quarter opens the last quarter's files only.
     starts = bounds(log).select("topic", "partition", (F.col("end_offset") - 5).alias("start_offset"))
     assert committed.read_from(starts).count() == 15 and opened[-1] <= files // 4
-    opened.clear()
     commits_ = fx.commits_g0(log)
+    at = lambda df: sorted(map(tuple, df.select("topic", "partition", "offset").collect()))
+    for policy in ("earliest", "latest"):
+        some = commits_.filter("partition <> 2")
+        assert at(committed.resume(some, "g0", policy)) == at(O.resume(log, some, "g0", policy))
+    assert opened[-1] <= files // 2                         # 60 % is behind
+    spec = {"events": {0: 3000, 1: S.LATEST}, "other": {0: 5}}
+    want3 = [r for r in at(log) if r[2] >= {0: 3000, 1: 1 << 40, 2: 0}[r[1]]]
+    assert at(committed.read_from_offsets(spec)) == want3
+    opened.clear()
     for mode, arg in (("to-earliest", None), ("to-latest", None), ("to-offset", 7)):
         got = sorted(map(tuple, committed.plan_reset(commits_, "g0", mode, arg).collect()))
         assert got == sorted(map(tuple, O.plan_reset(log, commits_, "g0", mode, arg).collect()))

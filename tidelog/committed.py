@@ -105,17 +105,38 @@ class CommittedLog:
         return self.records(self.spark.read.schema(INDEX_SCHEMA).parquet(
             *[f"{self.path}/index/{n}" for n in names]))
 
-    def read_from(self, starts: DataFrame, default: str = "latest") -> DataFrame:
-        """Records at or after ``start_offset`` of their partition, from the files
-        that hold any; partitions without a start follow ``default``."""
+    def read_from(self, starts: DataFrame, default: str = "latest",
+                  topics: list[str] | None = None) -> DataFrame:
+        """Records (of the given topics) at or after ``start_offset`` of their
+        partition, from the files that hold any; partitions without a start follow
+        ``default``."""
         known, _ = pin_small(starts.select(*TP, F.col("start_offset").cast("long")),
                              "topic string, partition int, start_offset long")
         files = self.index().join(known, TP, "left")
         needed = F.col("max_offset") >= F.col("start_offset")
         if default == "earliest":
             needed = needed | F.col("start_offset").isNull()
+        if topics is not None:
+            needed = needed & F.col("topic").isin(list(topics))
         return from_positions(self.records(files.filter(needed)), known, default)
 
+    def read_from_offsets(self, spec: dict[str, dict[int, int]]) -> DataFrame:
+        """S3 by the index (``{topic: {partition: offset}}``, -2 earliest, -1 the
+        kept end); unlisted partitions of a listed topic from their start."""
+        asked = self.spark.createDataFrame(
+            [(t, int(p), int(o)) for t, parts in spec.items() for p, o in parts.items()],
+            "topic string, partition int, start_offset long")
+        start = F.when(F.col("start_offset") == -1, F.coalesce("end_offset", F.lit(0))).otherwise(
+            F.greatest(F.col("start_offset"), F.lit(0)))
+        starts = asked.join(self.ends().select(*TP, "end_offset"), TP, "left").select(
+            *TP, start.alias("start_offset"))
+        return self.read_from(starts, "earliest", list(spec))
+
+    def resume(self, committed: DataFrame, group: str, policy: str = "latest") -> DataFrame:
+        """O2 by the index: records at or after the group's committed positions."""
+        starts = committed.filter(F.col("group") == group).select(*TP, F.col("offset").alias("start_offset"))
+        return self.read_from(starts, policy)
+
     def first_at_or_after(self, epoch_ms: int, topic: str | None = None) -> DataFrame:
         """topic, partition, start_offset: the first offset whose time is at or
         after the instant. Offsets of a partition ascend from file to file, so
