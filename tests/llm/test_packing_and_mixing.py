@@ -176,6 +176,52 @@ def test_mixed_documents_come_in_order_as_often_as_taken(spark):
     assert order == sorted(order) and len(order) > 20
 
 
+@pytest.mark.parametrize("table", ["edge", "sf"])
+def test_mixture_tells_the_places_in_the_sorted_mix(spark, table):
+    """The documents of the sorted mix are those whose places say so, in each
+    place; what is taken is what is there."""
+    docs = edge_docs(spark) if table == "edge" else sf_docs(spark)
+    mix = curriculum.mixture(docs).collect()
+    rows = curriculum.mixed_documents(docs).collect()
+    at = sorted((place, position, r.doc_id, r.size) for r in mix for place, position in zip(r.places, r.positions, strict=True))
+    assert [place for place, *_ in at] == list(range(len(rows)))
+    assert [position for _, position, *_ in at] == sorted(position for _, position, *_ in at)
+    assert [(i, n) for *_, i, n in at] == [(r.doc_id, len(words(r.text))) for r in rows]
+    assert all(r.places == sorted(r.places) for r in mix)
+    assert table == "edge" or any(not r.places for r in mix)
+
+
+def test_mixture_is_counted_in_the_sorted_texts(spark, monkeypatch):
+    """A mix without some of its rows has none of their words."""
+    docs = edge_docs(spark)
+    whole = curriculum.training_order
+    monkeypatch.setattr(curriculum, "training_order", lambda *a: whole(*a).filter("_cu_own_0 % 2 = 0"))
+    for r in curriculum.mixture(docs).collect():
+        assert r.taken == len(r.places) * r.size and (not r.places or r.doc_id % 2 == 0)
+
+
+def test_texts_are_moved_twice_to_be_mixed(spark):
+    """To their places and to be sorted; equal rows are numbered on the way."""
+    docs = sf_docs(spark)
+    numbered = curriculum._numbered(curriculum.supply(docs))
+    plan = curriculum.training_order(docs, numbered)._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("Union")]
+    assert above.count("Exchange") == 2 and above.count("Exchange rangepartitioning") == 1
+
+
+def test_repeated_rows_are_each_taken(spark):
+    rows = [(1, "a b c", "x")] * 40 + [(2, "d e", "x")] * 3 + [(None, "f", None)] * 5 + [(3, "g h", "y"), (3, "i", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    mix = curriculum.mixture(docs).collect()
+    assert Counter((r.doc_id, r.size) for r in mix) == Counter((i, len(words(t))) for i, t, _ in rows)
+    assert sorted(p for r in mix for p in r.places) == list(range(sum(len(r.places) for r in mix)))
+    taken = Counter()
+    for r in curriculum.mixed_documents(docs).collect():
+        taken[r.doc_id] += len(words(r.text))
+    assert {r.doc_id: 0 for r in mix} | taken == {
+        i: sum(r.taken for r in mix if r.doc_id == i) for i in (1, 2, None, 3)}
+
+
 def test_mixing_empty_table(spark):
     assert curriculum.mixture(empty_docs(spark)).collect() == []
     assert curriculum.mixed_documents(empty_docs(spark)).collect() == []

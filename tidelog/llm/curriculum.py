@@ -13,6 +13,10 @@ of its documents, then those whose middle lies within the rest. Nothing is
 grouped by source in one task: the supply order is a range-partitioned running
 total, and the reshared targets are found from sums alone.
 
+The mix is ``training_order``: whole documents in the range sort, each as often
+as it is taken. ``mixed_documents`` returns them; ``mixture`` tells per document
+what the mix has of it (words, positions, places), counted in the sorted texts.
+
 Defined cases: a null text has size 0; a null source is a source that comes
 last; documents of size 0 supply nothing, and are taken with every whole pass;
 repeated rows count as often as they occur; an empty table gives no rows. A
@@ -124,31 +128,66 @@ def copies(placed: DataFrame) -> DataFrame:
     return each.withColumn("position", training_time(middle, F.col("target"), F.col("slope")))
 
 
+def training_order(docs: DataFrame, numbered: DataFrame, doc_id: str = "doc_id",
+                   source: str = "source", text: str = "text") -> DataFrame:
+    """The mix: the columns of ``docs`` (``_cu_own_0``, ``_cu_own_1``, ...) once for
+    each time a document is taken, range-sorted by training position, with the
+    document's ``_cu_key`` and ``_cu_k``, and ``_cu_at`` (position, order, copy).
+    ``numbered`` is their supply, numbered. Texts are moved twice: to meet the
+    places of their document, which were found without them, and to be sorted.
+    Rows and places are moved as one table by their key, so that numbering
+    equal rows and giving each its places need no further move."""
+    own = docs.select(_row_key(doc_id, source, text),
+                      *[F.col(c).alias(f"_cu_own_{i}") for i, c in enumerate(docs.columns)])
+    at = copies(numbered.filter("passes > 0")).groupBy("_cu_key", "_cu_k").agg(F.collect_list(
+        F.struct("position", "_cu_order", "copy")).alias("_cu_at"))    # at most max_repeats
+    both = own.unionByName(at, allowMissingColumns=True)
+    # Rows come before places, which keep the number they have.
+    row = F.row_number().over(Window.partitionBy("_cu_key").orderBy(F.col("_cu_at").isNotNull()))
+    same = Window.partitionBy("_cu_key", "_cu_k")
+    met = (both.withColumns({"_cu_is_row": F.col("_cu_at").isNull(), "_cu_n": row})
+           .withColumn("_cu_k", F.coalesce("_cu_k", "_cu_n"))
+           .withColumn("_cu_at", F.first("_cu_at", ignorenulls=True).over(same))
+           .filter("_cu_is_row").drop("_cu_is_row", "_cu_n"))
+    each = met.withColumn("_cu_at", F.explode("_cu_at"))
+    return each.orderBy("_cu_at.position", "_cu_at._cu_order", "_cu_at.copy", "_cu_key", "_cu_k")
+
+
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
                     text: str = "text", **settings) -> DataFrame:
     """The documents in training order (range-sorted by position), each as often
-    as the mix takes it, with the columns they came with. Places are found
-    without the texts, which are moved to be joined and to be sorted."""
-    names = docs.columns
-    carried = [f"_cu_own_{i}" for i in range(len(names))]
-    own = _numbered(docs.select(
-        _row_key(doc_id, source, text), *[F.col(c).alias(k) for c, k in zip(names, carried)]))
-    at = copies(_numbered(supply(docs, doc_id, source, text, **settings)).filter("passes > 0"))
-    at = at.groupBy("_cu_key", "_cu_k").agg(F.collect_list(
-        F.struct("position", "_cu_order", "copy")).alias("_cu_at"))    # at most max_repeats
-    out = own.join(at, ["_cu_key", "_cu_k"]).select(F.explode("_cu_at").alias("_cu_at"), *carried)
-    ordered = out.orderBy("_cu_at.position", "_cu_at._cu_order", "_cu_at.copy")
-    return ordered.select(*[F.col(k).alias(c) for c, k in zip(names, carried)])
+    as the mix takes it, with the columns they came with."""
+    numbered = _numbered(supply(docs, doc_id, source, text, **settings))
+    mix = training_order(docs, numbered, doc_id, source, text)
+    return mix.select(*[F.col(f"_cu_own_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def mixture(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
             text: str = "text", **settings) -> DataFrame:
-    """Per document: size, source_size, target, taken, and the positions of its
-    copies."""
-    s = supply(docs, doc_id, source, text, **settings)
-    at = F.transform(
-        F.filter(F.sequence(F.lit(0), F.greatest(F.col("passes"), F.lit(1)) - 1),
-                 lambda c: c < F.col("passes")),
-        lambda c: training_time(c * F.col("source_size") + F.col("start") + F.col("size") / 2.0,
-                                F.col("target"), F.col("slope")))
-    return s.select("doc_id", "size", "source_size", "target", "taken", at.alias("positions"))
+    """Per document: size, source_size, target, and what the mix itself, whole
+    texts in training order, has of it: taken words, and of each copy its
+    position and its place (0-based row of the mix)."""
+    docs = docs.select(doc_id, source, text)
+    numbered = stored(_numbered(supply(docs, doc_id, source, text, **settings)))
+    mix = training_order(docs, numbered, doc_id, source, text)
+    # Ids rise by one within a sorted partition; the partition is in bits 33 and up.
+    seen = stored(mix.select("_cu_key", "_cu_k", F.col("_cu_at.position").alias("_cu_position"),
+                             size_of(F.col("_cu_own_2")).alias("_cu_words"),
+                             F.monotonically_increasing_id().alias("_cu_row"))
+                  .withColumn("_cu_part", F.shiftright("_cu_row", 33)))
+    # One row a partition.
+    parts = seen.groupBy("_cu_part").agg(F.min("_cu_row").alias("_cu_first"), F.count(F.lit(1)).alias("_cu_n"))
+    before = Window.orderBy("_cu_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = parts.select("_cu_part", (F.coalesce(F.sum("_cu_n").over(before), F.lit(0))
+                                      - F.col("_cu_first")).alias("_cu_base"))
+    each = seen.join(F.broadcast(bases), "_cu_part").groupBy("_cu_key", "_cu_k").agg(
+        F.sum("_cu_words").alias("_cu_taken"),
+        F.sort_array(F.collect_list(F.struct(                          # at most max_repeats
+            (F.col("_cu_base") + F.col("_cu_row")).alias("place"),
+            F.col("_cu_position").alias("position")))).alias("_cu_at"))
+    none = F.array().cast("array<struct<place:bigint,position:double>>")
+    at = F.coalesce("_cu_at", none)
+    return numbered.join(each, ["_cu_key", "_cu_k"], "left").select(
+        "doc_id", "size", "source_size", "target",
+        F.coalesce("_cu_taken", F.lit(0)).cast("long").alias("taken"),
+        at["position"].alias("positions"), at["place"].alias("places"))
